@@ -22,30 +22,36 @@ from kinroll.plans.relation import Relation, _has_column
 FAMILY = "__kr_family"
 
 
-def _members(members: DataFrame, relation: Relation, value: Column | None, keep) -> DataFrame:
-    """(family key, value) of every family member: children of ``members``
-    and the relation's parent rows (when they hold the value)."""
+def _members(
+    members: DataFrame,
+    relation: Relation,
+    value: str | None,
+    keep: Column | None,
+    parent_keep: Column | None,
+) -> DataFrame:
+    """(family key, value or keep flag) of every family member: the children
+    among ``members`` and the relation's parent rows."""
     relation.check_hits(members)
     kids = members.filter(relation.child_key.isNotNull())
-    kid_cols = [relation.child_key.alias(FAMILY)]
+    cols = [relation.child_key.alias(FAMILY)]
     if value is not None:
-        kid_cols.append(value.alias("__kr_value"))
+        cols.append(F.col(value).alias("__kr_value"))
     if keep is not None:
-        kid_cols.append(keep.alias("__kr_keep"))
-    rows = kids.select(*kid_cols)
+        cols.append(keep.alias("__kr_keep"))
+    rows = kids.select(*cols)
+    if not relation.mapped:
+        return rows
     parents = relation.parents
-    try:
-        par_cols = [F.col(relation.parent_key).alias(FAMILY)]
-        if value is not None:
-            par_cols.append(value.alias("__kr_value"))
-        if keep is not None:
-            par_cols.append(keep.alias("__kr_keep"))
-        par_rows = parents.select(*par_cols)
-    except Exception:  # the parent rows lack a column the value or test needs
-        par_rows = None
-    if par_rows is not None and relation.mapped:
-        rows = rows.unionByName(par_rows)
-    return rows
+    pcols = [F.col(relation.parent_key).alias(FAMILY)]
+    if value is not None:
+        if not _has_column(parents, value):
+            return rows  # the parent rows do not hold the value
+        pcols.append(F.col(value).alias("__kr_value"))
+    if keep is not None:
+        if parent_keep is None:
+            return rows  # parents are not tested
+        pcols.append(parent_keep.alias("__kr_keep"))
+    return rows.unionByName(parents.select(*pcols))
 
 
 def family_values(
@@ -67,7 +73,7 @@ def family_values(
         raise ValueError(f"value column {value!r} is not in the rows")
     key_name = key_name or relation.parent_key
     out_value = value.split(".")[-1]
-    rows = _members(members, relation, F.col(value), None)
+    rows = _members(members, relation, value, None, None)
     return (
         rows.filter(F.col("__kr_value").isNotNull())
         .groupBy(FAMILY, "__kr_value")
@@ -99,17 +105,23 @@ def family_filter(
     condition: Column,
     *,
     docs_key: str | Column | None = None,
+    parent_condition: Column | None = None,
 ) -> DataFrame:
     """Keep the rows of ``docs`` whose family has a member meeting ``condition``.
 
-    ``members`` are the rows visited (children table or mixed table); parent
-    rows are visited too when they hold the columns ``condition`` reads.
-    ``docs_key`` is the family key on ``docs`` (default: the relation's parent
-    key, i.e. ``docs`` are parents). Each kept row appears once: this is a
-    semi-join on the distinct matching family keys.
+    ``members`` are the rows visited (children table or mixed table).
+    Parent rows are visited with ``parent_condition``; in the join-field
+    layout parents share the mixed table's columns, so ``condition`` is the
+    default there. ``docs_key`` is the family key on ``docs`` (default: the
+    relation's parent key, i.e. ``docs`` are parents). Each kept row appears
+    once: a semi-join on the distinct matching family keys.
     """
     condition = _check_predicate(members, condition)
-    rows = _members(members, relation, None, condition)
+    if parent_condition is None and relation.family_key is not None:
+        parent_condition = condition
+    if parent_condition is not None:
+        parent_condition = _check_predicate(relation.parents, parent_condition)
+    rows = _members(members, relation, None, condition, parent_condition)
     keys = rows.filter(F.col("__kr_keep")).select(FAMILY).distinct()
     key = docs_key if docs_key is not None else relation.parent_key
     key = F.col(key) if isinstance(key, str) else key

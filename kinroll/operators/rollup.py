@@ -90,10 +90,10 @@ def bucket_pairs(
     return pairs.distinct()
 
 
-def _parent_side(relation: Relation, marker: bool) -> DataFrame:
+def _parent_side(relation: Relation, marker: bool, prefix: str = "") -> DataFrame:
     p = relation.parents
     cols = [F.col(relation.parent_key).alias(KEY)]
-    cols += [F.col(f"`{c}`") for c in p.columns]
+    cols += [F.col(f"`{c}`").alias(f"{prefix}{c}") for c in p.columns]
     if marker:
         cols.append(F.lit(True).alias(MARK))
     return p.select(*cols)
@@ -112,22 +112,26 @@ def lift_to_parents(
     *,
     keep_empty: bool = False,
     dedup: str = "map_side",
+    parent_prefix: str = "",
 ) -> DataFrame:
     """One row per (bucket, parent row) for every parent a matching child has.
 
-    Output: the bucket columns followed by all parent columns. A parent
-    appears once per bucket however many of its children hit; a child whose
-    parent is missing adds nothing. With ``keep_empty`` a bucket without any
-    parent keeps one row whose parent columns are null, which lets a further
-    ``parent_rollup`` report it at 0 (chains, row by row of levels).
+    Output: the bucket columns followed by all parent columns (renamed with
+    ``parent_prefix`` if given). A parent appears once per bucket however many
+    of its children hit; a child whose parent is missing adds nothing. With
+    ``keep_empty`` a bucket without any parent keeps one row whose parent
+    columns are null, which lets a further ``parent_rollup`` report it at 0.
     """
     by = _check_by(hits, by)
-    clash = set(by) & set(relation.parents.columns)
+    clash = set(by) & {f"{parent_prefix}{c}" for c in relation.parents.columns}
     if clash:
-        raise ValueError(f"bucket columns clash with parent columns: {sorted(clash)}")
+        raise ValueError(
+            f"bucket columns clash with parent columns {sorted(clash)}; give a parent_prefix"
+        )
     pairs = bucket_pairs(hits, relation, by, keep_empty=keep_empty, dedup=dedup)
     how = "left" if keep_empty else "inner"
-    lifted = pairs.join(_parent_side(relation, marker=False), KEY, how).drop(KEY)
+    parents = _parent_side(relation, marker=False, prefix=parent_prefix)
+    lifted = pairs.join(parents, KEY, how).drop(KEY)
     return _restore_by(lifted, by)
 
 

@@ -23,10 +23,15 @@ from pyspark.sql import types as T
 
 
 def _has_column(df: DataFrame, name: str) -> bool:
-    try:
-        df.select(name).schema
-    except Exception:  # AnalysisException on an unknown column
-        return False
+    """Whether ``name`` (``a`` or ``a.b`` into structs) is in the schema."""
+    dtype: T.DataType = df.schema
+    for part in name.strip("`").split("."):
+        if not isinstance(dtype, T.StructType):
+            return False
+        match = [f for f in dtype.fields if f.name == part]
+        if not match:
+            return False
+        dtype = match[0].dataType
     return True
 
 
