@@ -177,7 +177,8 @@ def parent_rollup(
         hits, relation, by, keep_empty=keep_empty, dedup=dedup,
         with_child_count=child_count is not None,
     )
-    joined = pairs.select(*priv, KEY).join(_parent_side(relation, marker=True), KEY, "left")
+    how = "left" if keep_empty else "inner"
+    joined = pairs.select(*priv, KEY).join(_parent_side(relation, marker=True), KEY, how)
     count_col = F.count(MARK)
     count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
     out = joined.groupBy(*priv).agg(count_col, *[_sub_agg(n, s) for n, s in aggs.items()])
