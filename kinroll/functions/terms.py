@@ -24,7 +24,8 @@ def _col(c) -> Column:
 def terms(text, separator: str = TOKEN_SEPARATOR) -> Column:
     """Distinct lower-case tokens of ``text`` as ``array<string>``."""
     tokens = F.split(F.lower(_col(text)), separator)
-    return F.array_distinct(F.filter(tokens, lambda t: t != F.lit("")))
+    # array_remove stays in generated code; a lambda filter would not
+    return F.array_remove(F.array_distinct(tokens), "")
 
 
 def term_buckets(df: DataFrame, text: str, out: str = "term", separator: str = TOKEN_SEPARATOR) -> DataFrame:

@@ -177,27 +177,29 @@ def parent_rollup(
         hits, relation, by, keep_empty=keep_empty, dedup=dedup,
         with_child_count=child_count is not None,
     )
-    how = "left" if keep_empty else "inner"
-    joined = pairs.select(*priv, KEY).join(_parent_side(relation, marker=True), KEY, how)
     count_col = F.count(MARK)
     count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
-    out = joined.groupBy(*priv).agg(count_col, *[_sub_agg(n, s) for n, s in aggs.items()])
-    if child_count:
-        out = _attach_child_count(out, pairs, priv, child_count)
-    return _restore_by(out, by).select(*by, *names[:1], *([child_count] if child_count else []), *aggs)
-
-
-def _attach_child_count(out: DataFrame, pairs: DataFrame, priv: list[str], name: str) -> DataFrame:
-    # Both sides are per-bucket aggregates (one row per bucket), built from the
-    # same pairs, so the hits are scanned once (the exchange is reused).
-    counts = pairs.groupBy(*priv).agg(F.sum(CHILDREN).alias(name))
-    if not priv:
-        one = "__kr_one"
-        return out.withColumn(one, F.lit(1)).join(counts.withColumn(one, F.lit(1)), one).drop(one)
-    alt = [f"{p}_c" for p in priv]
-    counts = counts.select(*[F.col(p).alias(a) for p, a in zip(priv, alt)], name)
-    cond = reduce(lambda a, b: a & b, [out[p].eqNullSafe(counts[a]) for p, a in zip(priv, alt)])
-    return out.join(counts, cond, "inner").drop(*alt)
+    agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
+    parents = _parent_side(relation, marker=True)
+    if not child_count:
+        how = "left" if keep_empty else "inner"
+        joined = pairs.join(parents, KEY, how)
+    else:
+        # Each pair goes in twice: a join row that meets its parents, and a
+        # count row that carries the pair's hit count past the join (the join
+        # condition refuses it, so its marker is null and sub-aggregations
+        # skip it). One pass over the pairs; count rows keep their key, so they
+        # spread like the join rows.
+        is_join = "__kr_join"
+        p = pairs.select(*priv, KEY, CHILDREN, F.explode(F.array(F.lit(True), F.lit(False))).alias(is_join))
+        p = p.withColumn(CHILDREN, F.when(~F.col(is_join), F.col(CHILDREN)))
+        parents = parents.withColumnRenamed(KEY, "__kr_parent_key")
+        joined = p.join(parents, (p[KEY] == parents["__kr_parent_key"]) & p[is_join], "left")
+        agg_cols.insert(1, F.sum(CHILDREN).alias(child_count))
+    out = joined.groupBy(*priv).agg(*agg_cols)
+    if not keep_empty and child_count:
+        out = out.filter(F.col(count_name) > 0)
+    return _restore_by(out, by).select(*by, count_name, *([child_count] if child_count else []), *aggs)
 
 
 def chain_rollup(

@@ -1,4 +1,10 @@
 from kinroll.plans.relation import Relation
-from kinroll.plans.strategy import DEDUP_STRATEGIES, plan_shape, pushed_filters, scan_columns
+from kinroll.plans.strategy import (
+    DEDUP_STRATEGIES,
+    plan_shape,
+    pushed_filters,
+    scan_columns,
+    spread_narrow,
+)
 
-__all__ = ["DEDUP_STRATEGIES", "Relation", "plan_shape", "pushed_filters", "scan_columns"]
+__all__ = ["DEDUP_STRATEGIES", "Relation", "plan_shape", "pushed_filters", "scan_columns", "spread_narrow"]

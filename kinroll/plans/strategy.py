@@ -24,6 +24,20 @@ def check_dedup(dedup: str) -> str:
     return dedup
 
 
+def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster if it has fewer partitions than
+    cores, before CPU-heavy per-row work (text analysis).
+
+    A scan of a few unsplittable files (one parquet row group, a gzip file)
+    would otherwise run that work in a handful of tasks. A wide input (any
+    large table split normally) is returned unchanged: no shuffle is added.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def physical_plan(df: DataFrame) -> str:
     """The physical plan as Spark would start it (before AQE re-planning)."""
     return df._jdf.queryExecution().executedPlan().toString()

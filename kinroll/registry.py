@@ -25,7 +25,7 @@ from kinroll.operators import (
     merge_rollups,
     parent_rollup,
 )
-from kinroll.plans import Relation
+from kinroll.plans import Relation, spread_narrow
 from kinroll.sources import family_shards, join_field_rows, mixed_table, read_table
 
 
@@ -113,7 +113,8 @@ def rollup_doc_terms(spark, d):
     is their parent; ``n_lines`` is the term bucket's own count of lines.
     """
     docs = _t(spark, d, "documents")
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    text = spread_narrow(docs.select("doc_id", "text"))
+    lines = text.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     hits = term_buckets(lines, "line", "term")
     rel = Relation.from_tables(docs, child_key="doc_id", parent_key="doc_id")
     return parent_rollup(hits, rel, "term", {"total_chars": "sum(n_chars)"}, child_count="n_lines")
