@@ -5,21 +5,26 @@ once per bucket. ``parent_rollup`` counts those parents per bucket and runs
 further aggregations over the parent rows (not over the children), keeping
 buckets that have no parent at a count of 0.
 
-Plan (one pass over the hits, three exchanges, no broadcast unless AQE measures
-the parent side small at run time):
+Plan of ``parent_rollup`` with ``dedup="map_side"`` (the default; no
+broadcast unless AQE measures the parent side small at run time):
 
 1. project the hits to ``(bucket columns, parent key)``; the key is null for
    rows that are not in the child role or have no parent;
-2. deduplicate the pairs. ``dedup="map_side"`` (default) lets Spark combine
-   duplicates inside each map task before the shuffle, so a parent that holds
-   a third of all children ships at most one row per bucket per task;
-   ``dedup="co_locate"`` hash-partitions the raw pairs by parent key first,
-   which skips one exchange when keys are known not to be skewed;
-3. left-join the pairs to the parent rows on the key, with a marker column
-   that is true only on a real parent row;
-4. group by the buckets: ``count(marker)`` is the parent count and every
-   sub-aggregation gets ``FILTER (WHERE marker)``, so a bucket without parents
+2. deduplicate the pairs, with Spark's partial aggregation inside each map
+   task before the shuffle: a parent that holds a third of all children
+   ships at most one row per bucket per task;
+3. inner-join the pairs to the parent rows on the key (AQE may split a hot
+   key on either side, also a parent id shared by a third of the parent
+   rows), each parent row marked true;
+4. union one bucket row per pair (marker null), read from the same pairs, so
+   the exchange is reused and the hits are read once;
+5. group by the buckets: ``count(marker)`` is the parent count, every
+   sub-aggregation gets ``FILTER (WHERE marker)``; a bucket without parents
    keeps its row with 0 and empty (SQL NULL) sub-results.
+
+``dedup="co_locate"`` hash-partitions the raw pairs by parent key, then
+deduplicates and left-joins in the same stage: one exchange fewer, but a hot
+key lands whole in one task; use it for keys known to be evenly spread.
 """
 
 from __future__ import annotations
@@ -35,8 +40,10 @@ from kinroll.plans.relation import Relation, _has_column
 from kinroll.plans.strategy import check_dedup
 
 KEY = "__kr_key"
+PKEY = "__kr_parent_key"
 MARK = "__kr_parent"
 CHILDREN = "__kr_children"
+BUCKET_ROW = "__kr_bucket_row"
 _BY = "__kr_by_"
 
 
@@ -91,14 +98,26 @@ def bucket_pairs(
 
 
 def _parent_side(relation: Relation, marker: bool, prefix: str = "") -> DataFrame:
-    p = relation.parents
-    cols = [F.col(relation.parent_key).alias(KEY)]
+    p = relation.parents.filter(F.col(relation.parent_key).isNotNull())
+    cols = [F.col(relation.parent_key).alias(PKEY)]
     cols += [F.col(f"`{c}`").alias(f"{prefix}{c}") for c in p.columns]
     if marker:
         cols.append(F.lit(True).alias(MARK))
     return p.select(*cols)
 
 
+def _join_parents(pairs: DataFrame, parents: DataFrame) -> DataFrame:
+    """Inner equi-join of the pairs to their parent rows on the key.
+
+    The comparison is null-safe on purpose: parents have no null key, so the
+    result is the same, but Catalyst then infers no ``key IS NOT NULL`` filter
+    to push under the pair deduplication. The pairs feeding the join and the
+    pairs feeding the bucket rows stay one identical plan, whose exchange is
+    reused: the hits are read and shuffled once.
+    """
+    return pairs.join(parents, pairs[KEY].eqNullSafe(parents[PKEY]), "inner").drop(KEY, PKEY)
+
+
 def _restore_by(df: DataFrame, by: Sequence[str]) -> DataFrame:
     for b, p in zip(by, _private(by)):
         df = df.withColumnRenamed(p, b)
@@ -118,9 +137,11 @@ def lift_to_parents(
 
     Output: the bucket columns followed by all parent columns (renamed with
     ``parent_prefix`` if given). A parent appears once per bucket however many
-    of its children hit; a child whose parent is missing adds nothing. With
-    ``keep_empty`` a bucket without any parent keeps one row whose parent
-    columns are null, which lets a further ``parent_rollup`` report it at 0.
+    of its children hit; a child whose parent is missing adds nothing.
+
+    ``keep_empty`` is for chains: the buckets also get marker rows whose
+    parent columns are all null (one per distinct child key, or per bucket),
+    so a further ``parent_rollup`` reports buckets without parents at 0.
     """
     by = _check_by(hits, by)
     clash = set(by) & {f"{parent_prefix}{c}" for c in relation.parents.columns}
@@ -129,9 +150,14 @@ def lift_to_parents(
             f"bucket columns clash with parent columns {sorted(clash)}; give a parent_prefix"
         )
     pairs = bucket_pairs(hits, relation, by, keep_empty=keep_empty, dedup=dedup)
-    how = "left" if keep_empty else "inner"
     parents = _parent_side(relation, marker=False, prefix=parent_prefix)
-    lifted = pairs.join(parents, KEY, how).drop(KEY)
+    if dedup == "co_locate":
+        lifted = _co_located_rows(pairs, parents, keep_empty, False)
+    else:
+        lifted = _join_parents(pairs, parents)
+        if keep_empty:
+            # bucket markers from the same pairs plan (one scan of the hits)
+            lifted = lifted.unionByName(pairs.drop(KEY), allowMissingColumns=True)
     return _restore_by(lifted, by)
 
 
@@ -164,8 +190,8 @@ def parent_rollup(
 
     ``by=()`` gives one row, also for empty hits. ``keep_empty=False`` drops
     buckets that have no parent. ``child_count`` adds the number of hits per
-    bucket (the enclosing bucket's own count) from the same pass over the
-    hits. ``metadata`` is attached to the ``doc_count`` column.
+    bucket (the enclosing bucket's own count, children or not) from the same
+    pass over the hits. ``metadata`` is attached to the ``doc_count`` column.
     """
     by = _check_by(hits, by)
     aggs = dict(aggs or {})
@@ -174,34 +200,48 @@ def parent_rollup(
         raise ValueError(f"output names repeat or clash with bucket columns: {names}")
     priv = _private(by)
     pairs = bucket_pairs(
-        hits, relation, by, keep_empty=keep_empty, dedup=dedup,
+        hits, relation, by, keep_empty=keep_empty or bool(child_count), dedup=dedup,
         with_child_count=child_count is not None,
     )
     count_col = F.count(MARK)
     count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
     agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
     parents = _parent_side(relation, marker=True)
-    if not child_count:
-        how = "left" if keep_empty else "inner"
-        joined = pairs.join(parents, KEY, how)
+    if dedup == "co_locate":
+        rows = _co_located_rows(pairs, parents, keep_empty, bool(child_count))
     else:
-        # Each pair goes in twice: a join row that meets its parents, and a
-        # count row that carries the pair's hit count past the join (the join
-        # condition refuses it, so its marker is null and sub-aggregations
-        # skip it). One pass over the pairs; count rows keep their key, so they
-        # spread like the join rows.
-        is_join = "__kr_join"
-        p = pairs.select(*priv, KEY, CHILDREN, F.explode(F.array(F.lit(True), F.lit(False))).alias(is_join))
-        p = p.withColumn(CHILDREN, F.when(~F.col(is_join), F.col(CHILDREN)))
-        parents = parents.withColumnRenamed(KEY, "__kr_parent_key")
-        joined = p.join(parents, (p[KEY] == parents["__kr_parent_key"]) & p[is_join], "left")
-        agg_cols.insert(1, F.sum(CHILDREN).alias(child_count))
-    out = joined.groupBy(*priv).agg(*agg_cols)
-    if not keep_empty and child_count:
+        rows = _join_parents(pairs, parents)
+        if keep_empty or child_count:
+            # One bucket row per pair: keeps buckets without parents (marker
+            # null, so count and sub-aggregations skip it) and carries each
+            # pair's hit count. Same pairs plan as the join side: one scan.
+            buckets = pairs.withColumn(BUCKET_ROW, F.lit(True)).drop(KEY)
+            rows = rows.unionByName(buckets, allowMissingColumns=True)
+    if child_count:
+        agg_cols.insert(1, F.expr(f"sum({CHILDREN}) FILTER (WHERE {BUCKET_ROW})").alias(child_count))
+    out = rows.groupBy(*priv).agg(*agg_cols)
+    if not keep_empty:
         out = out.filter(F.col(count_name) > 0)
     return _restore_by(out, by).select(*by, count_name, *([child_count] if child_count else []), *aggs)
 
 
+def _co_located_rows(pairs: DataFrame, parents: DataFrame, keep_empty: bool, child_count: bool) -> DataFrame:
+    """Pairs already partitioned by key: join without a further exchange.
+
+    A left join keeps buckets without parents. With child counts, each pair
+    goes in twice, as a join row and as a bucket row the join condition
+    refuses, so the counts pass the join once per pair.
+    """
+    if not child_count:
+        cond = pairs[KEY] == parents[PKEY]
+        return pairs.join(parents, cond, "left" if keep_empty else "inner").drop(KEY, PKEY)
+    kind = F.explode(F.array(F.lit(False), F.lit(True))).alias(BUCKET_ROW)
+    p = pairs.select(*[c for c in pairs.columns], kind)
+    p = p.withColumn(CHILDREN, F.when(F.col(BUCKET_ROW), F.col(CHILDREN)))
+    cond = (p[KEY] == parents[PKEY]) & ~p[BUCKET_ROW]
+    return p.join(parents, cond, "left").drop(KEY, PKEY)
+
+
 def chain_rollup(
     hits: DataFrame,
     relations: Sequence[Relation],

@@ -1,10 +1,11 @@
 from kinroll.plans.relation import Relation
 from kinroll.plans.strategy import (
     DEDUP_STRATEGIES,
+    executed_shape,
     plan_shape,
     pushed_filters,
     scan_columns,
     spread_narrow,
 )
 
-__all__ = ["DEDUP_STRATEGIES", "Relation", "plan_shape", "pushed_filters", "scan_columns", "spread_narrow"]
+__all__ = ["DEDUP_STRATEGIES", "executed_shape", "Relation", "plan_shape", "pushed_filters", "scan_columns", "spread_narrow"]

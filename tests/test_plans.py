@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinroll import Relation, parent_rollup
-from kinroll.plans import plan_shape, pushed_filters, scan_columns
+from kinroll.plans import executed_shape, plan_shape, pushed_filters, scan_columns
 from kinroll.registry import QUERIES
 from kinroll.sources import read_table
 
@@ -22,16 +22,41 @@ def test_filter_and_columns_reach_the_scan(spark):
     assert sorted(["o_orderkey", "o_totalprice"]) in [sorted(c) for c in cols]
 
 
-def test_map_side_dedup_shape(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, old)
+
+
+def _rel(spark):
+    return Relation.from_tables(read_table(spark, SF01, "orders"), child_key="l_orderkey",
+                                parent_key="o_orderkey")
+
+
+def test_map_side_plan_reads_hits_once(spark, no_broadcast):
     li = read_table(spark, SF01, "lineitem")
-    rel = Relation.from_tables(read_table(spark, SF01, "orders"), child_key="l_orderkey",
-                               parent_key="o_orderkey")
-    shape = plan_shape(parent_rollup(li, rel, "l_returnflag"))
-    # pairs by (bucket, key), join by key (both sides), buckets
+    shape = executed_shape(parent_rollup(li, _rel(spark), "l_returnflag", child_count="n"))
+    # pairs by (bucket, key), pairs by key, parents by key, buckets; the
+    # bucket-row branch reuses the pairs exchange, so lineitem is scanned once
     assert shape["hash_exchanges"] == 4
-    assert shape["broadcast_joins"] == 0  # only AQE may broadcast, on measured size
-    shape = plan_shape(parent_rollup(li, rel, "l_returnflag", dedup="co_locate"))
+    assert shape["reused_exchanges"] == 1
+    assert shape["file_scans"] == 2
+    assert shape["broadcast_joins"] == 0
+
+
+def test_co_locate_plan_skips_an_exchange(spark, no_broadcast):
+    li = read_table(spark, SF01, "lineitem")
+    shape = executed_shape(parent_rollup(li, _rel(spark), "l_returnflag", dedup="co_locate"))
     assert shape["hash_exchanges"] == 3
+    assert shape["file_scans"] == 2
+
+
+def test_static_plan_has_no_broadcast(spark):
+    li = read_table(spark, SF01, "lineitem")
+    assert plan_shape(parent_rollup(li, _rel(spark), "l_returnflag"))["broadcast_joins"] == 0
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
