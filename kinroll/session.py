@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce small shuffles only down to this size per task, so that post-
+    # shuffle stages keep the cores busy (large shuffles are unaffected).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(RUNTIME_BROADCAST_BYTES),
     "spark.sql.session.timeZone": "UTC",

@@ -1 +1,6 @@
-"""Streaming: see README (the roll-up over a stream of hits)."""
+"""The roll-up over a stream of hits. The reference has no streams; this only
+runs the same operator incrementally."""
+
+from kinroll.streaming.rollup_stream import stream_parent_rollup
+
+__all__ = ["stream_parent_rollup"]
