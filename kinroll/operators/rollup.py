@@ -25,6 +25,8 @@ broadcast unless AQE measures the parent side small at run time):
 ``dedup="co_locate"`` hash-partitions the raw pairs by parent key, then
 deduplicates and left-joins in the same stage: one exchange fewer, but a hot
 key lands whole in one task; use it for keys known to be evenly spread.
+``dedup="prepartitioned"`` is the same plan without the repartition, for
+hits and parents stored bucketed by the key: no exchange before the join.
 """
 
 from __future__ import annotations
@@ -151,7 +153,7 @@ def lift_to_parents(
         )
     pairs = bucket_pairs(hits, relation, by, keep_empty=keep_empty, dedup=dedup)
     parents = _parent_side(relation, marker=False, prefix=parent_prefix)
-    if dedup == "co_locate":
+    if dedup != "map_side":
         lifted = _co_located_rows(pairs, parents, keep_empty, False)
     else:
         lifted = _join_parents(pairs, parents)
@@ -207,7 +209,7 @@ def parent_rollup(
     count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
     agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
     parents = _parent_side(relation, marker=True)
-    if dedup == "co_locate":
+    if dedup != "map_side":
         rows = _co_located_rows(pairs, parents, keep_empty, bool(child_count))
     else:
         rows = _join_parents(pairs, parents)

@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame
 # co_locate: hash-partition the raw pairs by parent key, then deduplicate and
 #   join in the same stage; one exchange fewer, but a hot key lands whole in
 #   one task, so use it only on keys known to be evenly spread.
-DEDUP_STRATEGIES = ("map_side", "co_locate")
+# prepartitioned: the hits and parents are already partitioned by the key
+#   (tables written with ``sources.write_co_located``, bucketed alike); no
+#   exchange is added before the join, Spark inserts one only if the input
+#   turns out not to be partitioned that way.
+DEDUP_STRATEGIES = ("map_side", "co_locate", "prepartitioned")
 
 
 def check_dedup(dedup: str) -> str:
