@@ -1,7 +1,7 @@
 """Time the registered queries.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_REPEAT (default 2: best of N per query), BENCH_QUERIES
+(default 8), BENCH_REPEAT (default 3: best of N per query), BENCH_QUERIES
 (comma list, default all), BENCH_EVENT_LOG (folder for Spark's event log).
 
 Each query is run to completion through the ``noop`` sink (every row is
@@ -29,13 +29,13 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     log_dir = os.environ.get("BENCH_EVENT_LOG")
     if log_dir:
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
-    spark = get_session("kinroll-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
+    spark = get_session("kinroll-bench", master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2)),
                         extra_conf=extra)
 
     run(QUERIES[FLAGSHIP](spark, sf_dir))  # JVM and file-listing warm-up, not timed

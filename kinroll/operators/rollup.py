@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from kinroll.plans.relation import Relation, _has_column
 from kinroll.plans.strategy import check_dedup
+from kinroll.session import cut_lineage
 
 KEY = "__kr_key"
 PKEY = "__kr_parent_key"
@@ -253,23 +254,33 @@ def chain_rollup(
     keep_empty: bool = True,
     dedup: str = "map_side",
     count_name: str = "doc_count",
+    checkpoint_every: int | None = None,
 ) -> DataFrame:
     """Grandchild → … → ancestor: lift through every relation but the last,
     deduplicating at each level, then roll up over the last one.
 
     The bucket columns travel up unchanged: a parent column of the same name
     (possible in a mixed table, where every row has every column) is shadowed.
+
+    ``checkpoint_every=k`` writes the lifted rows after every k levels to the
+    reliable checkpoint folder (``spark.checkpoint.dir``): a long chain then
+    neither replans nor recomputes from the first level after a lost executor.
+    Each checkpoint runs a job at call time.
     """
     relations = list(relations)
     if not relations:
         raise ValueError("at least one relation is needed")
+    if checkpoint_every is not None and checkpoint_every < 1:
+        raise ValueError("checkpoint_every must be positive")
     by = _check_by(hits, by)
     level = hits
-    for rel in relations[:-1]:
+    for i, rel in enumerate(relations[:-1], start=1):
         shadowed = [c for c in rel.parents.columns if c in by]
         if shadowed:
             rel = replace(rel, parents=rel.parents.drop(*shadowed))
         level = lift_to_parents(level, rel, by, keep_empty=keep_empty, dedup=dedup)
+        if checkpoint_every and i % checkpoint_every == 0:
+            level = cut_lineage(level)
     return parent_rollup(
         level, relations[-1], by, aggs, keep_empty=keep_empty, dedup=dedup, count_name=count_name
     )

@@ -53,3 +53,32 @@ def stream_parent_rollup(
         F.count(MARK).alias(count_name), *[_sub_agg(n, s) for n, s in aggs.items()]
     )
     return _restore_by(out, by)
+
+
+def start_rollup_stream(
+    rollup: DataFrame,
+    name: str,
+    *,
+    output_mode: str = "update",
+    sink: str = "memory",
+    checkpoint: str | None = None,
+    options: Mapping[str, str] | None = None,
+):
+    """Start a streaming roll-up; returns the ``StreamingQuery``.
+
+    The state (the distinct pairs and the counts) is checkpointed under
+    ``<spark.checkpoint.dir>/<name>`` unless ``checkpoint`` is given, so a
+    restarted query resumes where it stopped.
+    """
+    if output_mode not in ("update", "complete"):
+        raise ValueError("a roll-up's counts change: use output mode update or complete")
+    from kinroll.session import ensure_checkpoint_dir
+
+    if checkpoint is None:
+        base = ensure_checkpoint_dir(rollup.sparkSession)
+        checkpoint = base.rstrip("/") + "/" + name
+    writer = (rollup.writeStream.outputMode(output_mode).format(sink)
+              .option("checkpointLocation", checkpoint).queryName(name))
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    return writer.start()

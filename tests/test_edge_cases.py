@@ -201,3 +201,18 @@ def test_relation_equality():
 
 def test_struct_type():
     assert isinstance(T.StructType(), T.StructType)
+
+
+def test_chain_with_checkpoints_matches(spark):
+    li = read_table(spark, SF01, "lineitem").filter(F.col("l_quantity") > 40)
+    rels = [
+        Relation.from_tables(read_table(spark, SF01, "orders"), child_key="l_orderkey", parent_key="o_orderkey"),
+        Relation.from_tables(read_table(spark, SF01, "customer"), child_key="o_custkey", parent_key="c_custkey"),
+        Relation.from_tables(read_table(spark, SF01, "nation"), child_key="c_nationkey", parent_key="n_nationkey"),
+        Relation.from_tables(read_table(spark, SF01, "region"), child_key="n_regionkey", parent_key="r_regionkey"),
+    ]
+    a = chain_rollup(li, rels, "l_returnflag", {"r": "max(r_name)"}).collect()
+    b = chain_rollup(li, rels, "l_returnflag", {"r": "max(r_name)"}, checkpoint_every=1).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    with pytest.raises(ValueError):
+        chain_rollup(li, rels, "l_returnflag", checkpoint_every=0)

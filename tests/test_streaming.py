@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinroll import Relation, parent_rollup
 from kinroll.sources import read_table
-from kinroll.streaming import stream_parent_rollup
+from kinroll.streaming import start_rollup_stream, stream_parent_rollup
 
 from .conftest import SF001
 
@@ -22,8 +22,8 @@ def test_stream_matches_batch(spark):
         lines.filter(F.col("l_returnflag") == flag).write.mode("append").parquet(folder)
     stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(folder))
     out = stream_parent_rollup(stream, rel, "l_partkey", {"sp": "sum(o_totalprice)"})
-    q = (out.writeStream.outputMode("complete").format("memory").queryName("kinroll_stream_test")
-         .option("checkpointLocation", os.path.join(folder, "_checkpoint")).start())
+    q = start_rollup_stream(out, "kinroll_stream_test", output_mode="complete",
+                            checkpoint=os.path.join(folder, "_checkpoint"))
     try:
         q.processAllAvailable()
     finally:
@@ -46,3 +46,24 @@ def test_stream_rejects_table(spark):
                                parent_key="o_orderkey")
     with pytest.raises(ValueError):
         stream_parent_rollup(lines, rel, "l_returnflag")
+
+
+def test_stream_state_checkpoint_defaults_to_session_folder(spark):
+    from kinroll.session import ensure_checkpoint_dir
+
+    lines = read_table(spark, SF001, "lineitem")
+    folder = tempfile.mkdtemp(prefix="kinroll-stream2-")
+    lines.write.mode("append").parquet(folder)
+    rel = Relation.from_tables(read_table(spark, SF001, "orders"), child_key="l_orderkey",
+                               parent_key="o_orderkey")
+    out = stream_parent_rollup(spark.readStream.schema(lines.schema).parquet(folder), rel, "l_returnflag")
+    q = start_rollup_stream(out, "kinroll_stream_default_ckpt")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    assert os.path.isdir(os.path.join(base, "kinroll_stream_default_ckpt"))
+    got = {r[0]: r[1] for r in spark.table("kinroll_stream_default_ckpt").collect()}
+    want = {r[0]: r[1] for r in parent_rollup(lines, rel, "l_returnflag").collect()}
+    assert got == want
