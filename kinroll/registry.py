@@ -242,6 +242,44 @@ def filter_predicate_join_field(spark, d):
                        F.coalesce("o_orderstatus", "l_linestatus").alias("status"))
 
 
+def rollup_join_field_terms(spark, d):
+    """The reference test's query shape on real tables: one mixed table of
+    customers and orders, a term query on the role, term buckets on analysed
+    text, customers per term beside the term's own count of orders."""
+    docs = (
+        join_field_rows(_t(spark, d, "customer"), "customer", id_of="c_custkey")
+        .unionByName(join_field_rows(_t(spark, d, "orders"), "order", id_of="o_orderkey",
+                                     parent_of="o_custkey"), allowMissingColumns=True)
+    )
+    hits = term_buckets(docs.filter(F.col("join_field.name") == "order"), "o_orderpriority", "term")
+    rel = Relation.from_join_field(docs, child_role="order", relations={"customer": "order"})
+    return parent_rollup(hits, rel, "term", child_count="n_orders")
+
+
+def rollup_live_only(spark, d):
+    """Restricted parents, buckets without a live parent dropped."""
+    live = _t(spark, d, "orders").filter(F.col("o_orderstatus") != "P")
+    hits = _t(spark, d, "lineitem").filter(F.col("l_quantity") > 49)
+    r = parent_rollup(hits, _orders(spark, d, live), "l_partkey", {"sp": _dsum("o_totalprice")},
+                      keep_empty=False)
+    return _as_double(r, "sp")
+
+
+def rollup_missing_parent_co_locate(spark, d):
+    """As rollup_missing_parent, pairs co-located by key (left-join plan)."""
+    live = _t(spark, d, "orders").filter(F.col("o_orderstatus") != "P")
+    hits = _t(spark, d, "lineitem").filter(F.col("l_quantity") > 49)
+    return parent_rollup(hits, _orders(spark, d, live), "l_partkey", dedup="co_locate")
+
+
+def rollup_events_co_locate(spark, d):
+    """As rollup_events, pairs co-located by key, child counts past the join."""
+    r = parent_rollup(_t(spark, d, "events"), _customers(spark, d, "user_id"), "event_type",
+                      {"sa": _dsum("c_acctbal"), "n_nations": "count(DISTINCT c_nationkey)"},
+                      child_count="n_events", dedup="co_locate")
+    return _as_double(r, "sa")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_sum": rollup_sum,
     "rollup_missing_parent": rollup_missing_parent,
@@ -264,6 +302,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "family_values_join_field": family_values_join_field,
     "filter_predicate": filter_predicate,
     "filter_predicate_join_field": filter_predicate_join_field,
+    "rollup_join_field_terms": rollup_join_field_terms,
+    "rollup_live_only": rollup_live_only,
+    "rollup_missing_parent_co_locate": rollup_missing_parent_co_locate,
+    "rollup_events_co_locate": rollup_events_co_locate,
 }
 
 
@@ -423,4 +465,25 @@ WHERE family IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 49)
 """,
 }
 
+ORACLE_SQL["rollup_join_field_terms"] = f"""
+WITH t AS (SELECT o_custkey, unnest({_tokens('o_orderpriority')}) AS term FROM orders),
+     c AS (SELECT term, count(*) AS n_orders FROM t GROUP BY term),
+     p AS (SELECT h.term, count(cu.c_custkey) AS doc_count
+           FROM (SELECT DISTINCT term, o_custkey FROM t) h
+           LEFT JOIN customer cu ON h.o_custkey = cu.c_custkey
+           GROUP BY h.term)
+SELECT p.term, p.doc_count, c.n_orders FROM p JOIN c ON p.term = c.term
+"""
+
+ORACLE_SQL["rollup_live_only"] = """
+SELECT h.l_partkey, count(*) AS doc_count,
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sp
+FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem WHERE l_quantity > 49) h
+JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') o ON h.l_orderkey = o.o_orderkey
+GROUP BY h.l_partkey
+"""
+
+ORACLE_SQL["rollup_missing_parent_co_locate"] = ORACLE_SQL["rollup_missing_parent"]
+ORACLE_SQL["rollup_events_co_locate"] = ORACLE_SQL["rollup_events"]
+
 FLAGSHIP = "rollup_sum"
