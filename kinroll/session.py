@@ -59,6 +59,38 @@ def get_session(
     return spark
 
 
+def cluster_conf(
+    input_bytes: int,
+    total_cores: int,
+    *,
+    shuffle_ratio: float = 0.25,
+    bytes_per_task: int = 256 * 1024 * 1024,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input on
+    ``total_cores`` executor cores (pass them as ``extra_conf``).
+
+    Shuffle partitions follow the bytes expected in the largest shuffle
+    (``shuffle_ratio`` of the input: the pair dedup and projection shrink it),
+    one per ``bytes_per_task``, at least three per core and at most
+    ``max_partitions`` (map-output tracking grows with mappers x reducers).
+    AQE coalesces toward the advisory size rather than maximal parallelism,
+    which on a busy cluster only adds tiny tasks; file splits stay at 128 MB
+    so a task's input fits executor memory.
+    """
+    if input_bytes <= 0 or total_cores <= 0:
+        raise ValueError("input_bytes and total_cores must be positive")
+    wanted = int(input_bytes * shuffle_ratio // bytes_per_task) + 1
+    partitions = min(max(3 * total_cores, wanted), max(max_partitions, 3 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only where unset.
 

@@ -216,3 +216,14 @@ def test_chain_with_checkpoints_matches(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     with pytest.raises(ValueError):
         chain_rollup(li, rels, "l_returnflag", checkpoint_every=0)
+
+
+def test_cluster_conf_bounds():
+    from kinroll.session import cluster_conf
+
+    big = cluster_conf(100 * 2**40, 8000)
+    assert 24_000 <= int(big["spark.sql.shuffle.partitions"]) <= 100_000
+    small = cluster_conf(2**30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192
+    with pytest.raises(ValueError):
+        cluster_conf(0, 8)
