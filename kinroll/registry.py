@@ -26,7 +26,7 @@ from kinroll.operators import (
     parent_rollup,
 )
 from kinroll.plans import Relation, spread_narrow
-from kinroll.sources import family_shards, join_field_rows, mixed_table, read_table
+from kinroll.sources import family_route, join_field_rows, mixed_table, read_table
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -152,12 +152,16 @@ def rollup_unknown_role(spark, d):
 
 
 def rollup_merge(spark, d):
-    """Roll-ups of four shards routed by family, merged into one."""
+    """Partial roll-ups of four shards routed by family, merged into one.
+
+    The shard is a grouping column (a function of the family key), so the
+    partial results come from one pass over the hits, disjoint by parent.
+    """
     hits = _t(spark, d, "lineitem").filter(F.col("l_quantity") > 25)
-    rel = _orders(spark, d)
-    parts = [parent_rollup(s, rel, "l_returnflag", {"sp": _dsum("o_totalprice")})
-             for s in family_shards(hits, "l_orderkey", 4)]
-    return _as_double(merge_rollups(parts, "l_returnflag", {"sp": "sum"}), "sp")
+    hits = hits.withColumn("shard", family_route("l_orderkey", 4))
+    partials = parent_rollup(hits, _orders(spark, d), ["l_returnflag", "shard"],
+                             {"sp": _dsum("o_totalprice")})
+    return _as_double(merge_rollups([partials], "l_returnflag", {"sp": "sum"}), "sp")
 
 
 def rollup_labels(spark, d):
