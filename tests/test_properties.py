@@ -84,3 +84,89 @@ def test_merge_of_overlapping_parts_double_counts(spark):
     by_line = [li.filter(F.col("l_linenumber") % 2 == i) for i in (0, 1)]
     merged = _d(merge_rollups([parent_rollup(p, rel, "l_returnflag") for p in by_line], "l_returnflag"))
     assert merged != whole
+
+
+# ---- join-field layout, chains and family values against brute force
+
+roles = st.sampled_from(["case", "activity", "note"])
+ids = st.sampled_from(["a", "b", "c", "d"])
+mixed_rows = st.lists(
+    st.tuples(ids, roles, st.one_of(st.none(), ids), st.sampled_from(["x", "y", None]), st.integers(0, 9)),
+    max_size=20,
+)
+
+
+def brute_force_join_field(docs, hits):
+    buckets = {b for (_, _, _, b, _) in hits}
+    pairs = {(b, p) for (_, role, p, b, _) in hits if role == "activity" and p is not None}
+    parents = [(i, v) for (i, role, _, _, v) in docs if role == "case"]
+    out = {}
+    for b in buckets:
+        vals = [v for (bb, p) in pairs if bb == b for (i, v) in parents if i == p]
+        out[b] = (len(vals), sum(vals) if vals else None)
+    return out
+
+
+def _docs_df(spark, docs):
+    rows = [(i, (role, p if role != "case" else None), b, v) for (i, role, p, b, v) in docs]
+    return spark.createDataFrame(
+        rows, "_id string, join_field struct<name:string,parent:string>, b string, v long")
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(mixed_rows, st.integers(0, 9))
+def test_join_field_matches_brute_force(spark, docs, cut):
+    docs = [(i, r, p if r != "case" else None, b, v) for (i, r, p, b, v) in docs]
+    hits = [d for d in docs if d[4] <= cut]
+    df = _docs_df(spark, docs)
+    rel = Relation.from_join_field(df, child_role="activity", relations={"case": "activity"})
+    r = parent_rollup(df.filter(F.col("v") <= cut), rel, "b", {"s": "sum(v)"})
+    got = {x["b"]: (x["doc_count"], x["s"]) for x in r.collect()}
+    assert got == brute_force_join_field(docs, hits)
+
+
+three_levels = st.tuples(
+    st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["p", "q"])), max_size=15),  # child: (mid, bucket)
+    st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(0, 3))), max_size=8),  # mid: (id, top)
+    st.lists(st.tuples(st.integers(0, 3), st.integers(1, 9)), max_size=5),  # top: (id, w)
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(three_levels)
+def test_chain_matches_brute_force(spark, data):
+    from kinroll import chain_rollup
+
+    kids, mids, tops = data
+    k = spark.createDataFrame(kids, "mid long, b string")
+    m = spark.createDataFrame(mids, "mid_id long, top long")
+    t = spark.createDataFrame(tops, "top_id long, w long")
+    rels = [Relation.from_tables(m, child_key="mid", parent_key="mid_id"),
+            Relation.from_tables(t, child_key="top", parent_key="top_id")]
+    got = {x["b"]: (x["doc_count"], x["s"]) for x in chain_rollup(k, rels, "b", {"s": "sum(w)"}).collect()}
+    want = {}
+    for b in {b for _, b in kids}:
+        level1 = [(mid_id, top) for (mid_id, top) in mids if any(mm == mid_id and bb == b for mm, bb in kids)]
+        keys = {top for (_, top) in level1 if top is not None}
+        ws = [w for tk in keys for (top_id, w) in tops if top_id == tk]
+        want[b] = (len(ws), sum(ws) if ws else None)
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(mixed_rows)
+def test_family_values_match_brute_force(spark, docs):
+    from collections import Counter
+
+    from kinroll import family_values
+
+    docs = [(i, r, p if r != "case" else None, b, v) for (i, r, p, b, v) in docs]
+    df = _docs_df(spark, docs)
+    rel = Relation.from_join_field(df, child_role="activity", relations={"case": "activity"})
+    got = {(x["family"], x["b"]): x["n"] for x in family_values(df, rel, "b", key_name="family").collect()}
+    want = Counter()
+    for (i, role, p, b, _) in docs:
+        fam = i if role == "case" else (p if role == "activity" else None)
+        if fam is not None and b is not None:
+            want[(fam, b)] += 1
+    assert got == dict(want)
