@@ -35,9 +35,12 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame
     A scan of a few unsplittable files (one parquet row group, a gzip file)
     would otherwise run that work in a handful of tasks. A wide input (any
     large table split normally) is returned unchanged: no shuffle is added.
+    The spread goes to two tasks per core, so rows of very different sizes
+    (documents of 1 to 20,000 words) even out.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    want = min_partitions or 2 * cores
+    if df.rdd.getNumPartitions() >= min(want, cores):
         return df
     return df.repartition(want)
 
