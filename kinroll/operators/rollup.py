@@ -92,11 +92,14 @@ def bucket_pairs(
     pairs = hits.select(*cols, relation.child_key.alias(KEY))
     if not keep_empty:
         pairs = pairs.filter(F.col(KEY).isNotNull())
+    return _dedup(pairs, _private(by), dedup, with_child_count)
+
+
+def _dedup(pairs: DataFrame, priv: Sequence[str], dedup: str, with_child_count: bool = False) -> DataFrame:
     if dedup == "co_locate":
         pairs = pairs.repartition(F.col(KEY))
-    group = [*_private(by), KEY]
     if with_child_count:
-        return pairs.groupBy(*group).agg(F.count(F.lit(1)).alias(CHILDREN))
+        return pairs.groupBy(*priv, KEY).agg(F.count(F.lit(1)).alias(CHILDREN))
     return pairs.distinct()
 
 
@@ -257,10 +260,13 @@ def chain_rollup(
     checkpoint_every: int | None = None,
 ) -> DataFrame:
     """Grandchild → … → ancestor: lift through every relation but the last,
-    deduplicating at each level, then roll up over the last one.
+    deduplicating (bucket, key) at each level, then roll up over the last.
 
-    The bucket columns travel up unchanged: a parent column of the same name
-    (possible in a mixed table, where every row has every column) is shadowed.
+    With the default plan every level is an inner join of deduplicated pairs
+    to that level's parents (the bucket columns travel under private names,
+    so no parent column can clash with them), and the buckets of the hits
+    join the final aggregation once, from the first level's pairs (reused
+    exchange): buckets that reach no ancestor stay at 0.
 
     ``checkpoint_every=k`` writes the lifted rows after every k levels to the
     reliable checkpoint folder (``spark.checkpoint.dir``): a long chain then
@@ -273,6 +279,34 @@ def chain_rollup(
     if checkpoint_every is not None and checkpoint_every < 1:
         raise ValueError("checkpoint_every must be positive")
     by = _check_by(hits, by)
+    if dedup != "map_side":
+        return _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, checkpoint_every)
+    aggs = dict(aggs or {})
+    if count_name in by or set(aggs) & {count_name, *by}:
+        raise ValueError("output names repeat or clash with bucket columns")
+    priv = _private(by)
+    first = bucket_pairs(hits, relations[0], by, keep_empty=keep_empty)
+    pairs = first
+    for i, rel in enumerate(relations[1:], start=1):
+        lifted = _join_parents(pairs, _parent_side(relations[i - 1], marker=False))
+        if checkpoint_every and i % checkpoint_every == 0:
+            lifted = cut_lineage(lifted)
+        rel.check_hits(lifted)
+        step = lifted.select(*priv, rel.child_key.alias(KEY)).filter(F.col(KEY).isNotNull())
+        pairs = _dedup(step, priv, dedup)
+    rows = _join_parents(pairs, _parent_side(relations[-1], marker=True))
+    if keep_empty:
+        rows = rows.unionByName(first.withColumn(BUCKET_ROW, F.lit(True)).drop(KEY),
+                                allowMissingColumns=True)
+    out = rows.groupBy(*priv).agg(
+        F.count(MARK).alias(count_name), *[_sub_agg(n, s) for n, s in aggs.items()]
+    )
+    return _restore_by(out, by).select(*by, count_name, *aggs)
+
+
+def _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, checkpoint_every):
+    """Chains under the co-located plans: lift level by level (left joins
+    keep bucket markers), then roll up over the last relation."""
     level = hits
     for i, rel in enumerate(relations[:-1], start=1):
         shadowed = [c for c in rel.parents.columns if c in by]

@@ -67,3 +67,26 @@ def test_no_cartesian_no_python(spark, name):
     # Only a roll-up without buckets gathers into one partition, and only the
     # one partial row per task of its final aggregate.
     assert shape["single_partition_exchanges"] == (1 if name == "rollup_global" else 0)
+
+
+def test_chain_reads_hits_once(spark, no_broadcast):
+    from kinroll import chain_rollup
+
+    li = read_table(spark, SF01, "lineitem").filter(F.col("l_quantity") > 45)
+    rels = [_rel(spark), Relation.from_tables(read_table(spark, SF01, "customer"),
+                                              child_key="o_custkey", parent_key="c_custkey")]
+    shape = executed_shape(chain_rollup(li, rels, "l_returnflag"))
+    assert shape["file_scans"] == 3  # lineitem once, orders, customer
+    assert shape["reused_exchanges"] == 1
+
+
+def test_chain_co_locate_agrees(spark):
+    from kinroll import chain_rollup
+
+    li = read_table(spark, SF01, "lineitem").filter(F.col("l_quantity") > 45)
+    rels = [_rel(spark), Relation.from_tables(read_table(spark, SF01, "customer"),
+                                              child_key="o_custkey", parent_key="c_custkey")]
+    a = chain_rollup(li, rels, "l_returnflag", {"s": "sum(c_acctbal)"}).collect()
+    b = chain_rollup(li, rels, "l_returnflag", {"s": "sum(c_acctbal)"}, dedup="co_locate").collect()
+    norm = lambda rows: sorted((r[0], r[1], round(r[2], 4)) for r in rows)
+    assert norm(a) == norm(b)
