@@ -167,12 +167,28 @@ def lift_to_parents(
     return _restore_by(lifted, by)
 
 
-def _sub_agg(name: str, sql: str):
-    if not isinstance(sql, str):
-        raise TypeError(
-            f"sub-aggregation {name!r} must be a Spark SQL aggregate call given as a string"
-        )
-    return F.expr(f"{sql} FILTER (WHERE {MARK})").alias(name)
+# Aggregates that split over parent keys: per-key partials on the parent
+# side, then the named combine over the bucket's keys.
+SPLITTABLE = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
+
+
+def _as_sql(name: str, spec) -> str:
+    if isinstance(spec, str):
+        return spec
+    if isinstance(spec, tuple) and len(spec) == 2 and spec[0] in SPLITTABLE and isinstance(spec[1], str):
+        return f"{spec[0]}({spec[1]})"
+    raise TypeError(
+        f"sub-aggregation {name!r} must be a Spark SQL aggregate call (a string) or a pair "
+        f"(function, SQL expression) with the function one of {sorted(SPLITTABLE)}"
+    )
+
+
+def _sub_agg(name: str, spec):
+    return F.expr(f"{_as_sql(name, spec)} FILTER (WHERE {MARK})").alias(name)
+
+
+def _splittable(aggs: Mapping) -> bool:
+    return all(isinstance(v, tuple) for v in aggs.values())
 
 
 def parent_rollup(
@@ -189,10 +205,19 @@ def parent_rollup(
 ) -> DataFrame:
     """Parents per bucket: ``(by…, doc_count, child_count?, aggs…)``.
 
-    ``aggs`` maps an output name to a Spark SQL aggregate call over parent
-    columns, e.g. ``{"total": "sum(o_totalprice)", "n": "count(*)"}``; it is
-    evaluated on the bucket's parent rows only. Finish a result (cast, ratio,
-    filter on ``doc_count``) with ordinary DataFrame code on the output.
+    ``aggs`` maps an output name to an aggregate over the bucket's parent
+    rows (never over the children):
+
+    * a pair ``(function, expression)`` with the function one of ``count``,
+      ``sum``, ``min``, ``max``, e.g. ``{"total": ("sum", "o_totalprice")}``;
+      these split over parent keys, so the parent rows are aggregated per
+      key first (a group of copies of one parent id collapses map-side) and
+      joined once, the cheapest skew-safe plan;
+    * any Spark SQL aggregate call as a string, e.g. ``"count(DISTINCT x)"``,
+      ``"percentile_approx(x, 0.5)"``; evaluated over the joined parent rows.
+
+    Finish a result (cast, ratio, filter on ``doc_count``) with ordinary
+    DataFrame code on the output.
 
     ``by=()`` gives one row, also for empty hits. ``keep_empty=False`` drops
     buckets that have no parent. ``child_count`` adds the number of hits per
@@ -204,11 +229,16 @@ def parent_rollup(
     names = [count_name, *aggs, *([child_count] if child_count else [])]
     if len(set(names)) != len(names) or set(names) & set(by):
         raise ValueError(f"output names repeat or clash with bucket columns: {names}")
+    for n, spec in aggs.items():
+        _as_sql(n, spec)
     priv = _private(by)
     pairs = bucket_pairs(
         hits, relation, by, keep_empty=keep_empty or bool(child_count), dedup=dedup,
         with_child_count=child_count is not None,
     )
+    if _splittable(aggs):
+        out = _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata)
+        return _restore_by(out, by).select(*by, count_name, *([child_count] if child_count else []), *aggs)
     count_col = F.count(MARK)
     count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
     agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
@@ -231,6 +261,36 @@ def parent_rollup(
     return _restore_by(out, by).select(*by, count_name, *([child_count] if child_count else []), *aggs)
 
 
+def _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata):
+    """Roll-up when every sub-aggregation splits over parent keys.
+
+    The parent rows are aggregated per key (row count and per-key partials,
+    partial aggregation before the shuffle); that exchange by key is also the
+    join's, and the parent side is then unique per key. The pairs left-join
+    it: buckets without parents stay (their partials are null), each pair's
+    hit count passes once, and AQE may split a hot key on the pairs side.
+    """
+    per_key = [F.count(F.lit(1)).alias("__kr_n")]
+    per_key += [F.expr(f"{fn}({expr})").alias(f"__kr_p_{i}") for i, (fn, expr) in enumerate(aggs.values())]
+    parents = (relation.parents.filter(F.col(relation.parent_key).isNotNull())
+               .groupBy(F.col(relation.parent_key).alias(PKEY)).agg(*per_key))
+    how = "left" if keep_empty or child_count else "inner"
+    rows = pairs.join(parents, pairs[KEY] == parents[PKEY], how)
+    count_col = F.coalesce(F.sum("__kr_n"), F.lit(0)).cast("bigint")
+    out_cols = [count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)]
+    if child_count:
+        out_cols.append(F.sum(CHILDREN).alias(child_count))
+    for i, (name, (fn, _)) in enumerate(aggs.items()):
+        combined = F.expr(f"{SPLITTABLE[fn]}(__kr_p_{i})")
+        if fn == "count":
+            combined = F.coalesce(combined, F.lit(0)).cast("bigint")
+        out_cols.append(combined.alias(name))
+    out = rows.groupBy(*priv).agg(*out_cols)
+    if not keep_empty and child_count:
+        out = out.filter(F.col(count_name) > 0)
+    return out
+
+
 def _co_located_rows(pairs: DataFrame, parents: DataFrame, keep_empty: bool, child_count: bool) -> DataFrame:
     """Pairs already partitioned by key: join without a further exchange.
 

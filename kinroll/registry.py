@@ -33,7 +33,12 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, d, name)
 
 
-def _dsum(c: str) -> str:
+def _dsum(c: str) -> tuple[str, str]:
+    """Exact sum of a double price: per parent key, then per bucket."""
+    return ("sum", f"CAST({c} AS DECIMAL(18,2))")
+
+
+def _dsum_sql(c: str) -> str:
     return f"sum(CAST({c} AS DECIMAL(18,2)))"
 
 
@@ -117,7 +122,7 @@ def rollup_doc_terms(spark, d):
     lines = text.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     hits = term_buckets(lines, "line", "term")
     rel = Relation.from_tables(docs, child_key="doc_id", parent_key="doc_id")
-    return parent_rollup(hits, rel, "term", {"total_chars": "sum(n_chars)"}, child_count="n_lines")
+    return parent_rollup(hits, rel, "term", {"total_chars": ("sum", "n_chars")}, child_count="n_lines")
 
 
 def rollup_join_field(spark, d):
@@ -168,13 +173,13 @@ def rollup_labels(spark, d):
     """Documents per toxicity label, with their size."""
     rel = Relation.from_tables(_t(spark, d, "documents"), child_key="doc_id", parent_key="doc_id")
     return parent_rollup(_t(spark, d, "labels"), rel, "toxic",
-                         {"mn": "min(n_chars)", "total_chars": "sum(n_chars)"}, child_count="n_labels")
+                         {"mn": ("min", "n_chars"), "total_chars": ("sum", "n_chars")}, child_count="n_labels")
 
 
 def rollup_events(spark, d):
     """Customers per event type, with their balance and nations."""
     r = parent_rollup(_t(spark, d, "events"), _customers(spark, d, "user_id"), "event_type",
-                      {"sa": _dsum("c_acctbal"), "n_nations": "count(DISTINCT c_nationkey)"},
+                      {"sa": _dsum_sql("c_acctbal"), "n_nations": "count(DISTINCT c_nationkey)"},
                       child_count="n_events")
     return _as_double(r, "sa")
 
@@ -279,7 +284,7 @@ def rollup_missing_parent_co_locate(spark, d):
 def rollup_events_co_locate(spark, d):
     """As rollup_events, pairs co-located by key, child counts past the join."""
     r = parent_rollup(_t(spark, d, "events"), _customers(spark, d, "user_id"), "event_type",
-                      {"sa": _dsum("c_acctbal"), "n_nations": "count(DISTINCT c_nationkey)"},
+                      {"sa": _dsum_sql("c_acctbal"), "n_nations": "count(DISTINCT c_nationkey)"},
                       child_count="n_events", dedup="co_locate")
     return _as_double(r, "sa")
 

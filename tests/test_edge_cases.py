@@ -227,3 +227,25 @@ def test_cluster_conf_bounds():
     assert int(small["spark.sql.shuffle.partitions"]) == 192
     with pytest.raises(ValueError):
         cluster_conf(0, 8)
+
+
+def test_split_aggregates_match_sql_aggregates(spark):
+    """(function, expression) pairs and SQL strings give the same roll-up,
+    also with duplicate parent ids, empty buckets and child counts."""
+    parents = spark.createDataFrame([(1, 5), (1, 7), (2, None), (4, 1)], "pid long, v long")
+    kids = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (3, "y"), (None, "z"), (4, "y")],
+                                 "fk long, b string")
+    rel = Relation.from_tables(parents, child_key="fk", parent_key="pid")
+    pairs = {"n": ("count", "v"), "rows": ("count", "*"), "s": ("sum", "v"),
+             "lo": ("min", "v"), "hi": ("max", "v")}
+    sql = {"n": "count(v)", "rows": "count(*)", "s": "sum(v)", "lo": "min(v)", "hi": "max(v)"}
+    for kw in ({}, {"child_count": "c"}, {"keep_empty": False}, {"keep_empty": False, "child_count": "c"}):
+        a = sorted(map(tuple, parent_rollup(kids, rel, "b", pairs, **kw).collect()), key=str)
+        b = sorted(map(tuple, parent_rollup(kids, rel, "b", sql, **kw).collect()), key=str)
+        assert a == b, kw
+    got = {r["b"]: (r["doc_count"], r["rows"], r["s"]) for r in parent_rollup(kids, rel, "b", pairs).collect()}
+    assert got == {"x": (3, 3, 12), "y": (1, 1, 1), "z": (0, 0, None)}
+    empty = parent_rollup(kids.filter(F.lit(False)), rel, (), pairs).collect()
+    assert [tuple(r) for r in empty] == [(0, 0, 0, None, None, None)]
+    with pytest.raises(TypeError):
+        parent_rollup(kids, rel, "b", {"m": ("median", "v")})

@@ -38,7 +38,9 @@ def _rel(spark):
 
 def test_map_side_plan_reads_hits_once(spark, no_broadcast):
     li = read_table(spark, SF01, "lineitem")
-    shape = executed_shape(parent_rollup(li, _rel(spark), "l_returnflag", child_count="n"))
+    r = parent_rollup(li, _rel(spark), "l_returnflag", {"n": "max_by(o_custkey, o_totalprice)"},
+                      child_count="c")
+    shape = executed_shape(r)
     # pairs by (bucket, key), pairs by key, parents by key, buckets; the
     # bucket-row branch reuses the pairs exchange, so lineitem is scanned once
     assert shape["hash_exchanges"] == 4
@@ -47,6 +49,18 @@ def test_map_side_plan_reads_hits_once(spark, no_broadcast):
     assert shape["broadcast_joins"] == 0
 
 
+def test_per_key_plan_has_one_branch(spark, no_broadcast):
+    li = read_table(spark, SF01, "lineitem")
+    r = parent_rollup(li, _rel(spark), "l_returnflag", {"s": ("sum", "o_totalprice")}, child_count="c")
+    shape = executed_shape(r)
+    # pairs by (bucket, key), pairs by key, parents aggregated by key (the
+    # join's exchange too), buckets; nothing read twice
+    assert shape["hash_exchanges"] == 4
+    assert shape["reused_exchanges"] == 0
+    assert shape["file_scans"] == 2
+    assert shape["sort_merge_joins"] == 1
+
+
 def test_co_locate_plan_skips_an_exchange(spark, no_broadcast):
     li = read_table(spark, SF01, "lineitem")
     shape = executed_shape(parent_rollup(li, _rel(spark), "l_returnflag", dedup="co_locate"))

@@ -33,13 +33,14 @@ child_rows = st.lists(st.tuples(keys, st.sampled_from(["a", "b", "c", None])), m
 parent_rows = st.lists(st.tuples(st.integers(0, 8), st.integers(-5, 50)), max_size=12)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(child_rows, parent_rows, st.booleans(), st.sampled_from(["map_side", "co_locate"]))
-def test_matches_brute_force(spark, children, parents, keep_empty, dedup):
+@settings(max_examples=16, deadline=None, suppress_health_check=list(HealthCheck))
+@given(child_rows, parent_rows, st.booleans(), st.sampled_from(["map_side", "co_locate"]),
+       st.sampled_from(["sum(v)", ("sum", "v")]))
+def test_matches_brute_force(spark, children, parents, keep_empty, dedup, agg):
     kids = spark.createDataFrame(children, "fk long, b string")
     par = spark.createDataFrame(parents, "pid long, v long")
     rel = Relation.from_tables(par, child_key="fk", parent_key="pid")
-    r = parent_rollup(kids, rel, "b", {"s": "sum(v)"}, keep_empty=keep_empty, dedup=dedup)
+    r = parent_rollup(kids, rel, "b", {"s": agg}, keep_empty=keep_empty, dedup=dedup)
     got = {x["b"]: (x["doc_count"], x["s"]) for x in r.collect()}
     assert got == brute_force(children, parents, keep_empty)
 

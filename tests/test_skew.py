@@ -68,3 +68,17 @@ def test_hot_parent_copies_split_by_aqe(spark, skew_conf):
     assert _got(r) == _expected(li, parents)
     plan = r._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_hot_parent_copies_collapse_per_key(spark, skew_conf):
+    """With splittable sub-aggregations the parent rows are aggregated per key
+    before the join: 40,000 copies of one id become one row map-side."""
+    li = read_table(spark, SF01, "lineitem")
+    orders = read_table(spark, SF01, "orders")
+    copies = (orders.filter(F.col("o_orderkey") == HOT)
+              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40000))))
+              .withColumn("o_custkey", F.col("copy").cast("bigint")).drop("copy"))
+    parents = orders.unionByName(copies).repartition(8)
+    rel = Relation.from_tables(parents, child_key="l_orderkey", parent_key="o_orderkey")
+    r = parent_rollup(li, rel, "l_returnflag", {"sc": ("sum", "o_custkey")})
+    assert _got(r) == _expected(li, parents)
