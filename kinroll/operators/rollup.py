@@ -22,6 +22,12 @@ broadcast unless AQE measures the parent side small at run time):
    sub-aggregation gets ``FILTER (WHERE marker)``; a bucket without parents
    keeps its row with 0 and empty (SQL NULL) sub-results.
 
+When every sub-aggregation splits over parent keys (``count``, ``sum``,
+``min``, ``max`` given as ``(function, expression)``, or none at all), steps
+3-5 become: aggregate the parent rows per key (a group of copies collapses
+map-side, in the exchange the join needs anyway), left-join the pairs to that
+unique-per-key side, group by the buckets. No union, no second read.
+
 ``dedup="co_locate"`` hash-partitions the raw pairs by parent key, then
 deduplicates and left-joins in the same stage: one exchange fewer, but a hot
 key lands whole in one task; use it for keys known to be evenly spread.
@@ -191,11 +197,14 @@ def _splittable(aggs: Mapping) -> bool:
     return all(isinstance(v, tuple) for v in aggs.values())
 
 
+AggSpec = str | tuple[str, str]
+
+
 def parent_rollup(
     hits: DataFrame,
     relation: Relation,
     by: Sequence[str] | str = (),
-    aggs: Mapping[str, str] | None = None,
+    aggs: Mapping[str, AggSpec] | None = None,
     *,
     keep_empty: bool = True,
     dedup: str = "map_side",
@@ -312,7 +321,7 @@ def chain_rollup(
     hits: DataFrame,
     relations: Sequence[Relation],
     by: Sequence[str] | str = (),
-    aggs: Mapping[str, str] | None = None,
+    aggs: Mapping[str, AggSpec] | None = None,
     *,
     keep_empty: bool = True,
     dedup: str = "map_side",
