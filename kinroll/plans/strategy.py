@@ -37,10 +37,14 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame
     large table split normally) is returned unchanged: no shuffle is added.
     The spread goes to two tasks per core, so rows of very different sizes
     (documents of 1 to 20,000 words) even out.
+
+    Call it on a DataFrame read from files, before any shuffle: an input of
+    at least as many files as cores counts as wide at once; otherwise the
+    scan's partitions are counted (planning only, for a scan no job runs).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     want = min_partitions or 2 * cores
-    if df.rdd.getNumPartitions() >= min(want, cores):
+    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= min(want, cores):
         return df
     return df.repartition(want)
 
