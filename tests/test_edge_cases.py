@@ -249,3 +249,20 @@ def test_split_aggregates_match_sql_aggregates(spark):
     assert [tuple(r) for r in empty] == [(0, 0, 0, None, None, None)]
     with pytest.raises(TypeError):
         parent_rollup(kids, rel, "b", {"m": ("median", "v")})
+
+
+def test_parent_role_with_two_child_roles(spark):
+    rows = [
+        ("c1", ("case", None), "x"), ("c2", ("case", None), "y"),
+        ("a1", ("activity", "c1"), "x"), ("n1", ("note", "c1"), "x"), ("n2", ("note", "c2"), "x"),
+        ("n3", ("note", "zz"), "y"),
+    ]
+    docs = spark.createDataFrame(rows, "_id string, join_field struct<name:string,parent:string>, b string")
+    rels = {"case": ["activity", "note"]}
+    notes = Relation.from_join_field(docs, child_role="note", relations=rels)
+    acts = Relation.from_join_field(docs, child_role="activity", relations=rels)
+    assert notes.parent_role == acts.parent_role == "case"
+    got = {r["b"]: r["doc_count"] for r in parent_rollup(docs, notes, "b").collect()}
+    assert got == {"x": 2, "y": 0}  # n1 -> c1, n2 -> c2; n3's parent is missing
+    got = {r["b"]: r["doc_count"] for r in parent_rollup(docs, acts, "b").collect()}
+    assert got == {"x": 1, "y": 0}
