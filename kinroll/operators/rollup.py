@@ -270,6 +270,26 @@ def parent_rollup(
     return _restore_by(out, by).select(*by, count_name, *([child_count] if child_count else []), *aggs)
 
 
+def _per_key_parents(relation: Relation, aggs: Mapping) -> DataFrame:
+    """Parent rows aggregated per key: row count and per-key partials."""
+    per_key = [F.count(F.lit(1)).alias("__kr_n")]
+    per_key += [F.expr(f"{fn}({expr})").alias(f"__kr_p_{i}") for i, (fn, expr) in enumerate(aggs.values())]
+    return (relation.parents.filter(F.col(relation.parent_key).isNotNull())
+            .groupBy(F.col(relation.parent_key).alias(PKEY)).agg(*per_key))
+
+
+def _per_key_outputs(aggs: Mapping, count_name: str, metadata: dict | None) -> list:
+    """Combine per-key partials over the bucket's keys (null partials: no parent)."""
+    count_col = F.coalesce(F.sum("__kr_n"), F.lit(0)).cast("bigint")
+    cols = [count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)]
+    for i, (name, (fn, _)) in enumerate(aggs.items()):
+        combined = F.expr(f"{SPLITTABLE[fn]}(__kr_p_{i})")
+        if fn == "count":
+            combined = F.coalesce(combined, F.lit(0)).cast("bigint")
+        cols.append(combined.alias(name))
+    return cols
+
+
 def _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata):
     """Roll-up when every sub-aggregation splits over parent keys.
 
@@ -279,21 +299,12 @@ def _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_c
     it: buckets without parents stay (their partials are null), each pair's
     hit count passes once, and AQE may split a hot key on the pairs side.
     """
-    per_key = [F.count(F.lit(1)).alias("__kr_n")]
-    per_key += [F.expr(f"{fn}({expr})").alias(f"__kr_p_{i}") for i, (fn, expr) in enumerate(aggs.values())]
-    parents = (relation.parents.filter(F.col(relation.parent_key).isNotNull())
-               .groupBy(F.col(relation.parent_key).alias(PKEY)).agg(*per_key))
+    parents = _per_key_parents(relation, aggs)
     how = "left" if keep_empty or child_count else "inner"
     rows = pairs.join(parents, pairs[KEY] == parents[PKEY], how)
-    count_col = F.coalesce(F.sum("__kr_n"), F.lit(0)).cast("bigint")
-    out_cols = [count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)]
+    out_cols = _per_key_outputs(aggs, count_name, metadata)
     if child_count:
-        out_cols.append(F.sum(CHILDREN).alias(child_count))
-    for i, (name, (fn, _)) in enumerate(aggs.items()):
-        combined = F.expr(f"{SPLITTABLE[fn]}(__kr_p_{i})")
-        if fn == "count":
-            combined = F.coalesce(combined, F.lit(0)).cast("bigint")
-        out_cols.append(combined.alias(name))
+        out_cols.insert(1, F.sum(CHILDREN).alias(child_count))
     out = rows.groupBy(*priv).agg(*out_cols)
     if not keep_empty and child_count:
         out = out.filter(F.col(count_name) > 0)
@@ -363,13 +374,19 @@ def chain_rollup(
         rel.check_hits(lifted)
         step = lifted.select(*priv, rel.child_key.alias(KEY)).filter(F.col(KEY).isNotNull())
         pairs = _dedup(step, priv, dedup)
-    rows = _join_parents(pairs, _parent_side(relations[-1], marker=True))
+    last = relations[-1]
+    if _splittable(aggs):
+        # parents aggregated per key: unique per key, copies collapse map-side
+        per_key = _per_key_parents(last, aggs)
+        rows = pairs.join(per_key, pairs[KEY].eqNullSafe(per_key[PKEY]), "inner").drop(KEY, PKEY)
+        agg_cols = _per_key_outputs(aggs, count_name, None)
+    else:
+        rows = _join_parents(pairs, _parent_side(last, marker=True))
+        agg_cols = [F.count(MARK).alias(count_name), *[_sub_agg(n, s) for n, s in aggs.items()]]
     if keep_empty:
         rows = rows.unionByName(first.withColumn(BUCKET_ROW, F.lit(True)).drop(KEY),
                                 allowMissingColumns=True)
-    out = rows.groupBy(*priv).agg(
-        F.count(MARK).alias(count_name), *[_sub_agg(n, s) for n, s in aggs.items()]
-    )
+    out = rows.groupBy(*priv).agg(*agg_cols)
     return _restore_by(out, by).select(*by, count_name, *aggs)
 
 

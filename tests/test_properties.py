@@ -134,8 +134,8 @@ three_levels = st.tuples(
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(three_levels)
-def test_chain_matches_brute_force(spark, data):
+@given(three_levels, st.sampled_from(["sum(w)", ("sum", "w")]))
+def test_chain_matches_brute_force(spark, data, agg):
     from kinroll import chain_rollup
 
     kids, mids, tops = data
@@ -144,7 +144,7 @@ def test_chain_matches_brute_force(spark, data):
     t = spark.createDataFrame(tops, "top_id long, w long")
     rels = [Relation.from_tables(m, child_key="mid", parent_key="mid_id"),
             Relation.from_tables(t, child_key="top", parent_key="top_id")]
-    got = {x["b"]: (x["doc_count"], x["s"]) for x in chain_rollup(k, rels, "b", {"s": "sum(w)"}).collect()}
+    got = {x["b"]: (x["doc_count"], x["s"]) for x in chain_rollup(k, rels, "b", {"s": agg}).collect()}
     want = {}
     for b in {b for _, b in kids}:
         level1 = [(mid_id, top) for (mid_id, top) in mids if any(mm == mid_id and bb == b for mm, bb in kids)]
