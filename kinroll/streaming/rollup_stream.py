@@ -18,7 +18,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinroll.operators.rollup import KEY, MARK, PKEY, _check_by, _parent_side, _private, _restore_by, _sub_agg
+from kinroll.operators.rollup import (
+    KEY,
+    MARK,
+    PKEY,
+    _check_by,
+    _parent_side,
+    _per_key_outputs,
+    _per_key_parents,
+    _private,
+    _restore_by,
+    _splittable,
+    _sub_agg,
+)
 from kinroll.plans.relation import Relation
 
 
@@ -26,7 +38,7 @@ def stream_parent_rollup(
     hits: DataFrame,
     relation: Relation,
     by: Sequence[str] | str = (),
-    aggs: Mapping[str, str] | None = None,
+    aggs: Mapping[str, str | tuple[str, str]] | None = None,
     *,
     count_name: str = "doc_count",
 ) -> DataFrame:
@@ -47,11 +59,17 @@ def stream_parent_rollup(
         hits.select(*[F.col(b).alias(p) for b, p in zip(by, priv)], relation.child_key.alias(KEY))
         .dropDuplicates([*priv, KEY])
     )
-    parents = _parent_side(relation, marker=True)
-    joined = pairs.join(parents, pairs[KEY] == parents[PKEY], "left")
-    out = joined.groupBy(*priv).agg(
-        F.count(MARK).alias(count_name), *[_sub_agg(n, s) for n, s in aggs.items()]
-    )
+    if _splittable(aggs):
+        # static side aggregated per key: unique keys, copies collapsed
+        parents = _per_key_parents(relation, aggs)
+        joined = pairs.join(parents, pairs[KEY] == parents[PKEY], "left")
+        out = joined.groupBy(*priv).agg(*_per_key_outputs(aggs, count_name, None))
+    else:
+        parents = _parent_side(relation, marker=True)
+        joined = pairs.join(parents, pairs[KEY] == parents[PKEY], "left")
+        out = joined.groupBy(*priv).agg(
+            F.count(MARK).alias(count_name), *[_sub_agg(n, s) for n, s in aggs.items()]
+        )
     return _restore_by(out, by)
 
 

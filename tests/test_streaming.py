@@ -21,7 +21,7 @@ def test_stream_matches_batch(spark):
     for flag in ("A", "N", "R"):
         lines.filter(F.col("l_returnflag") == flag).write.mode("append").parquet(folder)
     stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(folder))
-    out = stream_parent_rollup(stream, rel, "l_partkey", {"sp": "sum(o_totalprice)"})
+    out = stream_parent_rollup(stream, rel, "l_partkey", {"sp": "sum(o_totalprice)", "mx": ("max", "o_totalprice")})
     q = start_rollup_stream(out, "kinroll_stream_test", output_mode="complete",
                             checkpoint=os.path.join(folder, "_checkpoint"))
     try:
@@ -31,6 +31,9 @@ def test_stream_matches_batch(spark):
     got = {r["l_partkey"]: (r["doc_count"], r["sp"]) for r in spark.table("kinroll_stream_test").collect()}
     want = {r["l_partkey"]: (r["doc_count"], r["sp"])
             for r in parent_rollup(lines, rel, "l_partkey", {"sp": "sum(o_totalprice)"}).collect()}
+    mx = {r["l_partkey"]: r["mx"] for r in spark.table("kinroll_stream_test").collect()}
+    assert mx == {r["l_partkey"]: r["mx"] for r in
+                  parent_rollup(lines, rel, "l_partkey", {"mx": "max(o_totalprice)"}).collect()}
     assert got.keys() == want.keys()
     for k, (n, s) in want.items():
         assert got[k][0] == n
@@ -67,3 +70,24 @@ def test_stream_state_checkpoint_defaults_to_session_folder(spark):
     got = {r[0]: r[1] for r in spark.table("kinroll_stream_default_ckpt").collect()}
     want = {r[0]: r[1] for r in parent_rollup(lines, rel, "l_returnflag").collect()}
     assert got == want
+
+
+def test_stream_per_key_plan(spark):
+    lines = read_table(spark, SF001, "lineitem").filter(F.col("l_quantity") > 45)
+    orders = read_table(spark, SF001, "orders").filter(F.col("o_orderstatus") != "P")
+    rel = Relation.from_tables(orders, child_key="l_orderkey", parent_key="o_orderkey")
+    folder = tempfile.mkdtemp(prefix="kinroll-stream3-")
+    lines.write.mode("append").parquet(folder)
+    out = stream_parent_rollup(spark.readStream.schema(lines.schema).parquet(folder), rel, "l_partkey",
+                               {"s": ("sum", "o_totalprice"), "n": ("count", "*")})
+    q = start_rollup_stream(out, "kinroll_stream_per_key", output_mode="complete",
+                            checkpoint=os.path.join(folder, "_ckpt"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    norm = lambda rows: sorted((r[0], r[1], None if r[2] is None else round(r[2], 4), r[3]) for r in rows)
+    got = norm(spark.table("kinroll_stream_per_key").select("l_partkey", "doc_count", "s", "n").collect())
+    want = norm(parent_rollup(lines, rel, "l_partkey", {"s": "sum(o_totalprice)", "n": "count(*)"})
+                .select("l_partkey", "doc_count", "s", "n").collect())
+    assert got == want
