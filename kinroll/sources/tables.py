@@ -15,9 +15,6 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-DEFAULT_SF_DIR = "/root/testdata/sf0.01"
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet``. Column pruning and filters reach the scan."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinroll import (
     Relation,
@@ -199,10 +198,6 @@ def test_relation_equality():
     assert c.required_hit_columns != a.required_hit_columns
 
 
-def test_struct_type():
-    assert isinstance(T.StructType(), T.StructType)
-
-
 def test_chain_with_checkpoints_matches(spark):
     li = read_table(spark, SF01, "lineitem").filter(F.col("l_quantity") > 40)
     rels = [

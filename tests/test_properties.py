@@ -1,7 +1,5 @@
 """Properties of the roll-up, and a brute-force model on small random tables."""
 
-from collections import defaultdict
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
