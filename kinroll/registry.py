@@ -301,6 +301,24 @@ def rollup_orders_by_flag(spark, d):
     return _as_double(parent_rollup(hits, _orders(spark, d), "l_returnflag", {"sp": _dsum("o_totalprice")}), "sp")
 
 
+def rollup_conversation_terms(spark, d):
+    """Conversations per term of their assistant turns (whole texts).
+
+    Each conversation's opening turn (turn 0) is the parent, its later turns
+    the children, keyed by ``conv_id``: both derived by Spark from
+    ``conversations``. Sub-results run over the opening turns.
+    """
+    conv = _t(spark, d, "conversations")
+    openings = conv.filter(F.col("turn") == 0)
+    rel = Relation.from_tables(openings, child_key="conv_id", parent_key="conv_id")
+    turns = spread_narrow(conv.filter(F.col("role") == "assistant").select("conv_id", "text"))
+    hits = term_buckets(turns, "text", "term")
+    return parent_rollup(hits, rel, "term",
+                         {"opening_chars": ("sum", "length(text)"),
+                          "system_opened": ("count", "CASE WHEN role = 'system' THEN 1 END")},
+                         child_count="n_turns")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_sum": rollup_sum,
     "rollup_missing_parent": rollup_missing_parent,
@@ -329,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_events_co_locate": rollup_events_co_locate,
     "rollup_orders_by_part": rollup_orders_by_part,
     "rollup_orders_by_flag": rollup_orders_by_flag,
+    "rollup_conversation_terms": rollup_conversation_terms,
 }
 
 
@@ -518,4 +537,16 @@ LEFT JOIN orders o ON h.l_orderkey = o.o_orderkey
 GROUP BY h.{_by}
 """
 
+ORACLE_SQL["rollup_conversation_terms"] = f"""
+WITH t AS (SELECT conv_id, unnest({_tokens('text')}) AS term FROM conversations WHERE role = 'assistant'),
+     c AS (SELECT term, count(*) AS n_turns FROM t GROUP BY term),
+     p AS (SELECT h.term, count(o.conv_id) AS doc_count,
+                  CAST(sum(length(o.text)) AS BIGINT) AS opening_chars,
+                  count(CASE WHEN o.role = 'system' THEN 1 END) AS system_opened
+           FROM (SELECT DISTINCT term, conv_id FROM t) h
+           LEFT JOIN (SELECT * FROM conversations WHERE turn = 0) o ON h.conv_id = o.conv_id
+           GROUP BY h.term)
+SELECT p.term, p.doc_count, c.n_turns, p.opening_chars, p.system_opened FROM p JOIN c ON p.term = c.term
+"""
+
 FLAGSHIP = "rollup_sum"
