@@ -56,7 +56,9 @@ BUCKET_ROW = "__kr_bucket_row"
 _BY = "__kr_by_"
 
 
-def _check_by(hits: DataFrame, by) -> list[str]:
+def _check_by(hits: DataFrame, by, allow_stream: bool = False) -> list[str]:
+    if not allow_stream and isinstance(hits, DataFrame) and hits.isStreaming:
+        raise ValueError("hits are a stream: use kinroll.streaming.stream_parent_rollup")
     if by is None:
         return []
     if isinstance(by, str):

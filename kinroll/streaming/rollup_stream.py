@@ -52,7 +52,7 @@ def stream_parent_rollup(
     if relation.parents.isStreaming:
         raise ValueError("parents must be a static DataFrame")
     relation.check_hits(hits)
-    by = _check_by(hits, by)
+    by = _check_by(hits, by, allow_stream=True)
     aggs = dict(aggs or {})
     priv = _private(by)
     pairs = (

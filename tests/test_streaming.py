@@ -91,3 +91,16 @@ def test_stream_per_key_plan(spark):
     want = norm(parent_rollup(lines, rel, "l_partkey", {"s": "sum(o_totalprice)", "n": "count(*)"})
                 .select("l_partkey", "doc_count", "s", "n").collect())
     assert got == want
+
+
+def test_batch_operators_refuse_a_stream(spark):
+    import pytest
+
+    lines = read_table(spark, SF001, "lineitem")
+    folder = tempfile.mkdtemp(prefix="kinroll-stream4-")
+    lines.write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(lines.schema).parquet(folder)
+    rel = Relation.from_tables(read_table(spark, SF001, "orders"), child_key="l_orderkey",
+                               parent_key="o_orderkey")
+    with pytest.raises(ValueError, match="stream_parent_rollup"):
+        parent_rollup(stream, rel, "l_returnflag")
