@@ -99,9 +99,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh folder under the temp dir.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
