@@ -51,6 +51,10 @@ def main() -> None:
         times[name] = round(best, 3)
 
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     print(json.dumps({
         "metric": "total_query_time",
         "value": round(sum(times.values()), 3),
