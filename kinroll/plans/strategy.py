@@ -6,6 +6,8 @@ aggregation, spill) is left to Catalyst and AQE.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 from pyspark.sql import DataFrame
@@ -49,9 +51,17 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame
     return df.repartition(want)
 
 
+def _explain(df: DataFrame, mode: str = "simple") -> str:
+    """The text ``df.explain(mode)`` prints, captured."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
+
+
 def physical_plan(df: DataFrame) -> str:
-    """The physical plan as Spark would start it (before AQE re-planning)."""
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan; after an action on ``df`` it is AQE's final plan."""
+    return _explain(df)
 
 
 def plan_shape(df: DataFrame) -> dict[str, int]:
@@ -71,8 +81,7 @@ def executed_shape(df: DataFrame) -> dict[str, int]:
     """Run ``df`` (collects it: use on small results) and count the exchanges
     of the final adaptive plan; a reused exchange is counted apart."""
     df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    lines = text.split("== Initial Plan ==")[0].splitlines()
+    lines = physical_plan(df).split("== Initial Plan ==")[0].splitlines()
     return {
         "hash_exchanges": sum("Exchange hashpartitioning" in ln and "ReusedExchange" not in ln
                               for ln in lines),

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinroll import Relation, parent_rollup
+from kinroll.plans.strategy import physical_plan
 from kinroll.sources import read_table
 
 from .conftest import SF01
@@ -66,7 +67,7 @@ def test_hot_parent_copies_split_by_aqe(spark, skew_conf):
     rel = Relation.from_tables(parents, child_key="l_orderkey", parent_key="o_orderkey")
     r = parent_rollup(li, rel, "l_returnflag", {"sc": "sum(o_custkey)"})
     assert _got(r) == _expected(li, parents)
-    plan = r._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    plan = physical_plan(r).split("== Initial Plan ==")[0]
     assert "SortMergeJoin(skew=true)" in plan
 
 

@@ -17,7 +17,9 @@ sys.path.insert(0, ROOT)
 
 def summarise(df) -> dict:
     df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
+    from kinroll.plans.strategy import physical_plan
+
+    text = physical_plan(df)
     final = text.split("== Initial Plan ==")[0]
     lines = final.splitlines()
 
