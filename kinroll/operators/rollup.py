@@ -298,8 +298,10 @@ def _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_c
     The parent rows are aggregated per key (row count and per-key partials,
     partial aggregation before the shuffle); that exchange by key is also the
     join's, and the parent side is then unique per key. The pairs left-join
-    it: buckets without parents stay (their partials are null), each pair's
-    hit count passes once, and AQE may split a hot key on the pairs side.
+    it: buckets without parents stay (their partials are null) and each
+    pair's hit count passes once. AQE cannot split this join (the aggregate
+    sits between the parents' exchange and the join); a hot parent's pairs
+    stay in one task, at most one per distinct bucket after the dedup.
     """
     parents = _per_key_parents(relation, aggs)
     how = "left" if keep_empty or child_count else "inner"

@@ -83,3 +83,28 @@ def test_hot_parent_copies_collapse_per_key(spark, skew_conf):
     rel = Relation.from_tables(parents, child_key="l_orderkey", parent_key="o_orderkey")
     r = parent_rollup(li, rel, "l_returnflag", {"sc": ("sum", "o_custkey")})
     assert _got(r) == _expected(li, parents)
+
+
+def test_hot_child_key_with_many_buckets(spark, skew_conf):
+    """One parent behind a third of the lines, bucketed by a nearly unique
+    value: after dedup that parent still has ~26k pairs. The union plan's
+    inner join reads both sides straight from shuffle stages, so AQE splits
+    the crowded pairs partition; the per-key plan gives the same result but
+    its join cannot be split (the per-key parent aggregate sits between the
+    exchange and the join), so that parent's pairs stay in one task, bounded
+    by its number of distinct buckets."""
+    li = read_table(spark, SF01, "lineitem")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 3, F.lit(HOT).cast("bigint"))
+                        .otherwise(F.col("l_orderkey")))
+    orders = read_table(spark, SF01, "orders")
+    rel = Relation.from_tables(orders, child_key="l_orderkey", parent_key="o_orderkey")
+    pairs = hot.select("l_extendedprice", "l_orderkey").distinct()
+    j = pairs.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    want = {x[0]: (x[1], x[2]) for x in j.groupBy("l_extendedprice").agg(
+        F.count("o_orderkey"), F.sum("o_custkey")).collect()}
+    for agg in ("sum(o_custkey)", ("sum", "o_custkey")):
+        r = parent_rollup(hot, rel, "l_extendedprice", {"sc": agg})
+        got = {x["l_extendedprice"]: (x["doc_count"], x["sc"]) for x in r.collect()}
+        assert got == want
+        if isinstance(agg, str):
+            assert "SortMergeJoin(skew=true)" in physical_plan(r).split("== Initial Plan ==")[0]
