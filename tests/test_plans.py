@@ -104,3 +104,22 @@ def test_chain_co_locate_agrees(spark):
     b = chain_rollup(li, rels, "l_returnflag", {"s": "sum(c_acctbal)"}, dedup="co_locate").collect()
     norm = lambda rows: sorted((r[0], r[1], round(r[2], 4)) for r in rows)
     assert norm(a) == norm(b)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_wide_tables_are_pruned(spark, name):
+    """No registered query reads every column of a table with five or more."""
+    import re
+
+    from kinroll.plans.strategy import physical_plan
+
+    plan = physical_plan(QUERIES[name](spark, SF01))
+    scans = list(re.finditer(
+        r"FileScan parquet .*?Location: [^\[]*\[file:([^\]]+)\].*?ReadSchema: struct<(.*)>", plan))
+    assert scans, "no file scan found in the plan"
+    for m in scans:
+        table = m.group(1).rsplit("/", 1)[-1].removesuffix(".parquet")
+        read = len(re.split(r",(?![^<]*>)", m.group(2)))
+        total = len(read_table(spark, SF01, table).columns)
+        if total >= 5:
+            assert read < total, (table, read, total)
