@@ -118,7 +118,7 @@ def rollup_doc_terms(spark, d):
     is their parent; ``n_lines`` is the term bucket's own count of lines.
     """
     docs = _t(spark, d, "documents")
-    text = spread_narrow(docs.select("doc_id", "text"))
+    text = spread_narrow(docs.select("doc_id", "text"), key="doc_id")
     lines = text.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     hits = term_buckets(lines, "line", "term")
     rel = Relation.from_tables(docs, child_key="doc_id", parent_key="doc_id")
@@ -311,7 +311,7 @@ def rollup_conversation_terms(spark, d):
     conv = _t(spark, d, "conversations")
     openings = conv.filter(F.col("turn") == 0)
     rel = Relation.from_tables(openings, child_key="conv_id", parent_key="conv_id")
-    turns = spread_narrow(conv.filter(F.col("role") == "assistant").select("conv_id", "text"))
+    turns = spread_narrow(conv.filter(F.col("role") == "assistant").select("conv_id", "text"), key="conv_id")
     hits = term_buckets(turns, "text", "term")
     return parent_rollup(hits, rel, "term",
                          {"opening_chars": ("sum", "length(text)"),
