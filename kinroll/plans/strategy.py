@@ -81,21 +81,6 @@ def plan_shape(df: DataFrame) -> dict[str, int]:
     }
 
 
-def executed_shape(df: DataFrame) -> dict[str, int]:
-    """Run ``df`` (collects it: use on small results) and count the exchanges
-    of the final adaptive plan; a reused exchange is counted apart."""
-    df.collect()
-    lines = physical_plan(df).split("== Initial Plan ==")[0].splitlines()
-    return {
-        "hash_exchanges": sum("Exchange hashpartitioning" in ln and "ReusedExchange" not in ln
-                              for ln in lines),
-        "reused_exchanges": sum("ReusedExchange" in ln for ln in lines),
-        "broadcast_joins": sum("BroadcastHashJoin" in ln for ln in lines),
-        "sort_merge_joins": sum("SortMergeJoin" in ln for ln in lines),
-        "file_scans": sum("FileScan" in ln for ln in lines),
-    }
-
-
 def scan_columns(df: DataFrame) -> list[list[str]]:
     """Columns read by each file scan (``ReadSchema``), to check pruning."""
     out = []

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinroll import Relation, parent_rollup
-from kinroll.plans import executed_shape
+from tools.plan_inspect import executed_shape
 from kinroll.sources import read_table, write_co_located
 
 from .conftest import SF01

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinroll import Relation, parent_rollup
-from kinroll.plans import executed_shape, plan_shape, pushed_filters, scan_columns
+from kinroll.plans import plan_shape, pushed_filters, scan_columns
+from tools.plan_inspect import executed_shape
 from kinroll.registry import QUERIES
 from kinroll.sources import read_table
 
