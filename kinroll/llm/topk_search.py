@@ -3,12 +3,14 @@
 Candidates are dealt into blocks, queries into groups, and every block meets
 every query group in one task. A block keeps, per dimension, its rows sorted by
 component. A query reads these lists from the end that its own component makes
-largest, a stretch of all lists at a time, and keeps for every row the sum of
-what it has seen, and bounds on the rest: no unseen component contributes more
-than its list's frontier or less than the list's far end. Reading stops when no
-outsider's upper bound reaches the k-th best lower bound; the rows that still
-qualify get their final scores, and the block's best ``k`` go on. Blocks' results
-are merged per query.
+largest, a stretch of all lists at a time (an eighth of the block, then twice as
+deep each time), and keeps for every row the sum of what it has seen, and bounds
+on the rest: no unread component contributes more than its list's frontier or
+less than the list's far end. Reading stops for a query when at most ``FEW`` rows
+have an upper bound that reaches the k-th best lower bound; those get their
+final scores, and the block's best ``k`` go on. The queries of a group read
+together, so that a stretch is a few matrix products. Blocks' results are merged
+per query.
 
 Components are integers (``floor(1024 * x)``), scores exact: sums are done in
 doubles while they stay under 2 ** 52, and in Python integers otherwise.
@@ -48,56 +50,64 @@ def quantised(vector: str) -> Column:
 
 
 class Block:
-    """Candidates of one block with their sorted lists."""
+    """Candidates of one block. ``from_top[row, d]`` is the row's place in
+    dimension ``d``'s list read from its large end, ``from_low`` from the other."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.x = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable")  # per dimension, ascending
-        self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
-
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row numbers, scores) of the k best rows other than the query's own."""
-        n, dims = self.x.shape
-        live = np.flatnonzero(query)
-        q = query[live]
-        down = q > 0  # read the list from its large end
-        far = q * np.where(down, self.low[live], self.high[live])
-        own = self.ids == query_id
-        seen = np.zeros(n)                       # sum of the contributions read
-        open_far = np.full(n, far.sum())         # what the unread ones add at least
-        unread = np.ones((n, len(live)), dtype=np.float32)
-        open_high = None
-        alive = np.flatnonzero(~own)
-        depth, step = 0, max(1, n // 8)
-        columns = np.arange(len(live))
-        while depth < n and len(alive) > max(k, FEW):
-            end = min(n, depth + step)
-            ranks = np.arange(depth, end)
-            at = np.where(down[None, :], n - 1 - ranks[:, None], ranks[:, None])
-            rows = self.order[at, live[None, :]]
-            part = self.x[rows, live[None, :]] * q[None, :]
-            flat = rows.ravel()
-            seen += np.bincount(flat, weights=part.ravel(), minlength=n)
-            open_far -= np.bincount(flat, weights=np.broadcast_to(far, part.shape).ravel(), minlength=n)
-            unread[rows, columns[None, :]] = 0
-            frontier = part[-1]
-            depth = end
-            open_high = unread[alive].astype(np.float64) @ frontier
-            lower = seen[alive] + open_far[alive]
-            if len(alive) > k:
-                bar = np.partition(lower, len(lower) - k)[len(lower) - k]
-                alive = alive[seen[alive] + open_high >= bar]
-        scores = self.x[alive][:, live] @ q if len(live) else np.zeros(len(alive))
-        top = np.lexsort((self.ids[alive], -scores))[:k]
-        return alive[top], scores[top]
-
-    def best_exact(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
-        """The same in Python integers, for components of any size."""
-        q = [int(v) for v in query]
-        clip = lambda s: max(-2 ** 63, min(2 ** 63 - 1, s))
-        scored = sorted((-clip(sum(a * int(b) for a, b in zip(q, row, strict=True))), int(i), at)
-                        for at, (i, row) in enumerate(zip(self.ids, self.x, strict=True)) if i != query_id)[:k]
-        return np.array([s[2] for s in scored], dtype=np.int64), [-s[0] for s in scored]
+        n, dims = vectors.shape
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(vectors, order, axis=0)
+        self.from_low = np.empty((n, dims), dtype=np.int32)
+        np.put_along_axis(self.from_low, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
+        self.from_top = n - 1 - self.from_low
+
+    def bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper scores of all rows for all queries once ``depth``
+        entries of every list are read; ``up`` and ``down`` are the queries'
+        positive and negative components, whose lists are read from either end.
+        A read entry adds its contribution, an unread one between the list's far
+        end and its frontier; summed over dimensions that is a matrix product."""
+        top, low = self.from_top < depth, self.from_low < depth
+        seen = up @ np.where(top, self.x, 0).T + down @ np.where(low, self.x, 0).T
+        if depth >= len(self.x):
+            return seen, seen
+        unread_top, unread_low = (~top).T.astype(np.float64), (~low).T.astype(np.float64)
+        lowest, highest = self.sorted[0], self.sorted[-1]
+        frontier_top, frontier_low = self.sorted[len(self.x) - depth], self.sorted[depth - 1]
+        upper = seen + (up * frontier_top) @ unread_top + (down * frontier_low) @ unread_low
+        lower = seen + (up * lowest) @ unread_top + (down * highest) @ unread_low
+        return lower, upper
+
+    def best_of_each(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query (row numbers, scores) of the ``k`` best rows other than its own."""
+        n = len(self.ids)
+        found: list = [None] * len(queries)
+        waiting, depth = np.arange(len(queries)), max(1, n // 8)
+        while len(waiting):
+            q = queries[waiting]
+            lower, upper = self.bounds(np.maximum(q, 0), np.minimum(q, 0), depth)
+            own = self.ids[None, :] == query_ids[waiting][:, None]
+            lower = np.where(own, -np.inf, lower)
+            bar = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(q), -np.inf)
+            alive = (upper >= bar[:, None]) & ~own
+            ready = (alive.sum(axis=1) <= max(k, FEW)) | (depth >= n)
+            for at in np.flatnonzero(ready):
+                rows = np.flatnonzero(alive[at])
+                scores = self.x[rows] @ q[at]
+                order = np.lexsort((self.ids[rows], -scores))[:k]
+                found[waiting[at]] = (rows[order], scores[order])
+            waiting, depth = waiting[~ready], min(n, depth * 2)
+        return found
+
+
+def _best_exact(ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """One query against a block in Python integers, for components of any size."""
+    q = [int(v) for v in query]
+    clip = lambda s: max(-2 ** 63, min(2 ** 63 - 1, s))
+    scored = sorted((-clip(sum(a * int(b) for a, b in zip(q, row, strict=True))), int(i), at)
+                    for at, (i, row) in enumerate(zip(ids, vectors, strict=True)) if i != query_id)[:k]
+    return np.array([s[2] for s in scored], dtype=np.int64), np.array([-s[0] for s in scored], dtype=np.int64)
 
 
 def _matrix(vectors, dims: int) -> np.ndarray:
@@ -116,18 +126,16 @@ def _meet(k: int):
         big = max((max(map(abs, map(int, v)), default=0) for v in group["x"] if len(v)), default=0)
         ids = rows["vec_id"].to_numpy(np.int64)
         if float(big) ** 2 * dims < EXACT:
-            block, asked = Block(ids, _matrix(rows["x"], dims)), _matrix(queries["x"], dims)
-            answer = block.best
+            answers = Block(ids, _matrix(rows["x"], dims)).best_of_each(
+                queries["vec_id"].to_numpy(np.int64), _matrix(queries["x"], dims), k)
         else:
             pad = lambda frame: np.array([[*map(int, v), *[0] * (dims - len(v))] for v in frame["x"]], dtype=object)
-            block, asked = Block.__new__(Block), pad(queries)
-            block.ids, block.x = ids, pad(rows)
-            answer = block.best_exact
-        found = []
-        for query_id, query in zip(queries["vec_id"].to_numpy(np.int64).tolist(), asked, strict=True):
-            at, scores = answer(query_id, query, k)
-            found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[at], "score": np.array(scores, dtype=np.int64)}))
-        return pd.concat(found)
+            answers = [_best_exact(ids, pad(rows), i, q, k)
+                       for i, q in zip(queries["vec_id"].tolist(), pad(queries), strict=True)]
+        asked = np.repeat(queries["vec_id"].to_numpy(np.int64), [len(rows) for rows, _ in answers])
+        at = np.concatenate([rows for rows, _ in answers])
+        scores = np.concatenate([np.asarray(s).astype(np.int64) for _, s in answers])
+        return pd.DataFrame({"query_id": asked, "vec_id": ids[at], "score": scores})
 
     return meet
 
