@@ -204,20 +204,21 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
 
 def _block_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links among the members of groups that are not all linked to their hub.
-    A member goes once to every pair of blocks that its block is in."""
-    sized = members.join(sets, "rep").select("hub", "rep", "linked", "hashes")
+    A member goes once to every pair of blocks that its block is in; sets are
+    added after that, so a large group's rows never meet in one task."""
     groups = (
-        sized.groupBy("hub").agg(F.sum(F.size("hashes")).alias("total"), F.count("*").alias("members"),
-                                 F.bool_and("linked").alias("done"))
+        members.join(sets.select("rep", F.size("hashes").alias("n")), "rep").groupBy("hub")
+        .agg(F.sum("n").alias("total"), F.count("*").alias("members"), F.bool_and("linked").alias("done"))
         .filter("members > 1 and not done")
         .select("hub", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     )
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     pairs = (
-        sized.join(groups, "hub").withColumn("block", block)
+        members.join(groups, "hub").withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("hub", "rep", "linked", "hashes", F.least("block", "other").alias("lo"),
+        .select("hub", "rep", "linked", F.least("block", "other").alias("lo"),
                 F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+        .join(sets, "rep")
     )
     return pairs.groupBy("hub", "lo", "hi").applyInPandas(_compare, "a long, b long")
 
