@@ -106,7 +106,7 @@ def shuffled_shards(docs: DataFrame, shards: int = 8, seed: int = 0, id_col: str
     record = F.xxhash64(F.lit(seed + 1), F.col(key), F.crc32(F.col(text).cast("binary")))
     scattered = placed.withColumn("hash", record).withColumn(
         "bucket", (by_shard(first[:-1]) + F.pmod("hash", by_shard(buckets))).cast("int"))
-    ordered = scattered.repartition(total, "bucket").sortWithinPartitions("bucket", "hash", key, text).drop("hash")
+    ordered = scattered.repartitionById(total, F.col("bucket")).sortWithinPartitions("bucket", "hash", key, text).drop("hash")
     schema = extended(docs, "shard int, bucket int, place long")
     shuffled = map_arrow(ordered, _shuffler(seed, to_arrow(schema)), schema)
 
