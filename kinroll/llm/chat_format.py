@@ -45,15 +45,19 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(header(role), text, F.lit("<|end|>\n"))
 
 
-def preference_segments(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Both inputs hold ``pair, turn, role, text``. Returns ``pair, side``
-    (prompt, chosen, rejected)``, turn, role, content, loss, mask_start,
-    mask_end``."""
+def aligned(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``pair, turn, chosen, rejected`` from two tables of ``pair, turn, role,
+    text``; a side without that turn is null."""
     ours, theirs = (_turns(side).withColumnRenamed("said", name) for side, name in ((chosen, "chosen"), (rejected, "rejected")))
-    aligned = ours.join(theirs, ["pair", "turn"], "full")
+    return ours.join(theirs, ["pair", "turn"], "full")
+
+
+def preference_segments(turns: DataFrame) -> DataFrame:
+    """``aligned`` turns to ``pair, side`` (prompt, chosen, rejected)``, turn,
+    role, content, loss, mask_start, mask_end``."""
     differs = ~F.coalesce(F.col("chosen") == F.col("rejected"), F.lit(False))
-    first = aligned.filter(differs).groupBy("pair").agg(F.min("turn").alias("first"))
-    split = aligned.join(first, "pair", "left").withColumn("common", F.coalesce(F.col("turn") < F.col("first"), F.lit(True)))
+    first = turns.filter(differs).groupBy("pair").agg(F.min("turn").alias("first"))
+    split = turns.join(first, "pair", "left").withColumn("common", F.coalesce(F.col("turn") < F.col("first"), F.lit(True)))
     sides = F.when(F.col("common"), F.array(F.struct(F.lit("prompt").alias("side"), F.col("chosen").alias("said")))).otherwise(
         F.array(F.struct(F.lit("chosen").alias("side"), F.col("chosen").alias("said")),
                 F.struct(F.lit("rejected").alias("side"), F.col("rejected").alias("said"))))
@@ -87,20 +91,18 @@ def records(segments: DataFrame) -> DataFrame:
                           spans("chosen").alias("chosen_spans"), spans("rejected").alias("rejected_spans"))
 
 
-def stale_reply_pairs(conversations: DataFrame, id_col: str = "conv_id") -> tuple[DataFrame, DataFrame]:
-    """Preference pairs from single conversations: chosen is the conversation up
-    to its last assistant turn; rejected is the same with that reply replaced by
-    a stale one, the first assistant reply, or the opening turn where the last
-    reply is also the first. Conversations without an assistant turn are both,
-    whole, and so all prompt."""
-    turns = narrow(conversations, pair=id_col, turn="turn", role="role", text="text").filter("pair is not null and turn is not null")
-    turns = _turns(turns).select("pair", "turn", F.col("said.role").alias("role"), F.col("said.text").alias("text"))
-    reply = F.when(F.col("role") == ASSISTANT, F.struct("turn", "text"))
+def stale_reply_pairs(conversations: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """Aligned preference pairs from single conversations: chosen is the
+    conversation up to its last assistant turn; rejected is the same with that
+    reply replaced by a stale one, the first assistant reply, or the opening turn
+    where the last reply is also the first. Conversations without an assistant
+    turn are both, whole, and so all prompt."""
+    turns = _turns(narrow(conversations, pair=id_col, turn="turn", role="role", text="text"))
+    is_reply = F.col("said.role") == ASSISTANT
+    said = F.struct("turn", F.col("said.text").alias("text"))
     ends = turns.groupBy("pair").agg(
-        F.max(F.when(F.col("role") == ASSISTANT, F.col("turn"))).alias("last"),
-        F.min(reply).alias("reply"), F.min(F.struct("turn", "text")).alias("opening"))
-    known = turns.join(ends, "pair").filter("last is null or turn <= last")
+        F.max(F.when(is_reply, F.col("turn"))).alias("last"), F.min(F.when(is_reply, said)).alias("reply"), F.min(said).alias("opening"))
     stale = F.when(F.col("reply.turn") < F.col("last"), F.col("reply.text")).otherwise(F.col("opening.text"))
-    chosen = known.select("pair", "turn", "role", "text")
-    rejected = known.select("pair", "turn", "role", F.when(F.col("turn") == F.col("last"), stale).otherwise(F.col("text")).alias("text"))
-    return chosen, rejected
+    replaced = F.when(F.col("turn") == F.col("last"), F.col("said").withField("text", stale)).otherwise(F.col("said"))
+    return turns.join(ends, "pair").filter("last is null or turn <= last").select(
+        "pair", "turn", F.col("said").alias("chosen"), replaced.alias("rejected"))

@@ -68,8 +68,8 @@ def nearest_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def preference_pairs(spark: SparkSession, d: str) -> DataFrame:
-    chosen, rejected = chat_format.stale_reply_pairs(read_table(spark, d, "conversations"))
-    return chat_format.preference_segments(chosen, rejected).withColumnRenamed("pair", "conv_id")
+    pairs = chat_format.stale_reply_pairs(read_table(spark, d, "conversations"))
+    return chat_format.preference_segments(pairs).withColumnRenamed("pair", "conv_id")
 
 
 def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:

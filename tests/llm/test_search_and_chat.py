@@ -88,7 +88,7 @@ def test_longest_common_prefix(spark):
     rejected = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "other"), (1, 3, "assistant", "bad"), (1, 4, "user", "bye"),
                 (2, 0, "user", "same"), (4, 0, None, None)]
     make = lambda rows: spark.createDataFrame([(*r, "s") for r in rows], schema)
-    segments = chat_format.preference_segments(make(chosen), make(rejected))
+    segments = chat_format.preference_segments(chat_format.aligned(make(chosen), make(rejected)))
     records = {r["pair"]: r for r in chat_format.records(segments).collect()}
     assert set(records) == {1, 2, 3, 4}
     one = records[1]
@@ -100,7 +100,7 @@ def test_longest_common_prefix(spark):
     assert (records[2]["prompt"], records[2]["chosen"], records[2]["rejected"]) == ("<|user|>\nsame<|end|>\n", "", "")
     assert (records[3]["prompt"], records[3]["chosen"]) == ("", "<|user|>\nonly here<|end|>\n")
     assert records[4]["prompt"] == "<|unknown|>\n<|end|>\n"
-    assert chat_format.preference_segments(make([]), make([])).count() == 0
+    assert chat_format.preference_segments(chat_format.aligned(make([]), make([]))).count() == 0
 
 
 def test_every_conversation_once(spark):
@@ -108,7 +108,7 @@ def test_every_conversation_once(spark):
     by_conv = {}
     for r in talks.collect():
         by_conv.setdefault(r["conv_id"], []).append((r["turn"], r["role"], r["text"]))
-    records = {r["pair"]: r for r in chat_format.records(chat_format.preference_segments(*chat_format.stale_reply_pairs(talks))).collect()}
+    records = {r["pair"]: r for r in chat_format.records(chat_format.preference_segments(chat_format.stale_reply_pairs(talks))).collect()}
     assert set(records) == set(by_conv)
     show = lambda turns: "".join(f"<|{role}|>\n{text}<|end|>\n" for _, role, text in turns)
     for i, turns in by_conv.items():
