@@ -43,8 +43,14 @@ def text_bytes(name: str) -> Column:
     return F.coalesce(F.col(quoted(name)).cast("binary"), F.lit(b"").cast("binary"))
 
 
+# Texts are long: Arrow batches to Python workers hold this many bytes at most.
+BATCH_BYTES = 8 * 1024 * 1024
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` by position: columns of any name, dots included, pass."""
+    """``mapInArrow`` by position: columns of any name, dots included, pass.
+    Sets the session's bound on an Arrow batch."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     plain = T.StructType([T.StructField(f"r{i}", f.dataType, True) for i, f in enumerate(schema)])
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(fn, plain).toDF(*schema.names)

@@ -51,7 +51,7 @@ PERCENT = 75
 MISS = 1e-9
 BLOCK_SHINGLES = 32_768
 COLUMNS = 4096
-MEMO = 300_000
+MEMO = 100_000
 
 _FACTORS = mix64(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 

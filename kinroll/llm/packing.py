@@ -58,15 +58,22 @@ class TextIds:
 
     def __init__(self, file_text: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_str(file_text)
-        self.exact.encode_special_tokens = True
+        self.file_text = file_text
         symbols, special = _byte_of_symbol(), {t["content"] for t in json.loads(file_text)["added_tokens"]}
         ranks = {bytes(symbols[c] for c in token): i
                  for token, i in json.loads(file_text)["model"]["vocab"].items() if token not in special}
         self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @functools.cached_property
+    def exact(self):
+        """The library's own tokenizer, made when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(self.file_text)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def __call__(self, text: str) -> np.ndarray:
         try:
             text.encode("latin-1")

@@ -37,7 +37,7 @@ BINS = 16
 FACTORS = 8
 THRESHOLD = 0.3
 STATS = 12
-_MEMO = 300_000
+_MEMO = 100_000
 
 
 class _Buckets(dict):

@@ -45,7 +45,7 @@ MIN_RATIO = 20.0      # times commoner in toxic documents
 REJECT = 0.1          # a document is rejected from this probability of a grade above 0
 RESULT = "severity double, grade int, p_toxic double"
 _WORD = re.compile(r"\w+")
-_MEMO = 300_000
+_MEMO = 150_000
 
 
 def spellings(word: str) -> list[int]:
