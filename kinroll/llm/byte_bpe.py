@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from kinroll.llm.common import append, extended, map_arrow, quoted, without
 
-MEMO_WORDS = 400_000   # matches remembered per generation and worker
+MEMO_WORDS = 300_000   # matches remembered per worker; emptied when full
 MEMO_BYTES = 48        # longer matches are encoded each time
 MEMO_PAIRS = 400_000
 BLOCK = 4096           # starts whose tokens are listed at a time
@@ -71,8 +73,8 @@ class ByteBpe:
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.packed = _Packed(self)
+        self.spellings = pa.array([self.token_of.get(i, b"") for i in range(max(self.token_of) + 1)], pa.binary())
 
     def compatible(self, left: int, right: int) -> bool:
         known = self.pairs.get((left, right))
@@ -175,27 +177,48 @@ class ByteBpe:
                 choice -= 1
                 tokens, last = at(start), ids[-1] if ids else -1
 
+    def encode_packed(self, text: str) -> bytes:
+        """The ids of a whole text, 4 bytes each."""
+        return b"".join(map(self.packed.__getitem__, self.split.findall(text)))
+
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        ranks, young, old, extend = self.ranks, self.young, self.old, ids.extend
-        for match in self.split.findall(text):
-            found = young.get(match)
-            if found is None:
-                found = old.get(match)
-                if found is None:
-                    spelt = match.encode()
-                    whole = ranks.get(spelt)
-                    found = self.encode_match(spelt.decode("latin-1")) if whole is None else (whole,)
-                if len(match) <= MEMO_BYTES:
-                    if len(young) >= MEMO_WORDS:
-                        old = self.old = young
-                        young = self.young = {}
-                    young[match] = found
-            extend(found)
-        return ids
-
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.token_of.__getitem__, ids))
+        return np.frombuffer(self.encode_packed(text), dtype="<i4").tolist()
+
+    def decode_lists(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of every list: its tokens' spellings, laid end to end."""
+        known = ids.filter(ids.is_valid()) if ids.null_count else ids
+        offsets = known.offsets.to_numpy()
+        if len(known) and (np.any(known.values.to_numpy() < 0) or np.any(known.values.to_numpy() >= len(self.spellings))):
+            raise KeyError("an id that the vocabulary does not have")
+        spelt = self.spellings.take(known.values)
+        ends = np.frombuffer(spelt.buffers()[1], dtype="<i4")[spelt.offset:spelt.offset + len(spelt) + 1]
+        joined = pa.BinaryArray.from_buffers(pa.binary(), len(known), [None, pa.py_buffer(ends[offsets].tobytes()), spelt.buffers()[2]])
+        if not ids.null_count:
+            return joined
+        place = np.cumsum(ids.is_valid().to_numpy(zero_copy_only=False)) - 1
+        return joined.take(pa.array(place, mask=ids.is_null().to_numpy(zero_copy_only=False)))
+
+    def decode(self, ids: list[int]) -> bytes:
+        return self.decode_lists(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
+
+
+class _Packed(dict):
+    """Memo: a match's ids as 4-byte integers."""
+
+    def __init__(self, coder: ByteBpe):
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, match: str) -> bytes:
+        spelt = match.encode()
+        whole = self.coder.ranks.get(spelt)
+        ids = self.coder.encode_match(spelt.decode("latin-1")) if whole is None else (whole,)
+        packed = struct.pack(f"<{len(ids)}i", *ids)
+        if len(match) <= MEMO_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[match] = packed
+        return packed
 
 
 @functools.lru_cache(maxsize=2)
@@ -207,9 +230,10 @@ def _encoder(blob, pattern: str, at: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(blob.value, pattern)
         for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                ids = [coder.encode(text) if text else [] for text in part.column(at).to_pylist()]
-                yield append(part, ids=pa.array(ids, pa.list_(pa.int32())))
+            packed = [coder.encode_packed(text) if text else b"" for text in batch.column(at).to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
+            yield append(batch, ids=pa.ListArray.from_arrays(pa.array(offsets), values))
 
     return encode
 
@@ -218,9 +242,7 @@ def _decoder(blob, pattern: str, at: int):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(blob.value, pattern)
         for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                ids = part.column(at).to_pylist()
-                yield append(part, decoded=pa.array([None if x is None else coder.decode(x) for x in ids], pa.binary()))
+            yield append(batch, decoded=coder.decode_lists(batch.column(at)))
 
     return decode
 
