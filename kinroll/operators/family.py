@@ -1,8 +1,8 @@
 """Family operators: values gathered over a parent and its children, and
 filters that look at a row's whole family.
 
-A *family* is a parent row plus the child rows that point to it; its key is
-the parent's id. The per-row visit of every family member is expressed as set
+A *family* is a parent row plus the child rows that point to it, in any child
+role the mixed table declares for that parent; its key is the parent's id. The per-row visit of every family member is expressed as set
 operations: one aggregation over all families, one semi-join back, so the
 cost is linear in the rows, not in rows × family size.
 
@@ -28,12 +28,14 @@ def _members(
     value: str | None,
     keep: Column | None,
     parent_keep: Column | None,
+    parent_value: str | None = None,
 ) -> DataFrame:
     """(family key, value or keep flag) of every family member: the children
     among ``members`` and the relation's parent rows."""
     relation.check_hits(members)
-    kids = members.filter(relation.child_key.isNotNull())
-    cols = [relation.child_key.alias(FAMILY)]
+    child = relation.child_key if relation.member_key is None else relation.member_key
+    kids = members.filter(child.isNotNull())
+    cols = [child.alias(FAMILY)]
     if value is not None:
         cols.append(F.col(value).alias("__kr_value"))
     if keep is not None:
@@ -44,9 +46,9 @@ def _members(
     parents = relation.parents
     pcols = [F.col(relation.parent_key).alias(FAMILY)]
     if value is not None:
-        if not _has_column(parents, value):
+        if parent_value is None:
             return rows  # the parent rows do not hold the value
-        pcols.append(F.col(value).alias("__kr_value"))
+        pcols.append(F.col(parent_value).alias("__kr_value"))
     if keep is not None:
         if parent_keep is None:
             return rows  # parents are not tested
@@ -61,9 +63,13 @@ def family_values(
     *,
     key_name: str | None = None,
     count_name: str = "n",
+    parent_value: str | None = None,
 ) -> DataFrame:
     """``(family key, value, n)``: each distinct non-null ``value`` in a family,
-    with the number of family rows holding it (the parent row included).
+    with the number of family rows holding it, the parent row included.
+    ``parent_value`` names the parent rows' column; in the join-field layout it
+    is ``value`` itself, between separate tables the parents hold no value
+    unless it is given.
 
     ``members`` are the rows to visit: the child table in the typed layout,
     the whole mixed table in the join-field layout. Partial aggregation runs
@@ -73,7 +79,11 @@ def family_values(
         raise ValueError(f"value column {value!r} is not in the rows")
     key_name = key_name or relation.parent_key
     out_value = value.split(".")[-1]
-    rows = _members(members, relation, value, None, None)
+    if parent_value is None and relation.family_key is not None:
+        parent_value = value
+    if parent_value is not None and not _has_column(relation.parents, parent_value):
+        raise ValueError(f"value column {parent_value!r} is not in the parent rows")
+    rows = _members(members, relation, value, None, None, parent_value)
     return (
         rows.filter(F.col("__kr_value").isNotNull())
         .groupBy(FAMILY, "__kr_value")
@@ -114,7 +124,9 @@ def family_filter(
     layout parents share the mixed table's columns, so ``condition`` is the
     default there. ``docs_key`` is the family key on ``docs`` (default: the
     relation's parent key, i.e. ``docs`` are parents). Each kept row appears
-    once: a semi-join on the distinct matching family keys.
+    once: a semi-join on the distinct matching family keys, compared null-safely
+    (no matching key is null), so that both sides reach it by a plain exchange
+    and AQE may split a large family.
     """
     condition = _check_predicate(members, condition)
     if parent_condition is None and relation.family_key is not None:
@@ -122,7 +134,7 @@ def family_filter(
     if parent_condition is not None:
         parent_condition = _check_predicate(relation.parents, parent_condition)
     rows = _members(members, relation, None, condition, parent_condition)
-    keys = rows.filter(F.col("__kr_keep")).select(FAMILY).distinct()
+    keys = rows.filter(F.col("__kr_keep") & F.col(FAMILY).isNotNull()).select(FAMILY).distinct()
     key = docs_key if docs_key is not None else relation.parent_key
     key = F.col(key) if isinstance(key, str) else key
-    return docs.join(keys, key == keys[FAMILY], "left_semi")
+    return docs.join(keys, key.eqNullSafe(keys[FAMILY]), "left_semi")

@@ -37,8 +37,8 @@ hits and parents stored bucketed by the key: no exchange before the join.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -138,6 +138,11 @@ def _restore_by(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df
 
 
+def _named(*names: str) -> list:
+    """Columns by their literal names (a bucket may be called ``a.b``)."""
+    return [F.col(f"`{n}`") for n in names]
+
+
 def lift_to_parents(
     hits: DataFrame,
     relation: Relation,
@@ -180,8 +185,30 @@ def lift_to_parents(
 SPLITTABLE = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
 
 
+def _is_one_call(text: str) -> bool:
+    """Whether ``text`` is a single function call: the bracket opened after the
+    name closes at the very end. Quoted text is skipped."""
+    m = re.fullmatch(r"\s*\w+\s*\((.*)\)\s*", text, re.DOTALL)
+    if not m:
+        return False
+    depth = 0
+    for part in re.finditer(r"'(?:[^'\\]|\\.)*'|\"[^\"]*\"|`[^`]*`|[()]", m.group(1)):
+        depth += {"(": 1, ")": -1}.get(part.group(), 0)
+        if depth < 0:
+            return False
+    return depth == 0
+
+
 def _as_sql(name: str, spec) -> str:
+    """The aggregate call as SQL text. ``FILTER`` binds to the last call of a
+    text, so an expression over several calls is refused: give each call its
+    own name and combine them on the finished roll-up."""
     if isinstance(spec, str):
+        if not _is_one_call(spec):
+            raise ValueError(
+                f"sub-aggregation {name!r} must be a single aggregate call, got {spec!r}; "
+                "combine aggregates on the result of the roll-up"
+            )
         return spec
     if isinstance(spec, tuple) and len(spec) == 2 and spec[0] in SPLITTABLE and isinstance(spec[1], str):
         return f"{spec[0]}({spec[1]})"
@@ -231,7 +258,7 @@ def parent_rollup(
     DataFrame code on the output.
 
     ``by=()`` gives one row, also for empty hits. ``keep_empty=False`` drops
-    buckets that have no parent. ``child_count`` adds the number of hits per
+    buckets that have no parent, the only bucket of ``by=()`` included. ``child_count`` adds the number of hits per
     bucket (the enclosing bucket's own count, children or not) from the same
     pass over the hits. ``metadata`` is attached to the ``doc_count`` column.
     """
@@ -248,8 +275,8 @@ def parent_rollup(
         with_child_count=child_count is not None,
     )
     if _splittable(aggs):
-        out = _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata)
-        return _restore_by(out, by).select(*by, count_name, *([child_count] if child_count else []), *aggs)
+        out = _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata, dedup == "map_side")
+        return _restore_by(out, by).select(*_named(*by, count_name, *([child_count] if child_count else []), *aggs))
     count_col = F.count(MARK)
     count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
     agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
@@ -269,7 +296,7 @@ def parent_rollup(
     out = rows.groupBy(*priv).agg(*agg_cols)
     if not keep_empty:
         out = out.filter(F.col(count_name) > 0)
-    return _restore_by(out, by).select(*by, count_name, *([child_count] if child_count else []), *aggs)
+    return _restore_by(out, by).select(*_named(*by, count_name, *([child_count] if child_count else []), *aggs))
 
 
 def _per_key_parents(relation: Relation, aggs: Mapping) -> DataFrame:
@@ -280,37 +307,43 @@ def _per_key_parents(relation: Relation, aggs: Mapping) -> DataFrame:
             .groupBy(F.col(relation.parent_key).alias(PKEY)).agg(*per_key))
 
 
-def _per_key_outputs(aggs: Mapping, count_name: str, metadata: dict | None) -> list:
-    """Combine per-key partials over the bucket's keys (null partials: no parent)."""
+def _per_key_outputs(relation: Relation, aggs: Mapping, count_name: str, metadata: dict | None) -> list:
+    """Combine per-key partials over the bucket's keys (null partials: no
+    parent), in the type the plain aggregate over the parent rows has."""
+    plain = [F.expr(f"{fn}({expr})").alias(f"a{i}") for i, (fn, expr) in enumerate(aggs.values())]
+    types = [f.dataType for f in relation.parents.agg(*plain).schema] if plain else []
     count_col = F.coalesce(F.sum("__kr_n"), F.lit(0)).cast("bigint")
     cols = [count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)]
     for i, (name, (fn, _)) in enumerate(aggs.items()):
         combined = F.expr(f"{SPLITTABLE[fn]}(__kr_p_{i})")
         if fn == "count":
-            combined = F.coalesce(combined, F.lit(0)).cast("bigint")
-        cols.append(combined.alias(name))
+            combined = F.coalesce(combined, F.lit(0))
+        cols.append(combined.cast(types[i]).alias(name))
     return cols
 
 
-def _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata):
+def _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata, splittable_join):
     """Roll-up when every sub-aggregation splits over parent keys.
 
     The parent rows are aggregated per key (row count and per-key partials,
     partial aggregation before the shuffle); that exchange by key is also the
-    join's, and the parent side is then unique per key. The pairs left-join
-    it: buckets without parents stay (their partials are null) and each
-    pair's hit count passes once. AQE cannot split this join (the aggregate
-    sits between the parents' exchange and the join); a hot parent's pairs
-    stay in one task, at most one per distinct bucket after the dedup.
+    join's source, and the parent side is then unique per key. The pairs
+    left-join it: buckets without parents stay (their partials are null) and
+    each pair's hit count passes once. The keys are compared null-safely:
+    parents have no null key, so the result is the same, but both sides then
+    reach the join by a plain exchange and AQE may split a hot key, and the
+    null key that all hits outside the child role share. Co-located plans
+    keep the plain equality, which needs no exchange after theirs.
     """
     parents = _per_key_parents(relation, aggs)
     how = "left" if keep_empty or child_count else "inner"
-    rows = pairs.join(parents, pairs[KEY] == parents[PKEY], how)
-    out_cols = _per_key_outputs(aggs, count_name, metadata)
+    same = pairs[KEY].eqNullSafe(parents[PKEY]) if splittable_join else pairs[KEY] == parents[PKEY]
+    rows = pairs.join(parents, same, how)
+    out_cols = _per_key_outputs(relation, aggs, count_name, metadata)
     if child_count:
         out_cols.insert(1, F.sum(CHILDREN).alias(child_count))
     out = rows.groupBy(*priv).agg(*out_cols)
-    if not keep_empty and child_count:
+    if not keep_empty:
         out = out.filter(F.col(count_name) > 0)
     return out
 
@@ -341,6 +374,8 @@ def chain_rollup(
     keep_empty: bool = True,
     dedup: str = "map_side",
     count_name: str = "doc_count",
+    child_count: str | None = None,
+    metadata: dict | None = None,
     checkpoint_every: int | None = None,
 ) -> DataFrame:
     """Grandchild → … → ancestor: lift through every relation but the last,
@@ -350,7 +385,10 @@ def chain_rollup(
     to that level's parents (the bucket columns travel under private names,
     so no parent column can clash with them), and the buckets of the hits
     join the final aggregation once, from the first level's pairs (reused
-    exchange): buckets that reach no ancestor stay at 0.
+    exchange): buckets that reach no ancestor stay at 0. ``child_count`` adds the
+    number of hits per bucket from those pairs, ``metadata`` goes on the count
+    column, ``keep_empty=False`` drops buckets without an ancestor, all as in
+    ``parent_rollup``.
 
     ``checkpoint_every=k`` writes the lifted rows after every k levels to the
     reliable checkpoint folder (``spark.checkpoint.dir``): a long chain then
@@ -363,14 +401,16 @@ def chain_rollup(
     if checkpoint_every is not None and checkpoint_every < 1:
         raise ValueError("checkpoint_every must be positive")
     by = _check_by(hits, by)
-    if dedup != "map_side":
-        return _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, checkpoint_every)
     aggs = dict(aggs or {})
-    if count_name in by or set(aggs) & {count_name, *by}:
-        raise ValueError("output names repeat or clash with bucket columns")
+    names = [count_name, *aggs, *([child_count] if child_count else [])]
+    if len(set(names)) != len(names) or set(names) & set(by):
+        raise ValueError(f"output names repeat or clash with bucket columns: {names}")
+    if dedup != "map_side":
+        return _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, child_count, metadata, checkpoint_every)
     priv = _private(by)
-    first = bucket_pairs(hits, relations[0], by, keep_empty=keep_empty)
-    pairs = first
+    buckets_too = keep_empty or bool(child_count)
+    first = bucket_pairs(hits, relations[0], by, keep_empty=buckets_too, with_child_count=child_count is not None)
+    pairs = first.drop(CHILDREN) if child_count else first
     for i, rel in enumerate(relations[1:], start=1):
         lifted = _join_parents(pairs, _parent_side(relations[i - 1], marker=False))
         if checkpoint_every and i % checkpoint_every == 0:
@@ -383,31 +423,41 @@ def chain_rollup(
         # parents aggregated per key: unique per key, copies collapse map-side
         per_key = _per_key_parents(last, aggs)
         rows = pairs.join(per_key, pairs[KEY].eqNullSafe(per_key[PKEY]), "inner").drop(KEY, PKEY)
-        agg_cols = _per_key_outputs(aggs, count_name, None)
+        agg_cols = _per_key_outputs(last, aggs, count_name, metadata)
     else:
         rows = _join_parents(pairs, _parent_side(last, marker=True))
-        agg_cols = [F.count(MARK).alias(count_name), *[_sub_agg(n, s) for n, s in aggs.items()]]
-    if keep_empty:
+        count_col = F.count(MARK)
+        count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
+        agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
+    if buckets_too:
         rows = rows.unionByName(first.withColumn(BUCKET_ROW, F.lit(True)).drop(KEY),
                                 allowMissingColumns=True)
+    if child_count:
+        agg_cols.insert(1, F.expr(f"sum({CHILDREN}) FILTER (WHERE {BUCKET_ROW})").alias(child_count))
     out = rows.groupBy(*priv).agg(*agg_cols)
-    return _restore_by(out, by).select(*by, count_name, *aggs)
+    if not keep_empty:
+        out = out.filter(F.col(count_name) > 0)
+    return _restore_by(out, by).select(*_named(*by, count_name, *([child_count] if child_count else []), *aggs))
 
 
-def _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, checkpoint_every):
+def _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, child_count, metadata, checkpoint_every):
     """Chains under the co-located plans: lift level by level (left joins
-    keep bucket markers), then roll up over the last relation."""
-    level = hits
+    keep bucket markers), then roll up over the last relation. The buckets
+    travel under names no parent column has."""
+    carried = [f"__kr_level_{i}" for i in range(len(by))]
+    level = hits.select("*", *[F.col(b).alias(c) for b, c in zip(by, carried)])
     for i, rel in enumerate(relations[:-1], start=1):
-        shadowed = [c for c in rel.parents.columns if c in by]
-        if shadowed:
-            rel = replace(rel, parents=rel.parents.drop(*shadowed))
-        level = lift_to_parents(level, rel, by, keep_empty=keep_empty, dedup=dedup)
+        level = lift_to_parents(level, rel, carried, keep_empty=keep_empty, dedup=dedup)
         if checkpoint_every and i % checkpoint_every == 0:
             level = cut_lineage(level)
-    return parent_rollup(
-        level, relations[-1], by, aggs, keep_empty=keep_empty, dedup=dedup, count_name=count_name
-    )
+    out = parent_rollup(level, relations[-1], carried, aggs, keep_empty=keep_empty, dedup=dedup,
+                        count_name=count_name, metadata=metadata)
+    if child_count:
+        own = hits.groupBy(*[F.col(b).alias(f"__kr_own_{i}") for i, b in enumerate(by)]).agg(F.count(F.lit(1)).alias(child_count))
+        same = [F.col(c).eqNullSafe(F.col(f"__kr_own_{i}")) for i, c in enumerate(carried)]
+        out = out.join(own, same) if same else out.crossJoin(own)  # one row each without buckets
+    return out.select(*[F.col(c).alias(b) for b, c in zip(by, carried)],
+                      *_named(count_name, *([child_count] if child_count else []), *aggs))
 
 
 def merge_rollups(
@@ -423,7 +473,9 @@ def merge_rollups(
     routed together, see ``kinroll.sources.family_shards``); otherwise a
     parent present in two parts is counted twice. ``merge`` maps each
     sub-aggregation column to the SQL aggregate that combines partial values
-    (``sum`` for sums and counts, ``min``, ``max``).
+    (``sum`` for sums and counts, ``min``, ``max``). The metadata of the
+    parts' count column (the last part's value of a key) goes on the merged
+    one; without any row, ``by=()`` gives a count of 0.
     """
     parts = list(parts)
     if not parts:
@@ -431,6 +483,10 @@ def merge_rollups(
     by = [by] if isinstance(by, str) else list(by)
     merge = dict(merge or {})
     union = reduce(lambda a, b: a.unionByName(b), parts)
-    cols = [F.sum(count_name).cast("bigint").alias(count_name)]
+    metadata: dict = {}
+    for part in parts:
+        metadata.update(part.schema[count_name].metadata or {})
+    total = F.coalesce(F.sum(count_name), F.lit(0)).cast("bigint")
+    cols = [total.alias(count_name, metadata=metadata) if metadata else total.alias(count_name)]
     cols += [F.expr(f"{fn}(`{c}`)").alias(c) for c, fn in merge.items()]
     return union.groupBy(*by).agg(*cols)

@@ -69,6 +69,9 @@ class Relation:
     # Join-field layout only: the family key of any row of the mixed table
     # (own id for a parent, parent id for a child, null otherwise).
     family_key: Column | None = field(default=None, repr=False)
+    # The same for children only: the parent id of a row in any child role of
+    # the parent role, not just ``child_role``.
+    member_key: Column | None = field(default=None, repr=False)
 
     # Two relations are equal when they name the same roles and keys; the
     # DataFrames themselves are not compared.
@@ -154,11 +157,11 @@ class Relation:
             if not _has_column(docs, c):
                 raise ValueError(f"column {c!r} is not in the table")
 
-        parent_role = None
+        parent_role, siblings = None, []
         for p_role, c_roles in relations.items():
             roles = [c_roles] if isinstance(c_roles, str) else list(c_roles)
             if child_role in roles:
-                parent_role = p_role
+                parent_role, siblings = p_role, roles
                 break
 
         role = F.col(f"{join_column}.name")
@@ -183,7 +186,8 @@ class Relation:
             raise TypeError(
                 f"{join_column}.parent and {id_column} have different types; cast one first"
             )
-        family_key = child_key.when(role == F.lit(parent_role), F.col(id_column))
+        member_key = F.when(role.isin(siblings), F.col(f"{join_column}.parent"))
+        family_key = member_key.when(role == F.lit(parent_role), F.col(id_column))
         return cls(
             parents=parents,
             parent_key=id_column,
@@ -194,6 +198,7 @@ class Relation:
             key_type=key_type,
             required_hit_columns=required,
             family_key=family_key,
+            member_key=member_key,
         )
 
     # ------------------------------------------------------------- helpers

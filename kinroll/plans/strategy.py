@@ -30,31 +30,6 @@ def check_dedup(dedup: str) -> str:
     return dedup
 
 
-def spread_narrow(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster if it has fewer partitions than
-    cores, before CPU-heavy per-row work (text analysis).
-
-    A scan of a few unsplittable files (one parquet row group, a gzip file)
-    would otherwise run that work in a handful of tasks. A wide input (any
-    large table split normally) is returned unchanged: no shuffle is added.
-    The spread goes to two tasks per core, so rows of very different sizes
-    (documents of 1 to 20,000 words) even out.
-
-    Call it on a DataFrame read from files, before any shuffle: an input of
-    at least as many files as cores counts as wide at once; otherwise the
-    scan's partitions are counted (planning only, for a scan no job runs).
-
-    With ``key`` the rows are hash-partitioned by it, which is deterministic
-    under task retries without the sort a round-robin spread needs (and keeps
-    a family's rows together for the map-side pair dedup).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    want = min_partitions or 2 * cores
-    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= min(want, cores):
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
-
-
 def _explain(df: DataFrame, mode: str = "simple") -> str:
     """The text ``df.explain(mode)`` prints, captured."""
     buf = io.StringIO()

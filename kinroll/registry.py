@@ -21,12 +21,13 @@ from kinroll.operators import (
     chain_rollup,
     family_filter,
     family_values,
+    filter_rows,
     lift_to_parents,
     merge_rollups,
     parent_rollup,
 )
-from kinroll.plans import Relation, spread_narrow
-from kinroll.sources import family_route, join_field_rows, mixed_table, read_table
+from kinroll.plans import Relation
+from kinroll.sources import family_route, family_shards, join_field_rows, mixed_table, read_table
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -101,7 +102,7 @@ def rollup_chain_region(spark, d):
         Relation.from_tables(_t(spark, d, "region"), child_key="n_regionkey", parent_key="r_regionkey"),
     ]
     return chain_rollup(_t(spark, d, "lineitem"), rels, "l_linestatus",
-                        {"first_region": "min(r_name)", "last_region": "max(r_name)"})
+                        {"first_region": ("min", "r_name"), "last_region": ("max", "r_name")})
 
 
 def rollup_terms(spark, d):
@@ -118,7 +119,7 @@ def rollup_doc_terms(spark, d):
     is their parent; ``n_lines`` is the term bucket's own count of lines.
     """
     docs = _t(spark, d, "documents")
-    text = spread_narrow(docs.select("doc_id", "text"), key="doc_id")
+    text = docs.select("doc_id", "text").repartition("doc_id")  # also the pairs' and the join's partitioning
     lines = text.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     hits = term_buckets(lines, "line", "term")
     rel = Relation.from_tables(docs, child_key="doc_id", parent_key="doc_id")
@@ -302,7 +303,7 @@ def rollup_orders_by_flag(spark, d):
 
 
 def rollup_conversation_terms(spark, d):
-    """Conversations per term of their assistant turns (whole texts).
+    """Conversations per term of their later turns (whole texts, all roles).
 
     Each conversation's opening turn (turn 0) is the parent, its later turns
     the children, keyed by ``conv_id``: both derived by Spark from
@@ -311,7 +312,8 @@ def rollup_conversation_terms(spark, d):
     conv = _t(spark, d, "conversations")
     openings = conv.filter(F.col("turn") == 0)
     rel = Relation.from_tables(openings, child_key="conv_id", parent_key="conv_id")
-    turns = spread_narrow(conv.filter(F.col("role") == "assistant").select("conv_id", "text"), key="conv_id")
+    later = conv.filter(F.col("turn") > 0).select("conv_id", "turn", "text")
+    turns = later.repartition("conv_id", "turn")  # spreads the text work, a long conversation's too
     hits = term_buckets(turns, "text", "term")
     return parent_rollup(hits, rel, "term",
                          {"opening_chars": ("sum", "length(text)"),
@@ -319,6 +321,84 @@ def rollup_conversation_terms(spark, d):
                          child_count="n_turns")
 
 
+def rollup_merge_shards(spark, d):
+    """Three roll-ups computed separately, one per shard of the lines routed by
+    family, then merged."""
+    hits = _t(spark, d, "lineitem").filter(F.col("l_quantity") > 25)
+    parts = [parent_rollup(part, _orders(spark, d), "l_returnflag", {"sp": _dsum("o_totalprice")})
+             for part in family_shards(hits, "l_orderkey", 3)]
+    return _as_double(merge_rollups(parts, "l_returnflag", {"sp": "sum"}), "sp")
+
+
+def rollup_chain_counts(spark, d):
+    """lineitem → orders → customer with the buckets' own line counts, and a
+    restricted last level: parts without a customer in debt stay at 0."""
+    in_debt = _t(spark, d, "customer").filter(F.col("c_acctbal") < 0)
+    rels = [_orders(spark, d), Relation.from_tables(in_debt, child_key="o_custkey", parent_key="c_custkey")]
+    return chain_rollup(_t(spark, d, "lineitem"), rels, "l_partkey", {"lowest": ("min", "c_acctbal")}, child_count="n_lines")
+
+
+def rollup_ratio(spark, d):
+    """A post-step on finished buckets: a ratio of two sub-aggregations, and
+    only the parts with at least 25 orders."""
+    r = parent_rollup(_t(spark, d, "lineitem"), _orders(spark, d), "l_partkey",
+                      {"total": _dsum("o_totalprice"), "n_open": ("count", "CASE WHEN o_orderstatus = 'O' THEN 1 END")})
+    return r.filter(F.col("doc_count") >= 25).select(
+        "l_partkey", "doc_count", (F.col("n_open") / F.col("doc_count")).alias("open_share"),
+        (F.col("total").cast("double") / F.col("doc_count")).alias("mean_price"))
+
+
+def rollup_lookup(spark, d):
+    """Buckets looked up by their term, then the number of buckets with their
+    hits, then the hit total."""
+    hits = term_buckets(_t(spark, d, "orders"), "o_orderpriority", "term")
+    r = parent_rollup(hits, _customers(spark, d, "o_custkey"), "term", child_count="n_orders")
+    found = r.filter(F.col("term").isin("high", "urgent", "absent")).select("term", "doc_count", "n_orders")
+    buckets = r.agg(F.lit("(buckets)").alias("term"), F.count(F.lit(1)).alias("doc_count"), F.sum("n_orders").alias("n_orders"))
+    total = _t(spark, d, "orders").agg(F.lit("(hits)").alias("term"), F.count("o_custkey").alias("doc_count"), F.count(F.lit(1)).alias("n_orders"))
+    return found.unionByName(buckets).unionByName(total)
+
+
+def filter_rows_predicate(spark, d):
+    """Rows that a boolean predicate keeps."""
+    kept = filter_rows(_t(spark, d, "orders"), (F.col("o_totalprice") > 100_000) & (F.col("o_orderstatus") != "F"))
+    return kept.select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+def _customer_docs(spark, d) -> DataFrame:
+    """One mixed table: customers with two child roles, orders and events."""
+    parts = (
+        join_field_rows(_t(spark, d, "customer").withColumn("mark", F.col("c_mktsegment")), "customer", id_of="c_custkey"),
+        join_field_rows(_t(spark, d, "orders").withColumn("mark", F.col("o_orderstatus")), "order", parent_of="o_custkey"),
+        join_field_rows(_t(spark, d, "events").withColumn("mark", F.col("event_type")), "event", parent_of="user_id"),
+    )
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+
+
+CUSTOMER_CHILDREN = {"customer": ["order", "event"]}
+
+
+def family_values_siblings(spark, d):
+    """Marks over whole families: the customer's, its orders' and its events'."""
+    docs = _customer_docs(spark, d)
+    rel = Relation.from_join_field(docs, child_role="order", relations=CUSTOMER_CHILDREN)
+    return family_values(docs, rel, "mark", key_name="family")
+
+
+def family_filter_siblings(spark, d):
+    """Every document of families in which some event is a purchase."""
+    docs = _customer_docs(spark, d)
+    rel = Relation.from_join_field(docs, child_role="order", relations=CUSTOMER_CHILDREN)
+    condition = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    kept = family_filter(docs, rel, docs, condition, docs_key=rel.family_key)
+    return kept.groupBy(rel.family_key.alias("family"), F.col("join_field.name").alias("role")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def family_values_parent(spark, d):
+    """Statuses over separate tables, the order's own status included."""
+    return family_values(_t(spark, d, "lineitem"), _orders(spark, d), "l_linestatus", parent_value="o_orderstatus")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_sum": rollup_sum,
     "rollup_missing_parent": rollup_missing_parent,
@@ -348,6 +428,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_orders_by_part": rollup_orders_by_part,
     "rollup_orders_by_flag": rollup_orders_by_flag,
     "rollup_conversation_terms": rollup_conversation_terms,
+    "rollup_merge_shards": rollup_merge_shards,
+    "rollup_chain_counts": rollup_chain_counts,
+    "rollup_ratio": rollup_ratio,
+    "rollup_lookup": rollup_lookup,
+    "filter_rows": filter_rows_predicate,
+    "family_values_siblings": family_values_siblings,
+    "family_filter_siblings": family_filter_siblings,
+    "family_values_parent": family_values_parent,
 }
 
 
@@ -538,7 +626,7 @@ GROUP BY h.{_by}
 """
 
 ORACLE_SQL["rollup_conversation_terms"] = f"""
-WITH t AS (SELECT conv_id, unnest({_tokens('text')}) AS term FROM conversations WHERE role = 'assistant'),
+WITH t AS (SELECT conv_id, unnest({_tokens('text')}) AS term FROM conversations WHERE turn > 0),
      c AS (SELECT term, count(*) AS n_turns FROM t GROUP BY term),
      p AS (SELECT h.term, count(o.conv_id) AS doc_count,
                   CAST(sum(length(o.text)) AS BIGINT) AS opening_chars,
@@ -549,4 +637,59 @@ WITH t AS (SELECT conv_id, unnest({_tokens('text')}) AS term FROM conversations
 SELECT p.term, p.doc_count, c.n_turns, p.opening_chars, p.system_opened FROM p JOIN c ON p.term = c.term
 """
 
+ORACLE_SQL["rollup_merge_shards"] = _ROLLUP_SUM
+
+ORACLE_SQL["rollup_chain_counts"] = """
+WITH l1 AS (SELECT DISTINCT l_partkey, o_custkey FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
+     n AS (SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY l_partkey)
+SELECT l1.l_partkey, count(c_custkey) AS doc_count, any_value(n.n_lines) AS n_lines, min(c_acctbal) AS lowest
+FROM l1 JOIN n ON l1.l_partkey = n.l_partkey
+LEFT JOIN (SELECT * FROM customer WHERE c_acctbal < 0) c ON l1.o_custkey = c.c_custkey
+GROUP BY l1.l_partkey
+"""
+
+ORACLE_SQL["rollup_ratio"] = """
+SELECT h.l_partkey, count(*) AS doc_count,
+       CAST(count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS DOUBLE) / count(*) AS open_share,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price
+FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) h JOIN orders ON l_orderkey = o_orderkey
+GROUP BY h.l_partkey HAVING count(*) >= 25
+"""
+
+ORACLE_SQL["rollup_lookup"] = f"""
+WITH t AS (SELECT o_custkey, unnest({_tokens('o_orderpriority')}) AS term FROM orders),
+     r AS (SELECT term, count(DISTINCT c_custkey) AS doc_count, count(*) AS n_orders
+           FROM t LEFT JOIN customer ON o_custkey = c_custkey GROUP BY term)
+SELECT term, doc_count, n_orders FROM r WHERE term IN ('high', 'urgent', 'absent')
+UNION ALL SELECT '(buckets)', count(*), CAST(sum(n_orders) AS BIGINT) FROM r
+UNION ALL SELECT '(hits)', count(o_custkey), count(*) FROM orders
+"""
+
+ORACLE_SQL["filter_rows"] = """
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 100000 AND o_orderstatus <> 'F'
+"""
+
+_CUSTOMER_DOCS = """
+docs AS (SELECT 'customer' AS role, c_custkey AS family, c_mktsegment AS mark FROM customer
+         UNION ALL SELECT 'order', o_custkey, o_orderstatus FROM orders
+         UNION ALL SELECT 'event', user_id, event_type FROM events)"""
+
+ORACLE_SQL["family_values_siblings"] = f"""
+WITH {_CUSTOMER_DOCS}
+SELECT family, mark, count(*) AS n FROM docs WHERE family IS NOT NULL AND mark IS NOT NULL GROUP BY family, mark
+"""
+
+ORACLE_SQL["family_filter_siblings"] = f"""
+WITH {_CUSTOMER_DOCS}
+SELECT family, role, count(*) AS n FROM docs
+WHERE family IN (SELECT user_id FROM events WHERE event_type = 'purchase') GROUP BY family, role
+"""
+
+ORACLE_SQL["family_values_parent"] = """
+SELECT o_orderkey, l_linestatus, count(*) AS n
+FROM (SELECT o_orderkey, o_orderstatus AS l_linestatus FROM orders
+      UNION ALL SELECT l_orderkey, l_linestatus FROM lineitem WHERE l_orderkey IS NOT NULL) f
+WHERE l_linestatus IS NOT NULL GROUP BY o_orderkey, l_linestatus
+"""
+
 FLAGSHIP = "rollup_sum"

@@ -8,6 +8,7 @@ operator; these helpers are for the programs that own the session
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Broadcast joins are decided by AQE on *measured* shuffle output only: the
 # static planner's estimate comes from compressed file sizes and is no bound.
 # Below this many bytes of measured build side, AQE turns the sort-merge join
-# into a broadcast hash join; above it the sort-merge join stays.
+# into a broadcast hash join; above it the sort-merge join stays. The measure is
+# of compressed shuffle output: the table in memory is a few times larger.
 RUNTIME_BROADCAST_BYTES = 64 * 1024 * 1024
 
 DEFAULT_CONF = {
@@ -41,8 +43,10 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
-    ``master`` is left to ``spark-submit`` when ``None``. Options already set
-    on a running session are not overridden by ``getOrCreate``.
+    ``master`` is left to ``spark-submit`` when ``None``. On a session that
+    already runs, ``getOrCreate`` applies the runtime SQL settings given here
+    and leaves the rest. The checkpoint folder is set when something is first
+    checkpointed (``ensure_checkpoint_dir``).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -53,9 +57,10 @@ def get_session(
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
+    running = SparkSession.getActiveSession()
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if running is None:
+        spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
@@ -65,15 +70,14 @@ def cluster_conf(
     *,
     shuffle_ratio: float = 0.25,
     bytes_per_task: int = 256 * 1024 * 1024,
-    max_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input on
     ``total_cores`` executor cores (pass them as ``extra_conf``).
 
     Shuffle partitions follow the bytes expected in the largest shuffle
     (``shuffle_ratio`` of the input: the pair dedup and projection shrink it),
-    one per ``bytes_per_task``, at least three per core and at most
-    ``max_partitions`` (map-output tracking grows with mappers x reducers).
+    one per ``bytes_per_task`` and at least three per core, at any size (map-output
+    tracking grows with mappers x reducers: raise ``bytes_per_task`` to trade).
     AQE coalesces toward the advisory size rather than maximal parallelism,
     which on a busy cluster only adds tiny tasks; file splits stay at 128 MB
     so a task's input fits executor memory.
@@ -81,7 +85,7 @@ def cluster_conf(
     if input_bytes <= 0 or total_cores <= 0:
         raise ValueError("input_bytes and total_cores must be positive")
     wanted = int(input_bytes * shuffle_ratio // bytes_per_task) + 1
-    partitions = min(max(3 * total_cores, wanted), max(max_partitions, 3 * total_cores))
+    partitions = max(3 * total_cores, wanted)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -106,7 +110,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
         raise RuntimeError(
             "spark.checkpoint.dir is not set: a cluster needs a shared folder for checkpoints"
         )

@@ -45,7 +45,9 @@ def stream_parent_rollup(
     """Streaming ``(by…, doc_count, aggs…)`` over every hit seen so far.
 
     ``hits`` is a streaming DataFrame; ``relation.parents`` a static one.
-    Buckets without parents appear with 0, as in ``parent_rollup``.
+    Buckets without parents appear with 0, as in ``parent_rollup``. A pair
+    meets the parents of the moment it first arrives; a parent added later is
+    not counted for it. The state holds every distinct pair and has no bound.
     """
     if not hits.isStreaming:
         raise ValueError("hits must be a streaming DataFrame; use parent_rollup for a table")
@@ -63,7 +65,7 @@ def stream_parent_rollup(
         # static side aggregated per key: unique keys, copies collapsed
         parents = _per_key_parents(relation, aggs)
         joined = pairs.join(parents, pairs[KEY] == parents[PKEY], "left")
-        out = joined.groupBy(*priv).agg(*_per_key_outputs(aggs, count_name, None))
+        out = joined.groupBy(*priv).agg(*_per_key_outputs(relation, aggs, count_name, None))
     else:
         parents = _parent_side(relation, marker=True)
         joined = pairs.join(parents, pairs[KEY] == parents[PKEY], "left")
@@ -77,8 +79,8 @@ def start_rollup_stream(
     rollup: DataFrame,
     name: str,
     *,
+    sink: str,
     output_mode: str = "update",
-    sink: str = "memory",
     checkpoint: str | None = None,
     options: Mapping[str, str] | None = None,
 ):

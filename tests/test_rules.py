@@ -1,0 +1,122 @@
+"""One rule for every spelling and plan: aggregate texts, types, empty buckets,
+clashing names, metadata, merges, families over several child roles."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from kinroll import Relation, chain_rollup, family_filter, family_values, merge_rollups, parent_rollup
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    parents = spark.createDataFrame([(1, 5), (1, 7), (2, None), (4, 1)], "pid long, v long")
+    hits = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 3), ("c", None), ("d", 4)], "b string, k long")
+    return hits, Relation.from_tables(parents, child_key="k", parent_key="pid")
+
+
+@pytest.mark.parametrize("text", ["count(*) + count(v)", "sum(v) / count(v)", "sum(v) OVER ()", "v", "sum(v), max(v)", "(sum(v))", "sum(v) + 1"])
+def test_only_single_calls(tables, text):
+    hits, rel = tables
+    with pytest.raises(ValueError, match="single aggregate call"):
+        parent_rollup(hits, rel, "b", {"x": text})
+
+
+@pytest.mark.parametrize("text", ["count(*)", "sum(v * (1 + v))", "max(concat(')', v))", "count(DISTINCT v)", " percentile_approx(v, 0.5) "])
+def test_single_calls_pass(tables, text):
+    hits, rel = tables
+    assert parent_rollup(hits, rel, "b", {"x": text}).count() == 4
+
+
+@pytest.mark.parametrize("dedup", ["map_side", "co_locate"])
+def test_spellings_agree_without_parents(tables, dedup):
+    hits, rel = tables
+    none = hits.filter("b = 'b'")
+    for by in ((), "b"):
+        for agg in (("sum", "v"), "sum(v)"):
+            assert parent_rollup(none, rel, by, {"s": agg}, keep_empty=False, dedup=dedup).collect() == []
+            assert chain_rollup(none, [rel], by, {"s": agg}, keep_empty=False, dedup=dedup).collect() == []
+            got = parent_rollup(none, rel, by, {"s": agg}, dedup=dedup).collect()
+            assert [tuple(r)[-2:] for r in got] == [(0, None)]
+
+
+def test_types_do_not_depend_on_the_spelling(spark, tables):
+    hits, rel = tables
+    parents = rel.parents.selectExpr("pid", "cast(v as decimal(18,2)) d", "cast(v as int) i", "cast(v as float) f")
+    rel = Relation.from_tables(parents, child_key="k", parent_key="pid")
+    for fn in ("sum", "min", "max", "count"):
+        for c in "dif":
+            pair = parent_rollup(hits, rel, "b", {"x": (fn, c)})
+            text = parent_rollup(hits, rel, "b", {"x": f"{fn}({c})"})
+            assert pair.schema["x"].dataType == text.schema["x"].dataType
+            assert {tuple(r) for r in pair.collect()} == {tuple(r) for r in text.collect()}
+
+
+def test_struct_field_bucket(spark):
+    parents = spark.createDataFrame([(1,), (2,)], "pid long")
+    hits = spark.createDataFrame([(("x",), 1), (("x",), 2), (("y",), 9)], "s struct<n:string>, k long")
+    rel = Relation.from_tables(parents, child_key="k", parent_key="pid")
+    for aggs in ({}, {"n": "count(DISTINCT pid)"}):
+        got = parent_rollup(hits, rel, "s.n", aggs)
+        assert got.columns[0] == "s.n" and {tuple(r)[:2] for r in got.collect()} == {("x", 2), ("y", 0)}
+
+
+@pytest.mark.parametrize("dedup", ["map_side", "co_locate"])
+def test_chain_with_clashing_names(spark, dedup):
+    """The bucket is called like the next level's key and like a parent column."""
+    lines = spark.createDataFrame([(10, 1), (10, 2), (11, 1), (11, 1), (12, 9)], "top long, oid long")
+    orders = spark.createDataFrame([(1, 100), (2, 101)], "o long, top long")
+    tops = spark.createDataFrame([(100, 5), (101, 6)], "t long, v long")
+    rels = [Relation.from_tables(orders, child_key="oid", parent_key="o"), Relation.from_tables(tops, child_key="top", parent_key="t")]
+    for agg in (("sum", "v"), "sum(v)"):
+        got = chain_rollup(lines, rels, "top", {"s": agg}, dedup=dedup, child_count="n", metadata={"m": 1})
+        assert got.columns == ["top", "doc_count", "n", "s"] and got.schema["doc_count"].metadata == {"m": 1}
+        assert {tuple(r) for r in got.collect()} == {(10, 2, 2, 11), (11, 1, 2, 5), (12, 0, 1, None)}
+        dropped = chain_rollup(lines, rels, "top", {"s": agg}, dedup=dedup, child_count="n", keep_empty=False)
+        assert {r["top"] for r in dropped.collect()} == {10, 11}
+        whole = chain_rollup(lines, rels, (), {"s": agg}, dedup=dedup, child_count="n")
+        assert [tuple(r) for r in whole.collect()] == [(2, 5, 11)]
+
+
+def test_merge_keeps_metadata_and_counts_zero(tables):
+    hits, rel = tables
+    parts = [parent_rollup(hits.filter(f"coalesce(k, 0) % 2 = {i}"), rel, "b", {"s": ("sum", "v")}, metadata={"part": i}) for i in (0, 1)]
+    merged = merge_rollups(parts, "b", {"s": "sum"})
+    assert merged.schema["doc_count"].metadata == {"part": 1}
+    whole = parent_rollup(hits, rel, "b", {"s": ("sum", "v")})
+    assert {tuple(r) for r in merged.collect()} == {tuple(r) for r in whole.collect()}
+    empty = merge_rollups([p.limit(0).drop("b") for p in parts], (), {"s": "sum"})
+    assert [tuple(r) for r in empty.collect()] == [(0, None)]
+
+
+def test_families_over_all_child_roles(spark):
+    rows = [("c1", ("case", None), "A"), ("a1", ("activity", "c1"), "B"), ("n1", ("note", "c1"), "C"), ("c2", ("case", None), "A"),
+            ("x", ("other", "c1"), "Z")]
+    docs = spark.createDataFrame(rows, "_id string, join_field struct<name:string,parent:string>, v string")
+    for role in ("activity", "note"):
+        rel = Relation.from_join_field(docs, child_role=role, relations={"case": ["activity", "note"]})
+        assert {tuple(r) for r in family_values(docs, rel, "v").collect()} == {("c1", "A", 1), ("c1", "B", 1), ("c1", "C", 1), ("c2", "A", 1)}
+        for value in "BC":
+            kept = family_filter(docs, rel, docs, F.col("v") == value, docs_key=rel.family_key)
+            assert {r["_id"] for r in kept.collect()} == {"c1", "a1", "n1"}
+
+
+def test_family_values_of_typed_parents_are_stated(spark):
+    parents = spark.createDataFrame([(1, "p"), (2, "q")], "pid long, v string")
+    kids = spark.createDataFrame([(1, "a"), (1, "p")], "k long, v string")
+    rel = Relation.from_tables(parents, child_key="k", parent_key="pid")
+    assert {tuple(r) for r in family_values(kids, rel, "v").collect()} == {(1, "a", 1), (1, "p", 1)}
+    assert {tuple(r) for r in family_values(kids, rel, "v", parent_value="v").collect()} == {(1, "a", 1), (1, "p", 2), (2, "q", 1)}
+    with pytest.raises(ValueError):
+        family_values(kids, rel, "v", parent_value="w")
+
+
+def test_session_sets_no_checkpoint_folder(monkeypatch):
+    from kinroll import session
+
+    class Fake:
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+            getCheckpointDir = staticmethod(lambda: None)
+            getConf = staticmethod(lambda: {})
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Fake)

@@ -4,7 +4,7 @@ rows copies of one id. Results stay exact and AQE may split the join."""
 import pytest
 from pyspark.sql import functions as F
 
-from kinroll import Relation, parent_rollup
+from kinroll import Relation, family_filter, parent_rollup
 from kinroll.plans.strategy import physical_plan
 from kinroll.sources import read_table
 
@@ -87,12 +87,9 @@ def test_hot_parent_copies_collapse_per_key(spark, skew_conf):
 
 def test_hot_child_key_with_many_buckets(spark, skew_conf):
     """One parent behind a third of the lines, bucketed by a nearly unique
-    value: after dedup that parent still has ~26k pairs. The union plan's
-    inner join reads both sides straight from shuffle stages, so AQE splits
-    the crowded pairs partition; the per-key plan gives the same result but
-    its join cannot be split (the per-key parent aggregate sits between the
-    exchange and the join), so that parent's pairs stay in one task, bounded
-    by its number of distinct buckets."""
+    value: after dedup that parent still has ~26k pairs. Both plans' joins
+    read both sides straight from shuffle stages, so AQE splits the crowded
+    pairs partition."""
     li = read_table(spark, SF01, "lineitem")
     hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 3, F.lit(HOT).cast("bigint"))
                         .otherwise(F.col("l_orderkey")))
@@ -106,5 +103,33 @@ def test_hot_child_key_with_many_buckets(spark, skew_conf):
         r = parent_rollup(hot, rel, "l_extendedprice", {"sc": agg})
         got = {x["l_extendedprice"]: (x["doc_count"], x["sc"]) for x in r.collect()}
         assert got == want
-        if isinstance(agg, str):
-            assert "SortMergeJoin(skew=true)" in physical_plan(r).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in physical_plan(r).split("== Initial Plan ==")[0]
+
+
+def test_third_of_null_keys_split(spark, skew_conf):
+    """Hits without a parent key share the null key: AQE splits it as well."""
+    li = read_table(spark, SF01, "lineitem").repartition(8)
+    hits = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") > 3, F.col("l_orderkey")))
+    assert hits.filter("l_orderkey is null").count() / hits.count() > 0.3
+    orders = read_table(spark, SF01, "orders")
+    rel = Relation.from_tables(orders, child_key="l_orderkey", parent_key="o_orderkey")
+    r = parent_rollup(hits, rel, "l_extendedprice", {"sc": ("sum", "o_custkey")})
+    pairs = hits.select("l_extendedprice", "l_orderkey").distinct()
+    j = pairs.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    want = {x[0]: (x[1], x[2]) for x in j.groupBy("l_extendedprice").agg(
+        F.count("o_orderkey"), F.sum("o_custkey")).collect()}
+    assert {x["l_extendedprice"]: (x["doc_count"], x["sc"]) for x in r.collect()} == want
+    assert "SortMergeJoin(skew=true)" in physical_plan(r).split("== Initial Plan ==")[0]
+
+
+def test_hot_family_split(spark, skew_conf):
+    """A family that holds a third of the documents does not stay in one task."""
+    li = read_table(spark, SF01, "lineitem").repartition(8)
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 3, F.lit(HOT).cast("bigint"))
+                        .otherwise(F.col("l_orderkey")))
+    rel = Relation.from_tables(read_table(spark, SF01, "orders"), child_key="l_orderkey", parent_key="o_orderkey")
+    kept = family_filter(hot, rel, li, F.col("l_quantity") > 40, docs_key="l_orderkey")
+    rows = kept.collect()
+    keys = {r[0] for r in li.filter("l_quantity > 40").select("l_orderkey").distinct().collect()}
+    assert len(rows) == sum(r[0] in keys for r in hot.select("l_orderkey").collect())
+    assert "SortMergeJoin(skew=true)" in physical_plan(kept).split("== Initial Plan ==")[0]

@@ -22,7 +22,7 @@ def test_stream_matches_batch(spark):
         lines.filter(F.col("l_returnflag") == flag).write.mode("append").parquet(folder)
     stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(folder))
     out = stream_parent_rollup(stream, rel, "l_partkey", {"sp": "sum(o_totalprice)", "mx": ("max", "o_totalprice")})
-    q = start_rollup_stream(out, "kinroll_stream_test", output_mode="complete",
+    q = start_rollup_stream(out, "kinroll_stream_test", sink="memory", output_mode="complete",
                             checkpoint=os.path.join(folder, "_checkpoint"))
     try:
         q.processAllAvailable()
@@ -60,7 +60,7 @@ def test_stream_state_checkpoint_defaults_to_session_folder(spark):
     rel = Relation.from_tables(read_table(spark, SF001, "orders"), child_key="l_orderkey",
                                parent_key="o_orderkey")
     out = stream_parent_rollup(spark.readStream.schema(lines.schema).parquet(folder), rel, "l_returnflag")
-    q = start_rollup_stream(out, "kinroll_stream_default_ckpt")
+    q = start_rollup_stream(out, "kinroll_stream_default_ckpt", sink="memory")
     try:
         q.processAllAvailable()
     finally:
@@ -80,7 +80,7 @@ def test_stream_per_key_plan(spark):
     lines.write.mode("append").parquet(folder)
     out = stream_parent_rollup(spark.readStream.schema(lines.schema).parquet(folder), rel, "l_partkey",
                                {"s": ("sum", "o_totalprice"), "n": ("count", "*")})
-    q = start_rollup_stream(out, "kinroll_stream_per_key", output_mode="complete",
+    q = start_rollup_stream(out, "kinroll_stream_per_key", sink="memory", output_mode="complete",
                             checkpoint=os.path.join(folder, "_ckpt"))
     try:
         q.processAllAvailable()
