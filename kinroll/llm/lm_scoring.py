@@ -40,7 +40,7 @@ ROUNDS = 2
 STRIDE = 16
 BATCH = 2048
 RATE = 0.15
-FLUSH = 200_000
+FLUSH = 150_000
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
@@ -111,10 +111,11 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
-def contexts(ids: np.ndarray) -> np.ndarray:
-    """The neighbours of every position, ``VOCABULARY`` beyond the ends."""
-    padded = np.concatenate([np.full(SIDE, VOCABULARY), ids, np.full(SIDE, VOCABULARY)])
-    return np.stack([padded[SIDE + o:SIDE + o + len(ids)] for o in OFFSETS], axis=1)
+def contexts(ids: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The neighbours of the positions ``at`` (all), ``VOCABULARY`` beyond the ends."""
+    beyond = np.full(SIDE, VOCABULARY)
+    padded = np.concatenate([beyond, ids, beyond])
+    return np.stack([padded[SIDE + o:SIDE + o + len(ids)][at] for o in OFFSETS], axis=1)
 
 
 def _forward(p: dict, around: np.ndarray) -> np.ndarray:
@@ -182,7 +183,7 @@ def _trainer(model, words, round_no: int):
                 if not len(ids):
                     continue
                 at = np.arange((round_no * STRIDE) // ROUNDS % min(STRIDE, len(ids)), len(ids), STRIDE)
-                around.append(contexts(ids)[at])
+                around.append(contexts(ids, at))
                 targets.append(ids[at])
                 held += len(at)
                 if held >= BATCH:
