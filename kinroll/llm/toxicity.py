@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from kinroll.llm.common import append, extended, map_arrow, narrow, quoted, without
 from kinroll.llm.labelled import held_out, training_sample
 
-SAMPLE = 20_000
+SAMPLE = 12_000
 SPACE = 1 << 22
 GRADES = 3
 MIN_TOXIC = 4         # toxic sample documents that a kept feature occurs in,
@@ -136,8 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return OrdinalModel({}, np.full(GRADES, np.inf))
     lists = found.column("features").combine_chunks()
     columns = lists.flatten().to_numpy()
-    at = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-    in_toxic = np.bincount(columns, weights=toxic[at], minlength=SPACE)
+    at = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    in_toxic = np.bincount(columns[toxic[at] == 1], minlength=SPACE)
     in_clean = np.bincount(columns, minlength=SPACE) - in_toxic
     ratio = ((in_toxic + 0.5) / (toxic.sum() + 1)) / ((in_clean + 0.5) / ((toxic == 0).sum() + 1))
     kept = np.flatnonzero((in_toxic >= max(MIN_TOXIC, MIN_SHARE * toxic.sum())) & (ratio >= MIN_RATIO))
