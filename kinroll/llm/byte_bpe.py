@@ -10,7 +10,9 @@ given up is never tried again. That reproduces the exact merges in time linear
 in the match's length.
 
 The automaton and the tables are built once per Python worker from the rank
-file, which is broadcast (under 1 MB, fixed). The memos are bounded.
+file, which is broadcast (under 1 MB, fixed). The memos are bounded. ASCII texts
+are split by the same pattern with its Unicode classes narrowed to ASCII, which
+gives the same matches faster.
 
 Defined cases: a null text is the empty text (no ids, no bytes); a null id list
 decodes to null, unknown ids raise ``KeyError``; an empty table gives an empty
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import struct
 from collections.abc import Iterator
 
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from kinroll.llm.common import append, extended, map_arrow, quoted, without
 
-MEMO_WORDS = 300_000   # matches remembered per worker; emptied when full
+MEMO_WORDS = 200_000   # matches in each of the two generations a worker remembers
 MEMO_BYTES = 48        # longer matches are encoded each time
 MEMO_PAIRS = 400_000
 BLOCK = 4096           # starts whose tokens are listed at a time
@@ -42,6 +45,28 @@ def read_ranks(blob: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, blob.splitlines()) if token}
 
 
+# What the pattern's Unicode classes hold among ASCII characters.
+ASCII_CLASSES = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9", r"\s": r" \t-\r", r"\S": r"^ \t-\r"}
+
+
+def ascii_pattern(pattern: str) -> re.Pattern | None:
+    """``pattern`` for ASCII texts, or None where it holds a class or an escape
+    without an entry in ``ASCII_CLASSES``, or brackets within a set."""
+    if re.search(r"\[\^?\]|\[[^\]]*\[", pattern):
+        return None
+    out, in_set = [], False
+    for part in re.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, re.DOTALL):
+        if part[0] == "\\":
+            members = ASCII_CLASSES.get(part)
+            if members is None or (in_set and members[0] == "^"):
+                return None
+            part = members if in_set else f"[{members}]"
+        elif part in "[]":
+            in_set = part == "["
+        out.append(part)
+    return re.compile("".join(out))
+
+
 def merged(token: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
     """The parts of ``token`` after all merges of a rank under ``below``."""
     parts = [token[i:i + 1] for i in range(len(token))]
@@ -60,6 +85,7 @@ class ByteBpe:
         import ahocorasick
 
         self.ranks, self.split = ranks, regex.compile(pattern)
+        self.split_ascii = ascii_pattern(pattern) or self.split
         self.token_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.halves: dict[int, tuple[int, int]] = {}   # the two tokens whose merge made a token
@@ -179,7 +205,8 @@ class ByteBpe:
 
     def encode_packed(self, text: str) -> bytes:
         """The ids of a whole text, 4 bytes each."""
-        return b"".join(map(self.packed.__getitem__, self.split.findall(text)))
+        split = self.split_ascii if text.isascii() else self.split
+        return b"".join(map(self.packed.__getitem__, split.findall(text)))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_packed(text), dtype="<i4").tolist()
@@ -203,19 +230,24 @@ class ByteBpe:
 
 
 class _Packed(dict):
-    """Memo: a match's ids as 4-byte integers."""
+    """Memo: a match's ids as 4-byte integers. When it is full it becomes the
+    older generation, whose matches come back when they are met again."""
 
     def __init__(self, coder: ByteBpe):
         super().__init__()
         self.coder = coder
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, match: str) -> bytes:
-        spelt = match.encode()
-        whole = self.coder.ranks.get(spelt)
-        ids = self.coder.encode_match(spelt.decode("latin-1")) if whole is None else (whole,)
-        packed = struct.pack(f"<{len(ids)}i", *ids)
+        packed = self.older.pop(match, None)
+        if packed is None:
+            spelt = match.encode()
+            whole = self.coder.ranks.get(spelt)
+            ids = self.coder.encode_match(spelt.decode("latin-1")) if whole is None else (whole,)
+            packed = struct.pack(f"<{len(ids)}i", *ids)
         if len(match) <= MEMO_BYTES:
             if len(self) >= MEMO_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[match] = packed
         return packed

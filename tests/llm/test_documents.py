@@ -275,6 +275,27 @@ def test_bpe_against_the_library(library):
         assert coder.decode(coder.encode(text)) == text.encode()
 
 
+def test_ascii_pattern_splits_alike():
+    coder = byte_bpe.ByteBpe({bytes([b]): b for b in range(256)}, PATTERN)
+    pool = [chr(c) for c in range(128)] + list("  \n\t'stredlvm ab12..") * 4
+    rng = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(rng.choices(pool, k=rng.randint(1, 14)))
+        assert coder.split_ascii.findall(text) == coder.split.findall(text), text
+    assert byte_bpe.ascii_pattern(r"\w+|.") is None and byte_bpe.ascii_pattern(r"[\S]") is None
+
+
+def test_bpe_memo_generations(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "MEMO_WORDS", 5)
+    ranks, own = library
+    coder = byte_bpe.ByteBpe(ranks, PATTERN)
+    rng = random.Random(4)
+    for _ in range(300):
+        text = " ".join(f"oddword{rng.randint(0, 12)}é" for _ in range(6))
+        assert coder.encode(text) == own.encode_ordinary(text)
+        assert len(coder.packed) <= 5 and len(coder.packed.older) <= 5
+
+
 def test_bpe_small_vocabularies():
     """Against plain merging, with merges learnt from random words of few letters."""
     rng = random.Random(5)
