@@ -211,6 +211,8 @@ def _as_sql(name: str, spec) -> str:
             )
         return spec
     if isinstance(spec, tuple) and len(spec) == 2 and spec[0] in SPLITTABLE and isinstance(spec[1], str):
+        if re.match(r"\s*distinct\b", spec[1], re.IGNORECASE):
+            raise ValueError(f"sub-aggregation {name!r}: DISTINCT does not split over parents; give the call as a string")
         return f"{spec[0]}({spec[1]})"
     raise TypeError(
         f"sub-aggregation {name!r} must be a Spark SQL aggregate call (a string) or a pair "
@@ -300,7 +302,17 @@ def parent_rollup(
 
 
 def _per_key_parents(relation: Relation, aggs: Mapping) -> DataFrame:
-    """Parent rows aggregated per key: row count and per-key partials."""
+    """Parent rows aggregated per key: row count and per-key partials. Keys
+    declared unique need no aggregation: a row is its key's partial. Should they
+    repeat after all, the join repeats the pair and the combined result is still
+    right; only a pair's hit count would be taken more than once."""
+    if relation.unique_parents:
+        one = [F.lit(1).cast("long").alias("__kr_n")]
+        for i, (fn, expr) in enumerate(aggs.values()):
+            counted = F.lit(1) if expr.strip() == "*" else F.expr(f"if(isnull({expr}), 0, 1)")
+            one.append((counted.cast("long") if fn == "count" else F.expr(expr)).alias(f"__kr_p_{i}"))
+        return relation.parents.filter(F.col(relation.parent_key).isNotNull()).select(
+            F.col(relation.parent_key).alias(PKEY), *one)
     per_key = [F.count(F.lit(1)).alias("__kr_n")]
     per_key += [F.expr(f"{fn}({expr})").alias(f"__kr_p_{i}") for i, (fn, expr) in enumerate(aggs.values())]
     return (relation.parents.filter(F.col(relation.parent_key).isNotNull())

@@ -120,3 +120,24 @@ def test_session_sets_no_checkpoint_folder(monkeypatch):
             getConf = staticmethod(lambda: {})
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Fake)
+
+
+@pytest.mark.parametrize("dedup", ["map_side", "co_locate"])
+@pytest.mark.parametrize("keep_empty", [True, False])
+def test_declared_unique_parents_change_nothing_but_the_plan(spark, dedup, keep_empty):
+    parents = spark.createDataFrame([(1, 2.5, "a"), (2, None, None), (3, -1.0, "b"), (None, 9.0, "z")], "id int, v double, s string")
+    hits = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2), ("y", 3), ("y", 7), ("z", None), (None, 2)], "b string, k int")
+    aggs = {"n": ("count", "*"), "nv": ("count", "v"), "sv": ("sum", "v"), "lo": ("min", "s"), "hi": ("max", "v + 1")}
+    both = [Relation.from_tables(parents, child_key="k", parent_key="id", unique_parents=u) for u in (False, True)]
+    plain, unique = (parent_rollup(hits, r, "b", aggs, child_count="c", keep_empty=keep_empty, dedup=dedup) for r in both)
+    assert plain.schema == unique.schema
+    assert sorted(map(str, plain.collect())) == sorted(map(str, unique.collect()))
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [")
+    assert count(unique) == count(plain) - 1
+
+
+def test_distinct_pair_is_refused(spark):
+    parents = spark.createDataFrame([(1, 2)], "id int, v int")
+    rel = Relation.from_tables(parents, child_key="k", parent_key="id")
+    with pytest.raises(ValueError, match="DISTINCT"):
+        parent_rollup(spark.createDataFrame([(1,)], "k int"), rel, (), {"n": ("count", "DISTINCT v")})
