@@ -9,8 +9,9 @@ for it. A document's score is the sum of its tokens' conditional log-probabiliti
 
 Training is numpy inside tasks and covers the whole corpus: word counts come
 from all words; in each of ``ROUNDS`` rounds every task starts from the shared
-weights, runs Adagrad over its documents' windows (one position in ``STRIDE``,
-another one each round), and the weights are averaged over tasks by windows seen.
+weights, runs Adagrad over its documents' windows (one position in ``ROUNDS``,
+the next one each round, so that every position is a target exactly once), and
+the weights are averaged over tasks by windows seen.
 The model has a fixed size (about 0.7 MB) and is broadcast.
 
 Defined cases: null and empty texts have no tokens, score 0 and a null mean; a
@@ -37,7 +38,6 @@ OTHER = 128           # hashed ids for words outside the vocabulary
 SIDE = 2
 WIDTH = 16
 ROUNDS = 2
-STRIDE = 16
 BATCH = 2048
 RATE = 0.15
 FLUSH = 150_000
@@ -172,6 +172,11 @@ def step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, targets: np.
     flat -= RATE * grad / np.sqrt(squares + 1e-8)
 
 
+def positions(n: int, round_no: int) -> np.ndarray:
+    """The targets of one round among ``n`` positions: the rounds share them out."""
+    return np.arange(round_no, n, ROUNDS)
+
+
 def _trainer(model, words, round_no: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, flat, seen = _Ids(words.value), model.value.copy(), 0
@@ -180,15 +185,14 @@ def _trainer(model, words, round_no: int):
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 ids = np.fromiter(map(ids_of.__getitem__, tokens_of(text)), dtype=np.int64)
-                if not len(ids):
-                    continue
-                at = np.arange((round_no * STRIDE) // ROUNDS % min(STRIDE, len(ids)), len(ids), STRIDE)
-                around.append(contexts(ids, at))
-                targets.append(ids[at])
-                held += len(at)
-                if held >= BATCH:
-                    step(flat, squares, np.concatenate(around), np.concatenate(targets))
-                    seen, around, targets, held = seen + held, [], [], 0
+                at = positions(len(ids), round_no)
+                for part in (at[i:i + BATCH] for i in range(0, len(at), BATCH)):
+                    around.append(contexts(ids, part))
+                    targets.append(ids[part])
+                    held += len(part)
+                    if held >= BATCH:
+                        step(flat, squares, np.concatenate(around), np.concatenate(targets))
+                        seen, around, targets, held = seen + held, [], [], 0
         if held:
             step(flat, squares, np.concatenate(around), np.concatenate(targets))
             seen += held

@@ -1,6 +1,9 @@
 """Toxicity, quality and language-model scores: held-out accuracy, identities."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +135,19 @@ def test_lm_gradient_step_lowers_the_loss():
     assert loss() < before - 2
 
 
+def test_lm_trains_every_position_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm_scoring, "step", lambda flat, squares, around, targets, *_: seen.extend(targets.tolist()))
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words[:n]) for n in (0, 1, 2, 5, 8, 9, 16, 17, 40)]
+    held = SimpleNamespace(value=words)
+    model = SimpleNamespace(value=lm_scoring.initial(np.ones(lm_scoring.VOCABULARY)))
+    for round_no in range(lm_scoring.ROUNDS):
+        list(lm_scoring._trainer(model, held, round_no)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+    expected = [i for t in texts for i in range(len(t.split()))]
+    assert sorted(seen) == sorted(expected)
+
+
 def test_lm_scores_prefer_the_corpus_order(spark):
     docs = [r["text"] for r in read_table(spark, "/root/testdata/sf0.01", "documents").filter("lang = 'en'").limit(200).collect()]
     rng = np.random.default_rng(3)
