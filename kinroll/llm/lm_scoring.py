@@ -1,18 +1,26 @@
 """Pseudo-likelihood of documents under a bidirectional window network.
 
-Tokens are lower-cased words: the corpus' most frequent ones have an id each, the
+Tokens are lower-cased words: the corpus' frequent ones have an id each, the
 others share hashed ids. The network predicts a masked token from the ``SIDE``
 tokens on both of its sides: position-wise embeddings are summed, passed through
 tanh, and give the probability of the token's class and of the token within its
-class; a hashed id's probability is shared evenly by the distinct words counted
-for it. A document's score is the sum of its tokens' conditional log-probabilities.
+class; a hashed id's probability is divided among its words by their counts, and
+a word never counted scores like one counted once. A document's score is the sum
+of its tokens' conditional log-probabilities.
+
+The vocabulary grows with the corpus: a word has its own id from ``sqrt(tokens) /
+SPREAD`` occurrences on, and the ``VOCABULARY - OTHER`` most frequent always have
+one. There are as many classes as ids in a class. Counts of the other words stay
+in their table: scoring writes each chunk's distinct ones once, with the rows
+they stand in, and joins them to it.
 
 Training is numpy inside tasks and covers the whole corpus: word counts come
 from all words; in each of ``ROUNDS`` rounds every task starts from the shared
 weights, runs Adagrad over its documents' windows (one position in ``ROUNDS``,
 the next one each round, so that every position is a target exactly once), and
 the weights are averaged over tasks by windows seen.
-The model has a fixed size (about 0.7 MB) and is broadcast.
+The model has about 330 bytes a word of the vocabulary and is broadcast; the
+driver holds it and the vocabulary.
 
 Defined cases: null and empty texts have no tokens, score 0 and a null mean; a
 null id is scored like any other; rows that repeat are scored each; an empty
@@ -21,26 +29,31 @@ table gives an empty result; other columns play no part.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinroll.llm.common import cut, map_arrow, narrow
 
-CLASSES = 32          # of CLASSES tokens each
+CLASSES = 32          # of CLASSES tokens each, at least
 VOCABULARY = CLASSES * CLASSES
-OTHER = 128           # hashed ids for words outside the vocabulary
+OTHER = 128           # hashed ids for words outside the vocabulary, at least
+SPREAD = 20
 SIDE = 2
 WIDTH = 16
 ROUNDS = 2
 BATCH = 2048
 RATE = 0.15
 FLUSH = 150_000
+CHUNK = 4096          # documents scored together, at most
+BLOCK = 4096          # parameters averaged together
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
@@ -66,30 +79,48 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Ids(dict):
     """Ids of words: frequent ones by rank, the rest hashed (memo, bounded)."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], classes: int = CLASSES):
         super().__init__()
         self.known = {w: i for i, w in enumerate(words)}
+        self.first = first_hashed(len(words))
+        self.other = classes * classes - self.first
 
     def __missing__(self, word: str) -> int:
         if len(self) >= FLUSH:
             self.clear()
         found = self.known.get(word)
-        value = self[word] = VOCABULARY - OTHER + zlib.crc32(word.encode()) % OTHER if found is None else found
+        value = self[word] = self.first + zlib.crc32(word.encode()) % self.other if found is None else found
         return value
 
 
-SHAPES = {
-    "embed": (len(OFFSETS), VOCABULARY + 1, WIDTH), "hidden": (WIDTH,), "to_class": (WIDTH, CLASSES), "class_bias": (CLASSES,),
-    "to_word": (CLASSES, WIDTH, CLASSES), "word_bias": (CLASSES, CLASSES),
-}
-SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+def first_hashed(words: int) -> int:
+    return max(words, VOCABULARY - OTHER)
+
+
+def shapes(classes: int) -> dict[str, tuple]:
+    return {
+        "embed": (len(OFFSETS), classes * classes + 1, WIDTH), "hidden": (WIDTH,), "to_class": (WIDTH, classes), "class_bias": (classes,),
+        "to_word": (classes, WIDTH, classes), "word_bias": (classes, classes),
+    }
+
+
+def size(classes: int) -> int:
+    return sum(math.prod(s) for s in shapes(classes).values())
+
+
+SIZE = size(CLASSES)
+
+
+def classes_of(flat: np.ndarray) -> int:
+    """The class count of a flat vector, whose length is near its square."""
+    return math.isqrt(len(flat) // ((len(OFFSETS) + 1) * WIDTH + 1))
 
 
 def views(flat: np.ndarray) -> dict[str, np.ndarray]:
     """The parameters as named arrays that share the flat vector's memory."""
     out, at = {}, 0
-    for name, shape in SHAPES.items():
-        n = int(np.prod(shape))
+    for name, shape in shapes(classes_of(flat)).items():
+        n = math.prod(shape)
         out[name] = flat[at:at + n].reshape(shape)
         at += n
     return out
@@ -97,24 +128,20 @@ def views(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def initial(counts: np.ndarray, seed: int = 11) -> np.ndarray:
     """Small random weights; the biases start at the corpus' token counts."""
-    flat = np.random.default_rng(seed).normal(0, 0.1, SIZE).astype(np.float32)
+    classes = math.isqrt(len(counts))
+    flat = np.random.default_rng(seed).normal(0, 0.1, size(classes)).astype(np.float32)
     p = views(flat)
-    grid = (counts + 1.0).reshape(CLASSES, CLASSES)
+    grid = (counts + 1.0).reshape(classes, classes)
     p["class_bias"][:] = np.log(grid.sum(axis=1) / grid.sum())
     p["word_bias"][:] = np.log(grid / grid.sum(axis=1, keepdims=True))
     p["hidden"][:] = 0
     return flat
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def contexts(ids: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
-    """The neighbours of the positions ``at`` (all), ``VOCABULARY`` beyond the ends."""
-    beyond = np.full(SIDE, VOCABULARY)
-    padded = np.concatenate([beyond, ids, beyond])
+def contexts(ids: np.ndarray, at: np.ndarray | slice = slice(None), beyond: int = VOCABULARY) -> np.ndarray:
+    """The neighbours of the positions ``at`` (all), ``beyond`` the last id past the ends."""
+    ends = np.full(SIDE, beyond)
+    padded = np.concatenate([ends, ids, ends])
     return np.stack([padded[SIDE + o:SIDE + o + len(ids)][at] for o in OFFSETS], axis=1)
 
 
@@ -125,51 +152,81 @@ def _forward(p: dict, around: np.ndarray) -> np.ndarray:
     return np.tanh(total + p["hidden"])
 
 
+def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In place ``exp(z - max)`` of every row, and the rows' sums."""
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    return z, z.sum(axis=1, keepdims=True)
+
+
+def _by_class(group: np.ndarray, classes: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by class, and (class, start, end) of the classes that occur."""
+    order = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group[order], np.arange(classes + 1)).tolist()
+    return order, [(c, edges[c], edges[c + 1]) for c in range(classes) if edges[c] < edges[c + 1]]
+
+
+def _word_scores(p: dict, h: np.ndarray, group: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    """Scores within the target's class, for rows in the order of classes."""
+    out = p["word_bias"][group]
+    for c, start, end in runs:
+        out[start:end] += h[start:end] @ p["to_word"][c]
+    return out
+
+
 def log_probabilities(p: dict, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Conditional log-probability of every target, a batch at a time."""
-    out = np.empty(len(targets))
+    classes, out = len(p["class_bias"]), np.empty(len(targets))
     for start in range(0, len(targets), 8192):
         part = slice(start, start + 8192)
         h, t = _forward(p, around[part]), targets[part]
-        group, member = t // CLASSES, t % CLASSES
-        score = _log_softmax(h @ p["to_class"] + p["class_bias"])[np.arange(len(t)), group].astype(np.float64)
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[edges[c]:edges[c + 1]]
-            if len(at):
-                score[at] += _log_softmax(h[at] @ p["to_word"][c] + p["word_bias"][c])[np.arange(len(at)), member[at]]
-        out[part] = score
+        order, runs = _by_class(t // classes, classes)
+        h, group, member, rows = h[order], t[order] // classes, t[order] % classes, np.arange(len(t))
+        score = np.zeros(len(t))
+        for z, at in ((h @ p["to_class"] + p["class_bias"], group), (_word_scores(p, h, group, runs), member)):
+            score += z[rows, at] - z.max(axis=1)
+            score -= np.log(_exp(z)[1][:, 0])
+        out[start + order] = score
     return out
 
 
+def _adagrad(weights: np.ndarray, squares: np.ndarray, at, grad: np.ndarray) -> None:
+    """The update of the entries ``at``; those with no gradient do not move."""
+    total = squares[at] + grad * grad
+    squares[at] = total
+    weights[at] -= RATE * grad / np.sqrt(total + 1e-8)
+
+
 def step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, targets: np.ndarray) -> None:
     """One Adagrad step on a batch, in place."""
-    p, grad = views(flat), np.zeros_like(flat)
-    g, n = views(grad), len(targets)
+    p, q, n = views(flat), views(squares), len(targets)
+    classes, every, rows = len(p["class_bias"]), slice(None), np.arange(n)
+    order, runs = _by_class(targets // classes, classes)
+    around, targets = around[order], targets[order]
+    group, member = targets // classes, targets % classes
     h = _forward(p, around)
-    group, member = targets // CLASSES, targets % CLASSES
-    d_class = np.exp(_log_softmax(h @ p["to_class"] + p["class_bias"]))
-    d_class[np.arange(n), group] -= 1
-    g["to_class"][:] = h.T @ d_class
-    g["class_bias"][:] = d_class.sum(axis=0)
+    z, total = _exp(h @ p["to_class"] + p["class_bias"])
+    d_class = z / (total * n)
+    d_class[rows, group] -= np.float32(1 / n)
     d_h = d_class @ p["to_class"].T
-    for c in np.unique(group):
-        at = np.flatnonzero(group == c)
-        d_word = np.exp(_log_softmax(h[at] @ p["to_word"][c] + p["word_bias"][c]))
-        d_word[np.arange(len(at)), member[at]] -= 1
-        g["to_word"][c] = h[at].T @ d_word
-        g["word_bias"][c] = d_word.sum(axis=0)
-        d_h[at] += d_word @ p["to_word"][c].T
+    z, total = _exp(_word_scores(p, h, group, runs))
+    d_word = z / (total * n)
+    d_word[rows, member] -= np.float32(1 / n)
+    to_word = np.empty((len(runs), WIDTH, classes), dtype=np.float32)
+    for i, (c, start, end) in enumerate(runs):
+        np.matmul(h[start:end].T, d_word[start:end], out=to_word[i])
+        d_h[start:end] += d_word[start:end] @ p["to_word"][c].T
     d_sum = d_h * (1 - h * h)
-    g["hidden"][:] = d_sum.sum(axis=0)
+    present = np.array([c for c, _, _ in runs])
+    _adagrad(p["to_class"], q["to_class"], every, h.T @ d_class)
+    _adagrad(p["class_bias"], q["class_bias"], every, d_class.sum(axis=0))
+    _adagrad(p["to_word"], q["to_word"], present, to_word)
+    _adagrad(p["word_bias"], q["word_bias"], present, np.add.reduceat(d_word, [start for _, start, _ in runs]))
+    _adagrad(p["hidden"], q["hidden"], every, d_sum.sum(axis=0))
     for i in range(len(OFFSETS)):
         order = np.argsort(around[:, i], kind="stable")
         keys, first = np.unique(around[order, i], return_index=True)
-        g["embed"][i][keys] = np.add.reduceat(d_sum[order], first)
-    grad /= n
-    squares += grad * grad
-    flat -= RATE * grad / np.sqrt(squares + 1e-8)
+        _adagrad(p["embed"][i], q["embed"][i], keys, np.add.reduceat(d_sum[order], first))
 
 
 def positions(n: int, round_no: int) -> np.ndarray:
@@ -179,15 +236,16 @@ def positions(n: int, round_no: int) -> np.ndarray:
 
 def _trainer(model, words, round_no: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, flat, seen = _Ids(words.value), model.value.copy(), 0
-        squares = np.full(SIZE, 1e-4, dtype=np.float32)
+        flat, seen = model.value.copy(), 0
+        classes, squares = classes_of(flat), np.full(len(flat), 1e-4, dtype=np.float32)
+        ids_of = _Ids(words.value, classes)
         around, targets, held = [], [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 ids = np.fromiter(map(ids_of.__getitem__, tokens_of(text)), dtype=np.int64)
                 at = positions(len(ids), round_no)
                 for part in (at[i:i + BATCH] for i in range(0, len(at), BATCH)):
-                    around.append(contexts(ids, part))
+                    around.append(contexts(ids, part, classes * classes))
                     targets.append(ids[part])
                     held += len(part)
                     if held >= BATCH:
@@ -197,18 +255,26 @@ def _trainer(model, words, round_no: int):
             step(flat, squares, np.concatenate(around), np.concatenate(targets))
             seen += held
         if seen:
+            blocks = [flat[i:i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(SIZE, dtype=np.int32)), pa.array(flat.astype(np.float64) * seen), pa.array(np.full(SIZE, seen, dtype=np.int64))],
-                names=["at", "weighted", "windows"])
+                [pa.array(range(len(blocks)), pa.int32()), pa.array([seen] * len(blocks), pa.int64()), pa.array(blocks, pa.binary())],
+                names=["block", "windows", "part"])
 
     return train
 
 
+def _mean_block(rows: pa.Table) -> pa.Table:
+    windows = rows["windows"].to_numpy()
+    mean = sum(n * np.frombuffer(part.as_py(), dtype=np.float32).astype(np.float64) for n, part in zip(windows, rows["part"], strict=True)) / windows.sum()
+    return pa.table({"block": rows["block"][:1], "part": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+
+
 class WindowModel:
-    """Vocabulary, weights and the words behind hashed ids, shared with the executors."""
+    """Vocabulary and weights, shared with the executors; the table of word
+    counts and their sums per hashed id."""
 
-    def __init__(self, words, weights, shared):
-        self.words, self.weights, self.shared = words, weights, shared
+    def __init__(self, words, weights, counts: DataFrame, held):
+        self.words, self.weights, self.counts, self.held = words, weights, counts, held
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> WindowModel:
@@ -218,50 +284,127 @@ def fit(docs: DataFrame, text_col: str = "text") -> WindowModel:
     sc = docs.sparkSession.sparkContext
     texts = narrow(docs, text=text_col)
     counts = cut(map_arrow(texts, _counter, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    frequent = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - OTHER).collect()
-    rare = {r["id"]: r for r in counts.groupBy((F.crc32(F.col("word").cast("binary")) % OTHER).cast("int").alias("id"))
-            .agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
-    held, distinct = np.zeros(VOCABULARY), np.zeros(OTHER)
-    for i, r in rare.items():
-        held[VOCABULARY - OTHER + i], distinct[i] = r["n"], r["words"]
+    tokens = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranked = [F.desc("n"), "word"]
+    frequent = counts.filter(F.col("n") >= math.sqrt(tokens) / SPREAD).orderBy(*ranked).collect()
+    if len(frequent) < VOCABULARY - OTHER:
+        frequent = counts.orderBy(*ranked).limit(VOCABULARY - OTHER).collect()
+    first = first_hashed(len(frequent))
+    classes = max(CLASSES, math.isqrt(first + OTHER - 1) + 1)
+    other = classes * classes - first
+    held = np.zeros(classes * classes)
+    for r in counts.groupBy((F.crc32(F.col("word").cast("binary")) % other).cast("int").alias("id")).agg(F.sum("n").alias("n")).collect():
+        held[first + r["id"]] = r["n"]
     for rank, r in enumerate(frequent):
         held[rank] = r["n"]
-        held[VOCABULARY - OTHER + zlib.crc32(r["word"].encode()) % OTHER] -= r["n"]
-        distinct[zlib.crc32(r["word"].encode()) % OTHER] -= 1
+        held[first + zlib.crc32(r["word"].encode()) % other] -= r["n"]
     words, weights = sc.broadcast([r["word"] for r in frequent]), initial(held)
     for round_no in range(ROUNDS):
-        trained = map_arrow(texts, _trainer(sc.broadcast(weights), words, round_no), "at int, weighted double, windows long")
-        mean = trained.groupBy("at").agg((F.sum("weighted") / F.sum("windows")).alias("mean")).toPandas()
-        weights[mean["at"].to_numpy()] = mean["mean"].to_numpy()
-    shared = np.zeros(VOCABULARY)
-    shared[VOCABULARY - OTHER:] = np.log(np.maximum(distinct, 1))
-    return WindowModel(words, sc.broadcast(weights), sc.broadcast(shared))
-
+        trained = map_arrow(texts, _trainer(sc.broadcast(weights), words, round_no), "block int, windows long, part binary")
+        weights = weights.copy()
+        for r in trained.groupBy("block").applyInArrow(_mean_block, "block int, part binary").collect():
+            part = np.frombuffer(r["part"], dtype=np.float32)
+            weights[r["block"] * BLOCK:r["block"] * BLOCK + len(part)] = part
+    return WindowModel(words, sc.broadcast(weights), counts, sc.broadcast(held))
+
+
+def _scorer(words, weights):
+    """Chunks of documents: one row with their scores, under a name that no word
+    has, and one row a distinct hashed word with the documents it stands in."""
+    def chunk_rows(chunk: int, ids: list, sizes: list, sums: list, rare: dict, places: list):
+        scores = pa.RecordBatch.from_arrays(
+            [pa.concat_arrays(ids), pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(sums))],
+            names=["doc_id", "n_tokens", "log_likelihood"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, scores.schema) as out:
+            out.write_batch(scores)
+        token, hashed, doc = (np.concatenate(x) for x in zip(*places, strict=True))
+        order = np.argsort(token, kind="stable")
+        starts = np.unique(token[order], return_index=True)[1]
+        docs = doc[order].astype(np.uint16)
+        offsets = np.append(starts, len(docs)).astype(np.int32) * 2
+        n = len(rare)
+        payload = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(docs.tobytes())])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([chunk], pa.int64()), pa.array([f" {chunk}"]), pa.array([-1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            names=["chunk", "word", "id", "payload"])
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, chunk, np.int64)), pa.array(list(rare), pa.string()), pa.array(hashed[order][starts].astype(np.int32)), payload],
+                names=["chunk", "word", "id", "payload"])
 
-def _scorer(words, weights, shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, p = _Ids(words.value), views(weights.value)
+        p = views(weights.value)
+        classes = len(p["class_bias"])
+        ids_of = _Ids(words.value, classes)
+        chunk = TaskContext.get().partitionId() << 32
+        ids, sizes, sums, rare, places, held = [], [], [], {}, [], 0
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                ids = [np.fromiter(map(ids_of.__getitem__, tokens_of(t)), dtype=np.int64) for t in part.column(1).to_pylist()]
-                sizes = np.array([len(x) for x in ids])
-                sums = np.zeros(len(ids))
-                if sizes.sum():
-                    targets = np.concatenate(ids)
-                    logs = log_probabilities(p, np.concatenate([contexts(x) for x in ids]), targets) - shared.value[targets]
-                    full = np.flatnonzero(sizes)
-                    sums[full] = np.add.reduceat(logs, np.concatenate([[0], np.cumsum(sizes[full])[:-1]]))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(sums)],
-                                                 names=["doc_id", "n_tokens", "log_likelihood"])
+                texts = [tokens_of(t) for t in part.column(1).to_pylist()]
+                found = [np.fromiter(map(ids_of.__getitem__, t), dtype=np.int64) for t in texts]
+                size, total = np.array([len(x) for x in found]), np.zeros(len(found))
+                targets = np.concatenate(found)
+                if len(targets):
+                    logs = log_probabilities(p, np.concatenate([contexts(x, beyond=classes * classes) for x in found]), targets)
+                    full = np.flatnonzero(size)
+                    total[full] = np.add.reduceat(logs, np.concatenate([[0], np.cumsum(size[full])[:-1]]))
+                at = np.flatnonzero(targets >= ids_of.first)
+                flat = [w for t in texts for w in t]
+                token = np.fromiter((rare.setdefault(flat[i], len(rare)) for i in at.tolist()), dtype=np.int64, count=len(at))
+                places.append((token, targets[at], np.repeat(np.arange(held, held + len(found)), size)[at]))
+                ids.append(part.column(0))
+                sizes.append(size)
+                sums.append(total)
+                held += len(found)
+                if held > CHUNK - 500 or len(rare) >= FLUSH:
+                    yield from chunk_rows(chunk, ids, sizes, sums, rare, places)
+                    chunk, ids, sizes, sums, rare, places, held = chunk + 1, [], [], [], {}, [], 0
+        if held:
+            yield from chunk_rows(chunk, ids, sizes, sums, rare, places)
 
     return score
 
 
+def _summer(held):
+    """Adds the hashed words' shares of their ids to the scores of their chunk;
+    rows come in the order of chunks, the chunk's scores first."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done():
+            sums = pa.array(scores.column(2).to_numpy() + extra)
+            return pa.RecordBatch.from_arrays([*scores.columns[:2], sums], names=scores.schema.names)
+
+        open_chunk, scores, extra = None, None, None
+        for batch in batches:
+            chunks = batch.column(0).to_numpy()
+            ids, n = batch.column(1).to_numpy(), batch.column(3).fill_null(1).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(chunks)) + 1, [len(chunks)]]) if len(chunks) else [0]
+            for start, end in zip(edges[:-1], edges[1:], strict=True):
+                if chunks[start] != open_chunk:
+                    if scores is not None:
+                        yield done()
+                    open_chunk = chunks[start]
+                    scores = pa.ipc.open_stream(batch.column(2)[start].as_py()).read_next_batch()
+                    extra, start = np.zeros(scores.num_rows), start + 1
+                if start < end:
+                    parts = batch.column(2).slice(start, end - start).to_pylist()
+                    share = np.log(n[start:end]) - np.log(np.maximum(held.value[ids[start:end]], 1))
+                    docs = np.frombuffer(b"".join(parts), dtype=np.uint16)
+                    extra += np.bincount(docs, np.repeat(share, [len(x) // 2 for x in parts]), len(extra))
+        if scores is not None:
+            yield done()
+
+    return add
+
+
 def pseudo_likelihood(docs: DataFrame, model: WindowModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_prob`` of every whole text."""
     rows = narrow(docs, doc_id=id_col, text=text_col)
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, log_likelihood double"
-    return map_arrow(rows, _scorer(model.words, model.weights, model.shared), schema).withColumn(
+    chunks = map_arrow(rows, _scorer(model.words, model.weights), "chunk long, word string, id int, payload binary")
+    counted = chunks.join(model.counts, "word", "left").select("chunk", "id", "payload", "n")
+    ordered = counted.repartition("chunk").sortWithinPartitions("chunk", "id")
+    return map_arrow(ordered, _summer(model.held), schema).withColumn(
         "mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 

@@ -162,6 +162,32 @@ def test_lm_scores_prefer_the_corpus_order(spark):
     assert by_id[1]["mean_log_prob"] < np.mean([found[i]["mean_log_prob"] for i in range(len(docs))])
 
 
+def test_lm_vocabulary_grows_and_counts_weigh_hashed_words(spark):
+    common, rare = [f"c{i}" for i in range(1500)], {f"r{i}": 1 + i % 4 for i in range(600)}
+    texts = [" ".join(common)] * 12 + [" ".join(w for w, n in rare.items() if n > k) for k in range(4)]
+    model = lm_scoring.fit(plain(spark, list(enumerate(texts))))  # own ids from sqrt(19,500) / 20, about 7 occurrences
+    assert set(model.words.value) == set(common)
+    classes = lm_scoring.classes_of(model.weights.value)
+    assert classes ** 2 >= 1500 + lm_scoring.OTHER
+    ids = lm_scoring._Ids(model.words.value, classes)
+    asked = [*rare, "never"]
+    rows = [(i, f"{w} {w}" if i % 2 else w) for i, w in enumerate(asked)] + [(len(asked), " ".join([*rare, *common[:50]])), (None, None)]
+    found = {r["doc_id"]: r for r in lm_scoring.pseudo_likelihood(plain(spark, rows).repartition(3), model).collect()}
+    held = {}
+    for w, n in rare.items():
+        held[ids[w]] = held.get(ids[w], 0) + n
+    assert len(held) < len(rare)  # some share an id
+
+    def expected(text):
+        t = np.array([ids[w] for w in text.split()])
+        logs = lm_scoring.log_probabilities(lm_scoring.views(model.weights.value), lm_scoring.contexts(t, beyond=classes ** 2), t)
+        return logs.sum() + sum(np.log(rare.get(w, 1) / max(held.get(ids[w], 1), 1)) for w in text.split() if w not in common)
+
+    assert len(found) == len(rows) and found[None]["log_likelihood"] == 0
+    for i, text in rows[:-1]:
+        assert found[i]["n_tokens"] == len(text.split()) and found[i]["log_likelihood"] == pytest.approx(expected(text), abs=1e-3)
+
+
 def test_lm_odd_rows(spark):
     assert lm_scoring.scored(messy(spark)).count() == len(TEXTS)
     assert lm_scoring.scored(messy(spark, [])).count() == 0
