@@ -17,9 +17,10 @@ remainder). Packing sees lengths only:
 The driver holds the counts and the plan, both bounded by ``capacity``; ids and
 texts stay on the executors.
 
-Text ids: the tokenizer file decides. Texts of Latin-1 characters run through
-tiktoken with the vocabulary and the pattern of that file, which gives the same
-ids several times faster; any other text goes through ``tokenizers`` itself.
+Text ids: the tokenizer file decides, by the library's defaults: an added token
+spelled out in a text has its own id. Texts of Latin-1 characters without one run
+through tiktoken with the vocabulary and the pattern of that file, which gives the
+same ids several times faster; any other text goes through ``tokenizers`` itself.
 
 Defined cases: a null text is the empty text (one separator); rows that repeat
 an id are packed each for itself; an empty table gives an empty result; input
@@ -60,21 +61,30 @@ class TextIds:
         import tiktoken
 
         self.file_text = file_text
-        symbols, special = _byte_of_symbol(), {t["content"] for t in json.loads(file_text)["added_tokens"]}
+        symbols, self.added = _byte_of_symbol(), {t["content"] for t in json.loads(file_text)["added_tokens"]}
         ranks = {bytes(symbols[c] for c in token): i
-                 for token, i in json.loads(file_text)["model"]["vocab"].items() if token not in special}
+                 for token, i in json.loads(file_text)["model"]["vocab"].items() if token not in self.added}
         self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     @functools.cached_property
-    def exact(self):
+    def library(self):
         """The library's own tokenizer, made when a text first needs it."""
         from tokenizers import Tokenizer
 
+        return Tokenizer.from_str(self.file_text)
+
+    @functools.cached_property
+    def exact(self):
+        """The same, reading added tokens as text like the fast path."""
+        from tokenizers import Tokenizer
+
         tokenizer = Tokenizer.from_str(self.file_text)
         tokenizer.encode_special_tokens = True
         return tokenizer
 
     def __call__(self, text: str) -> np.ndarray:
+        if any(token in text for token in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:

@@ -207,6 +207,18 @@ def test_packing_odd_rows(spark):
     assert packing.pack(messy(spark, []), TOKENIZER, PATTERN).count() == 0
 
 
+def test_added_tokens_have_the_library_ids(spark):
+    tok = Tokenizer.from_file(TOKENIZER)  # unmodified
+    ids_of = packing.TextIds(open(TOKENIZER, encoding="utf-8").read(), PATTERN)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "日本 <|endoftext|><|endoftext|>é", "a <|endoftext| > b", "plain é"]
+    expected = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [64, 220, 50256, 275]
+    assert [ids_of(t).tolist() for t in texts] == expected
+    rows = {r["doc_id"]: r for r in packing.pack(plain(spark, list(enumerate(texts))), TOKENIZER, PATTERN).collect()}
+    for i, ids in enumerate(expected):
+        assert (rows[i]["length"], rows[i]["ids_crc32"]) == (len(ids) + 1, zlib.crc32(np.array([*ids, 0], dtype="<u4").tobytes()))
+
+
 def test_plan_uses_every_piece():
     rng = np.random.default_rng(3)
     for capacity in (1, 7, 50, 2048):
