@@ -20,11 +20,14 @@ def held_out(id_col: str = "doc_id") -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id") -> DataFrame:
     """``docs`` columns and ``_label``, for at most ``rows`` labelled documents:
     the first in hash order, so that any table gives an even choice. Labels
-    other than 0 and 1 are passed over. The ids are at most ``rows`` integers,
-    so they are broadcast."""
+    other than 0 and 1 are passed over. Rows that repeat an id count as one
+    document, the largest row, and repeated labels as one. The ids are at most
+    ``rows`` integers, so they are broadcast."""
     chosen = (
         labels.filter(~held_out(id_col) & F.col(quoted(id_col)).isNotNull() & F.col(quoted(label)).isin(0, 1))
         .select(F.col(quoted(id_col)).alias("_labelled"), F.col(quoted(label)).cast("int").alias("_label"))
-        .orderBy(F.xxhash64("_labelled"), "_label").limit(rows)
+        .distinct().orderBy(F.xxhash64("_labelled"), "_label").limit(rows)
     )
-    return docs.join(F.broadcast(chosen), F.col(quoted(id_col)) == F.col("_labelled")).drop("_labelled")
+    found = docs.join(F.broadcast(chosen), F.col(quoted(id_col)) == F.col("_labelled"))
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns])
+    return found.groupBy("_labelled", "_label").agg(F.max(row).alias("_row")).select("_row.*", "_label")

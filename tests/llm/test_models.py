@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinroll.llm import lm_scoring, quality_fm, toxicity
-from kinroll.llm.labelled import held_out
+from kinroll.llm.labelled import held_out, training_sample
 from kinroll.llm.queries import QUERIES
 from kinroll.sources import read_table
 
@@ -101,6 +101,15 @@ def test_fold(spark):
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
 
 
+def test_training_sample_has_a_document_once(spark):
+    ids = [r["id"] for r in spark.range(40).withColumn("h", held_out("id")).filter("not h").collect()]
+    docs = plain(spark, [(i, f"text {i}") for i in ids] + [(ids[0], f"text {ids[0]}")] * 50 + [(ids[0], None)]).repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[1], ids[1] % 2)] * 50, "doc_id long, toxic int")
+    rows = training_sample(docs, labels, "toxic", 100).collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(str((i, f"text {i}", i % 2)) for i in ids)
+    assert training_sample(docs, labels, "toxic", 5).count() == 5
+
+
 # ---- language model ----
 
 def probabilities(p, around):
