@@ -11,7 +11,8 @@ new shard. The order is the same for the same rows and seed, however they were
 partitioned: a bucket is put in hash order before it is shuffled.
 
 Memory: one bucket per task (``bucket_bytes`` of text). The driver sees one row
-per shard; bucket offsets are broadcast only up to ``BROADCAST_BUCKETS`` rows.
+per shard; bucket offsets are broadcast only up to ``BROADCAST_BUCKETS`` rows, and
+beyond that the rows are put into slot order again after the join.
 
 Defined cases: a null text has no bytes (size 1) and crc 0; a null id is a key
 like any other; rows repeated in every column share a bucket; an empty table
@@ -113,10 +114,12 @@ def shuffled_shards(docs: DataFrame, shards: int = 8, seed: int = 0, id_col: str
     counts = scattered.groupBy("shard", "bucket").count()
     earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("ahead"))
-    if total <= BROADCAST_BUCKETS:
+    few = total <= BROADCAST_BUCKETS
+    if few:
         offsets = F.broadcast(offsets)
     kept = [F.col(c).alias(name) for c, name in zip(docs.columns, names, strict=True) if name.lower() not in ("shard", "bucket", "slot")]
-    return shuffled.join(offsets, "bucket").select(*kept, "shard", "bucket", (F.col("ahead") + F.col("place")).alias("slot"))
+    slots = shuffled.join(offsets, "bucket").select(*kept, "shard", "bucket", (F.col("ahead") + F.col("place")).alias("slot"))
+    return slots if few else slots.sortWithinPartitions("shard", "bucket", "slot")
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

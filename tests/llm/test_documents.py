@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -166,6 +167,27 @@ def test_written_shards(spark, tmp_path):
     assert spark.read.parquet(path).count() == 50
 
 
+def test_slot_order_without_broadcast(spark, tmp_path, monkeypatch):
+    docs = plain(spark, [(i, f"t{i}" * 20) for i in range(3000)]).repartition(5)
+    expected = as_set(sharding.shuffled_shards(docs, 3, bucket_bytes=4000), "doc_id", "bucket", "slot")
+    monkeypatch.setattr(sharding, "BROADCAST_BUCKETS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shards = sharding.shuffled_shards(docs, 3, bucket_bytes=4000)
+        last = shards._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+        assert last.startswith("Sort [shard#") and last.index("bucket#") < last.index("slot#") and last.rstrip().endswith("false")
+        parts = [[(r["shard"], r["bucket"], r["slot"]) for r in p] for p in shards.rdd.glom().collect()]
+        assert all(p == sorted(p) for p in parts) and sum(map(len, parts)) == 3000
+        assert as_set(shards, "doc_id", "bucket", "slot") == expected
+        sharding.write_shards(shards, str(tmp_path / "shards"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    files = list((tmp_path / "shards").rglob("*.parquet"))
+    for slots in (pq.read_table(f, partitioning=None)["slot"].to_pylist() for f in files):
+        assert slots == sorted(slots)
+
+
 # ---- packing ----
 
 def check_packing(rows, texts, capacity=2048):
