@@ -6,6 +6,8 @@ package has to be installed there (or shipped with ``--py-files``).
 
 from __future__ import annotations
 
+import string
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -56,6 +58,14 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(fn, plain).toDF(*schema.names)
 
 
+def ascii_lower(text: str | Column) -> Column:
+    """``text`` with A-Z lower-cased and nothing else changed. A text of ASCII
+    alone takes the engine's own ``lower``, which is the same there and quicker."""
+    text = F.col(quoted(text)) if isinstance(text, str) else text
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+
+
 def to_arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -89,3 +99,13 @@ def cut(df: DataFrame) -> DataFrame:
     from kinroll.session import cut_lineage
 
     return cut_lineage(df)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read
+    back: as ``cut``, for wide tables that are read more than once, by column."""
+    from kinroll.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

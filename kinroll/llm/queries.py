@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from kinroll.llm import (
     byte_bpe,
     chat_format,
+    decontaminate,
     exact_dedup,
     lm_scoring,
     near_dedup,
     packing,
+    periodic_runs,
     quality_fm,
     sharding,
+    source_divergence,
     topk_search,
     toxicity,
 )
@@ -76,6 +79,18 @@ def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read_table(spark, d, "documents"))
 
 
+def source_audit(spark: SparkSession, d: str) -> DataFrame:
+    return source_divergence.divergence(read_table(spark, d, "documents"))
+
+
+def contaminated_documents(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
+def word_runs(spark: SparkSession, d: str) -> DataFrame:
+    return periodic_runs.run_digests(read_table(spark, d, "documents"), rewrite=periodic_runs.echo_tail)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_severity,
     "op2_byte_bpe": bpe_round_trip,
@@ -87,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": nearest_vectors,
     "op9_chat_format": preference_pairs,
     "op10_exact_dedup": exact_duplicates,
+    "op11_source_divergence": source_audit,
+    "op12_decontaminate": contaminated_documents,
+    "op13_periodic_runs": word_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -142,4 +160,90 @@ WITH n AS (
     FROM n
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g""",
+    "op11_source_divergence": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), t AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+n AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+    SELECT lang, n.source, term, coalesce(c, 0) AS c, 1 + (1000000000 * (coalesce(c, 0) + 1)) // (n + v) AS p
+    FROM n JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+), l AS (
+    SELECT lang, term, 1 + (1000000000 * (sum(c) + 1)) // (any_value(total) + any_value(v)) AS q
+    FROM c JOIN v USING (lang) JOIN (SELECT lang, sum(c) AS total FROM c GROUP BY lang) USING (lang) GROUP BY lang, term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT) FROM p JOIN l USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 200""",
+    "op12_decontaminate": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), i AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), iw AS (
+    SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS win
+    FROM (SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)
+), dw AS (
+    SELECT r, s, m, array_to_string(w[s:s + m - 1], ' ') AS win
+    FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, (SELECT DISTINCT m FROM iw) WHERE len(w) >= m)
+), hits AS (SELECT r, s, m, item_id FROM dw JOIN iw USING (m, win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + m)) AS p FROM hits) GROUP BY r),
+items AS (
+    SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+    FROM hits GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    "op13_periodic_runs": r"""
+WITH t AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), h AS (
+    SELECT *, len(w) AS n, xor(4294967295, list_reduce(flatten([[4294967295]] || list_transform(
+               string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+               lambda c, x: CASE WHEN x < 0 THEN xor(c >> 1, 3988292384 * (c & 1)) ELSE xor(c, x) END)) AS h FROM t
+), e AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a, 3 + (h // 10) % 8 AS parts FROM h),
+d AS (
+    SELECT r, doc_id, n, CASE WHEN a < n
+        THEN list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // parts) + 1] END)
+        ELSE w END AS w
+    FROM e
+), words AS (SELECT r, n, unnest(range(0, n)) AS i, unnest(w) AS word FROM d),
+same AS (
+    SELECT x.r, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM same),
+stretches AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length),
+best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1
+), listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text FROM runs GROUP BY r
+), gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)""",
 }
