@@ -53,7 +53,7 @@ SEPARATORS = bytes([*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 SCALE_STEPS = (1000, 1000, 1000)  # 10^9, in steps whose products fit 64 bits
 MIN_DOCS = 3
 TOP_TERMS = 200
-ENTRIES = 250_000
+ENTRIES = 500_000
 CELLS = 500_000
 
 COUNTS = "lang string, source string, chunk string, n long, first long, last long"
