@@ -23,8 +23,8 @@ in one set of arrays (no suffix of one is ever compared with one of another):
 
 Only intervals of ``min_exponent`` suffixes or more are tested: a run's passage
 begins at least that often. Nothing is shuffled, a document is one row, and a
-task holds one Arrow batch (or one document, if longer), its arrays, and a rank
-per word and doubling round.
+task holds one Arrow batch, and the arrays of ``WORDS`` of its words (or of one
+document, if longer): a rank per word and doubling round, and some twenty numbers.
 
 Defined cases: a null text has no words, like an empty one; white space is
 [\\x20\\x09-\\x0D], whatever else there is belongs to words and is compared as it
@@ -50,6 +50,7 @@ from kinroll.llm.common import map_arrow, narrow, text_bytes, to_arrow
 MIN_LENGTH = 6
 MIN_EXPONENT = 4
 STRIDE = 4096
+WORDS = 400_000
 
 Rewrite = Callable[[list[bytes], object], list[bytes]]
 
@@ -226,11 +227,8 @@ def find_runs(codes: np.ndarray, bounds: np.ndarray, min_length: int = MIN_LENGT
     return start[kept][by], length[kept][by], period[kept][by]
 
 
-def _batch_runs(batch: pa.RecordBatch, rewrite: Rewrite | None, min_length: int, min_exponent: int):
-    """Per document its words and its runs ``[(start, length, period)]``."""
-    texts = [t.split() for t in batch.column(1).to_pylist()]
-    if rewrite is not None:
-        texts = [rewrite(words, i) for words, i in zip(texts, batch.column(0).to_pylist(), strict=True)]
+def _document_runs(texts: list[list[bytes]], min_length: int, min_exponent: int) -> list[list[tuple]]:
+    """Per document its runs ``[(start, length, period)]``."""
     bounds = np.cumsum([0, *map(len, texts)])
     runs: list[list[tuple]] = [[] for _ in texts]
     if bounds[-1]:
@@ -240,7 +238,22 @@ def _batch_runs(batch: pa.RecordBatch, rewrite: Rewrite | None, min_length: int,
         doc = np.searchsorted(bounds, start, side="right") - 1
         for d, *run in zip(doc.tolist(), (start - bounds[doc]).tolist(), length.tolist(), period.tolist(), strict=True):
             runs[d].append(tuple(run))
-    return texts, runs
+    return runs
+
+
+def _batch_runs(batch: pa.RecordBatch, rewrite: Rewrite | None, min_length: int, min_exponent: int):
+    """Per document its words and its runs, ``WORDS`` words or one document at a time."""
+    texts = [t.split() for t in batch.column(1).to_pylist()]
+    if rewrite is not None:
+        texts = [rewrite(words, i) for words, i in zip(texts, batch.column(0).to_pylist(), strict=True)]
+    runs: list[list[tuple]] = []
+    first = size = 0
+    for d, words in enumerate(texts):
+        if size and size + len(words) > WORDS:
+            runs += _document_runs(texts[first:d], min_length, min_exponent)
+            first, size = d, 0
+        size += len(words)
+    return texts, runs + _document_runs(texts[first:], min_length, min_exponent)
 
 
 def collapsed(words: list[bytes], runs: list[tuple]) -> list[bytes]:
