@@ -13,6 +13,8 @@ all rows would otherwise become a single unbounded value.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,3 +140,72 @@ def family_filter(
     key = docs_key if docs_key is not None else relation.parent_key
     key = F.col(key) if isinstance(key, str) else key
     return docs.join(keys, key.eqNullSafe(keys[FAMILY]), "left_semi")
+
+
+def family_counts(
+    members: DataFrame,
+    relation: Relation,
+    counts: Mapping[str, Column],
+    *,
+    size: str = "size",
+    key_name: str | None = None,
+    with_parents: bool | None = None,
+) -> DataFrame:
+    """``(family key, size, <name>…)``: a family's members, and how many of them
+    meet each named condition (a null condition is not met).
+
+    ``with_parents`` counts the parent rows as members too, under the same
+    conditions; by default where members and parents share a mixed table. One
+    aggregation by family, partial before its shuffle: a family that holds a
+    third of all rows ships one row per task.
+    """
+    if not counts:
+        raise ValueError("at least one named condition is needed")
+    if size in counts:
+        raise ValueError(f"condition name {size!r} is the name of the family's size")
+    if with_parents is None:
+        with_parents = relation.family_key is not None
+    relation.check_hits(members)
+    child = relation.child_key if relation.member_key is None else relation.member_key
+    marks = [F.coalesce(_check_predicate(members, c), F.lit(False)).cast("int").alias(f"__kr_c{i}")
+             for i, c in enumerate(counts.values())]
+    rows = members.select(child.alias(FAMILY), *marks)
+    if with_parents and relation.mapped:
+        rows = rows.unionByName(relation.parents.select(F.col(relation.parent_key).alias(FAMILY), *marks))
+    summed = [F.sum(f"__kr_c{i}").alias(n) for i, n in enumerate(counts)]
+    families = rows.filter(F.col(FAMILY).isNotNull()).groupBy(FAMILY).agg(F.count(F.lit(1)).alias(size), *summed)
+    return families.withColumnRenamed(FAMILY, key_name or relation.parent_key)
+
+
+def family_having(
+    docs: DataFrame,
+    relation: Relation,
+    members: DataFrame,
+    counts: Mapping[str, Column],
+    having: str,
+    *,
+    size: str = "size",
+    docs_key: str | Column | None = None,
+    with_parents: bool | None = None,
+) -> DataFrame:
+    """Keep the rows of ``docs`` whose family, as a whole, meets ``having``.
+
+    ``counts`` names conditions on single members; ``having`` is a boolean SQL
+    expression over how many members meet each, and the family's ``size``:
+    ``"closed = size AND size >= 3"`` (all, and at least three), ``"late = 0"``
+    (none), ``"a > 0 AND b > 0"`` (some member of each kind). A row whose family
+    has no member, or that has no family key, is judged with all counts 0. The
+    families are aggregated first and left-joined (null-safely, so that AQE may
+    split a large family among ``docs``).
+    """
+    families = family_counts(members, relation, counts, size=size, key_name=FAMILY, with_parents=with_parents)
+    names = [size, *counts]
+    private = families.select(FAMILY, *[F.col(n).alias(f"__kr_n{i}") for i, n in enumerate(names)])
+    key = docs_key if docs_key is not None else relation.parent_key
+    key = F.col(key) if isinstance(key, str) else key
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__kr_row")
+    held = docs.select(row, key.alias("__kr_docs_key"))
+    joined = held.join(private, held["__kr_docs_key"].eqNullSafe(private[FAMILY]), "left").select(
+        "__kr_row", *[F.coalesce(f"__kr_n{i}", F.lit(0)).alias(n) for i, n in enumerate(names)])
+    kept = joined.filter(_check_predicate(joined, F.expr(having)))
+    return kept.select("__kr_row.*")

@@ -41,6 +41,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,6 +200,65 @@ def _is_one_call(text: str) -> bool:
     return depth == 0
 
 
+def _arguments(text: str) -> list[str]:
+    """The comma-separated arguments of a call; brackets and quoted text are kept whole."""
+    depth, parts = 0, [""]
+    for piece in re.findall(r"'(?:[^'\\]|\\.)*'|\"[^\"]*\"|`[^`]*`|[()\[\],]|[^'\"`()\[\],]+|.", text, re.DOTALL):
+        depth += {"(": 1, "[": 1, ")": -1, "]": -1}.get(piece, 0)
+        if piece == "," and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += piece
+    return [p.strip() for p in parts]
+
+
+def _filtered(relation: Relation, name: str, spec) -> bool:
+    """Whether a sub-aggregation is one aggregate call, which takes a ``FILTER``;
+    else it is an expression over aggregate calls. The parser decides, on the
+    parent rows; what is neither is refused."""
+    if not isinstance(spec, str):
+        _as_sql(name, spec)
+        return True
+    if _is_one_call(spec):
+        try:
+            relation.parents.agg(F.expr(f"{spec} FILTER (WHERE true)"))
+            return True
+        except AnalysisException:
+            pass
+    try:
+        relation.parents.agg(F.expr(spec))
+        return False
+    except AnalysisException as e:
+        raise ValueError(f"sub-aggregation {name!r} must be a single aggregate call or an expression over such calls, "
+                         f"got {spec!r}") from e
+
+
+def _aggregate(rows: DataFrame, priv: Sequence[str], relation: Relation, aggs: Mapping, count_name: str,
+               child_count: str | None, metadata: dict | None) -> DataFrame:
+    """Count, child count and sub-aggregations per bucket of marked parent rows
+    and unmarked bucket rows. Expressions over several calls cannot be filtered:
+    for them the rows are grouped by the mark too, and the marked group's values
+    taken per bucket (null where it has none)."""
+    counts = [F.count(MARK).alias(count_name)]
+    if child_count:
+        counts.append(F.expr(f"sum({CHILDREN}) FILTER (WHERE {BUCKET_ROW})").alias(child_count))
+    free = [n for n, spec in aggs.items() if not _filtered(relation, n, spec)]
+    if not free:
+        out = rows.groupBy(*priv).agg(*counts, *[_sub_agg(n, s) for n, s in aggs.items()])
+    else:
+        if not priv:  # the only bucket is there without rows too
+            mark = rows.sparkSession.range(1).select(F.lit(None).cast("boolean").alias(MARK))
+            rows = rows.unionByName(mark, allowMissingColumns=True)
+        values = [F.expr(s).alias(n) if n in free else _sub_agg(n, s) for n, s in aggs.items()]
+        halves = rows.groupBy(*priv, MARK).agg(*counts, *values)
+        of = lambda n: F.first(F.when(F.col(MARK), F.struct(f"`{n}`")), ignorenulls=True)
+        empty = lambda n: F.first(F.when(F.col(MARK).isNull(), F.struct(f"`{n}`")), ignorenulls=True)
+        one = [(of(n) if n in free else F.coalesce(of(n), empty(n)))[n].alias(n) for n in aggs]
+        summed = [F.sum(f"`{c}`").alias(c) for c in (count_name, *([child_count] if child_count else []))]
+        out = halves.groupBy(*priv).agg(*summed, *one)
+    return out.withMetadata(count_name, metadata) if metadata else out
+
+
 def _as_sql(name: str, spec) -> str:
     """The aggregate call as SQL text. ``FILTER`` binds to the last call of a
     text, so an expression over several calls is refused: give each call its
@@ -253,8 +313,11 @@ def parent_rollup(
       these split over parent keys, so the parent rows are aggregated per
       key first (a group of copies of one parent id collapses map-side) and
       joined once, the cheapest skew-safe plan;
-    * any Spark SQL aggregate call as a string, e.g. ``"count(DISTINCT x)"``,
-      ``"percentile_approx(x, 0.5)"``; evaluated over the joined parent rows.
+    * any Spark SQL aggregate as a string, e.g. ``"count(DISTINCT x)"``,
+      ``"percentile_cont(0.5) WITHIN GROUP (ORDER BY x)"``, or an expression over
+      aggregates, ``"round(sum(x) / count(*), 1)"``; evaluated over the joined
+      parent rows. An expression is null for a bucket without parents, like any
+      empty sub-result; single calls keep their own empty value (counts 0).
 
     Finish a result (cast, ratio, filter on ``doc_count``) with ordinary
     DataFrame code on the output.
@@ -270,7 +333,7 @@ def parent_rollup(
     if len(set(names)) != len(names) or set(names) & set(by):
         raise ValueError(f"output names repeat or clash with bucket columns: {names}")
     for n, spec in aggs.items():
-        _as_sql(n, spec)
+        _filtered(relation, n, spec)
     priv = _private(by)
     pairs = bucket_pairs(
         hits, relation, by, keep_empty=keep_empty or bool(child_count), dedup=dedup,
@@ -279,9 +342,6 @@ def parent_rollup(
     if _splittable(aggs):
         out = _rollup_per_key(pairs, relation, priv, aggs, keep_empty, count_name, child_count, metadata, dedup == "map_side")
         return _restore_by(out, by).select(*_named(*by, count_name, *([child_count] if child_count else []), *aggs))
-    count_col = F.count(MARK)
-    count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
-    agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
     parents = _parent_side(relation, marker=True)
     if dedup != "map_side":
         rows = _co_located_rows(pairs, parents, keep_empty, bool(child_count))
@@ -293,9 +353,7 @@ def parent_rollup(
             # pair's hit count. Same pairs plan as the join side: one scan.
             buckets = pairs.withColumn(BUCKET_ROW, F.lit(True)).drop(KEY)
             rows = rows.unionByName(buckets, allowMissingColumns=True)
-    if child_count:
-        agg_cols.insert(1, F.expr(f"sum({CHILDREN}) FILTER (WHERE {BUCKET_ROW})").alias(child_count))
-    out = rows.groupBy(*priv).agg(*agg_cols)
+    out = _aggregate(rows, priv, relation, aggs, count_name, child_count, metadata)
     if not keep_empty:
         out = out.filter(F.col(count_name) > 0)
     return _restore_by(out, by).select(*_named(*by, count_name, *([child_count] if child_count else []), *aggs))
@@ -309,7 +367,8 @@ def _per_key_parents(relation: Relation, aggs: Mapping) -> DataFrame:
     if relation.unique_parents:
         one = [F.lit(1).cast("long").alias("__kr_n")]
         for i, (fn, expr) in enumerate(aggs.values()):
-            counted = F.lit(1) if expr.strip() == "*" else F.expr(f"if(isnull({expr}), 0, 1)")
+            held = "true" if expr.strip() == "*" else " AND ".join(f"({a}) IS NOT NULL" for a in _arguments(expr))
+            counted = F.expr(f"if({held}, 1, 0)")
             one.append((counted.cast("long") if fn == "count" else F.expr(expr)).alias(f"__kr_p_{i}"))
         return relation.parents.filter(F.col(relation.parent_key).isNotNull()).select(
             F.col(relation.parent_key).alias(PKEY), *one)
@@ -437,16 +496,16 @@ def chain_rollup(
         rows = pairs.join(per_key, pairs[KEY].eqNullSafe(per_key[PKEY]), "inner").drop(KEY, PKEY)
         agg_cols = _per_key_outputs(last, aggs, count_name, metadata)
     else:
-        rows = _join_parents(pairs, _parent_side(last, marker=True))
-        count_col = F.count(MARK)
-        count_col = count_col.alias(count_name, metadata=metadata) if metadata else count_col.alias(count_name)
-        agg_cols = [count_col, *[_sub_agg(n, s) for n, s in aggs.items()]]
+        rows, agg_cols = _join_parents(pairs, _parent_side(last, marker=True)), None
     if buckets_too:
         rows = rows.unionByName(first.withColumn(BUCKET_ROW, F.lit(True)).drop(KEY),
                                 allowMissingColumns=True)
-    if child_count:
-        agg_cols.insert(1, F.expr(f"sum({CHILDREN}) FILTER (WHERE {BUCKET_ROW})").alias(child_count))
-    out = rows.groupBy(*priv).agg(*agg_cols)
+    if agg_cols is None:
+        out = _aggregate(rows, priv, last, aggs, count_name, child_count, metadata)
+    else:
+        if child_count:
+            agg_cols.insert(1, F.expr(f"sum({CHILDREN}) FILTER (WHERE {BUCKET_ROW})").alias(child_count))
+        out = rows.groupBy(*priv).agg(*agg_cols)
     if not keep_empty:
         out = out.filter(F.col(count_name) > 0)
     return _restore_by(out, by).select(*_named(*by, count_name, *([child_count] if child_count else []), *aggs))
@@ -472,6 +531,11 @@ def _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, c
                       *_named(count_name, *([child_count] if child_count else []), *aggs))
 
 
+# Aggregates of partial values that give the value of the whole.
+COMBINING = ("sum", "min", "max", "bool_and", "bool_or", "bit_and", "bit_or", "bit_xor", "hll_union_agg", "bitmap_or_agg",
+             "theta_union_agg", "kll_merge_agg_bigint", "kll_merge_agg_double", "kll_merge_agg_float")
+
+
 def merge_rollups(
     parts: Iterable[DataFrame],
     by: Sequence[str] | str = (),
@@ -485,7 +549,9 @@ def merge_rollups(
     routed together, see ``kinroll.sources.family_shards``); otherwise a
     parent present in two parts is counted twice. ``merge`` maps each
     sub-aggregation column to the SQL aggregate that combines partial values
-    (``sum`` for sums and counts, ``min``, ``max``). The metadata of the
+    (``sum`` for sums and counts, ``min``, ``max``, the bitwise and boolean ones,
+    unions of sketches). Averages, percentiles and distinct counts do not combine
+    and are refused: merge their states (``partial_rollup``). The metadata of the
     parts' count column (the last part's value of a key) goes on the merged
     one; without any row, ``by=()`` gives a count of 0.
     """
@@ -494,6 +560,9 @@ def merge_rollups(
         raise ValueError("nothing to merge")
     by = [by] if isinstance(by, str) else list(by)
     merge = dict(merge or {})
+    for column, fn in merge.items():
+        if fn.lower() not in COMBINING:
+            raise ValueError(f"{fn!r} does not combine partial results of {column!r}; merge states instead (partial_rollup)")
     union = reduce(lambda a, b: a.unionByName(b), parts)
     metadata: dict = {}
     for part in parts:

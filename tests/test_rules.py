@@ -14,13 +14,50 @@ def tables(spark):
     return hits, Relation.from_tables(parents, child_key="k", parent_key="pid")
 
 
-@pytest.mark.parametrize("text", ["count(*) + count(v)", "sum(v) / count(v)", "sum(v) OVER ()", "v", "sum(v), max(v)", "(sum(v))", "sum(v) + 1"])
-def test_only_single_calls(tables, text):
+@pytest.mark.parametrize("text", ["sum(v) OVER ()", "v", "sum(v), max(v)", "upper(v)", "sum(w)", "sum(v"])
+def test_only_aggregates(tables, text):
     hits, rel = tables
     with pytest.raises(ValueError, match="single aggregate call"):
         parent_rollup(hits, rel, "b", {"x": text})
 
 
+@pytest.mark.parametrize("dedup", ["map_side", "co_locate"])
+@pytest.mark.parametrize("text,a,d", [
+    ("count(*) + count(v)", 5, 2), ("sum(v) / count(v)", 6.0, 1.0), ("(sum(v))", 12, 1), ("sum(v) + 1", 13, 2), ("round(avg(v), 1)", 6.0, 1.0),
+    ("percentile_cont(0.5) WITHIN GROUP (ORDER BY v)", 6.0, 1.0), ("listagg(v, ',') WITHIN GROUP (ORDER BY v)", "5,7", "1"),
+    ("concat(count(v), ') FILTER (')", "2) FILTER (", "1) FILTER ("),
+])
+def test_expressions_over_aggregates(tables, dedup, text, a, d):
+    """Over the parents alone, null without any; the other columns stay as they are."""
+    hits, rel = tables
+    for run in (parent_rollup, lambda h, r, *args, **kw: chain_rollup(h, [r], *args, **kw)):
+        got = run(hits, rel, "b", {"x": text, "n": "count(v)", "u": "max(v)"}, child_count="kids", dedup=dedup)
+        assert got.columns == ["b", "doc_count", "kids", "x", "n", "u"]
+        assert {r["b"]: tuple(r)[1:] for r in got.collect()} == {
+            "a": (3, 3, a, 2, 7), "b": (0, 1, None, 0, None), "c": (0, 1, None, 0, None), "d": (1, 1, d, 1, 1)}
+    kept = parent_rollup(hits, rel, "b", {"x": text}, keep_empty=False, dedup=dedup)
+    assert {(r["b"], r["x"]) for r in kept.collect()} == {("a", a), ("d", d)}
+    one = parent_rollup(hits.limit(0), rel, (), {"x": text}, metadata={"k": 1})
+    assert [tuple(r) for r in one.collect()] == [(0, None)] and one.schema["doc_count"].metadata == {"k": 1}
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_count_of_several_arguments(spark, unique):
+    parents = spark.createDataFrame([(1, 5, "x,("), (2, None, "y"), (4, 1, None)], "pid long, v long, g string")
+    hits = spark.createDataFrame([("a", 1), ("a", 2), ("a", 4)], "b string, k long")
+    rel = Relation.from_tables(parents, child_key="k", parent_key="pid", unique_parents=unique)
+    aggs = {"both": ("count", "v, g"), "odd": ("count", "nullif(g, 'x,('), coalesce(v, 1)"), "all": ("count", "*")}
+    assert [tuple(r) for r in parent_rollup(hits, rel, "b", aggs).collect()] == [("a", 3, 1, 1, 3)]
+
+
+def test_merge_refuses_what_does_not_combine(spark):
+    part = spark.createDataFrame([("a", 3, 15.0)], "b string, doc_count long, mean double")
+    for fn in ("avg", "percentile", "count", "approx_count_distinct"):
+        with pytest.raises(ValueError, match="partial_rollup"):
+            merge_rollups([part, part], "b", {"mean": fn})
+    assert [tuple(r) for r in merge_rollups([part, part], "b", {"mean": "max"}).collect()] == [("a", 6, 15.0)]
+
+
 @pytest.mark.parametrize("text", ["count(*)", "sum(v * (1 + v))", "max(concat(')', v))", "count(DISTINCT v)", " percentile_approx(v, 0.5) "])
 def test_single_calls_pass(tables, text):
     hits, rel = tables
