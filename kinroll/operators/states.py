@@ -8,7 +8,7 @@ states of any number of parts, and ``finish_states`` turns them into values:
 | function | state | merged by |
 | --- | --- | --- |
 | ``count``, ``sum``, ``min``, ``max`` | the value | ``sum``, ``sum``, ``min``, ``max`` |
-| ``avg`` | sum and count | sums |
+| ``avg`` (a double) | sum and count | sums |
 | ``var_pop``, ``var_samp``, ``stddev_pop``, ``stddev_samp`` | count, mean, squared deviations | the parts' deviations and those of their means |
 | ``approx_count_distinct`` | HyperLogLog sketch, 2^14 registers (error 0.8 %) | union of sketches |
 | ``percentile`` (with its fraction) | KLL sketch, k = 800 (rank error 0.4 %) | union of sketches |
@@ -144,7 +144,7 @@ def finish_states(states: DataFrame) -> DataFrame:
         if kind in VALUES:
             value = at("value")
         elif kind == "avg":
-            value = at("total") / F.nullif(at("n"), F.lit(0))
+            value = at("total").cast("double") / F.nullif(at("n"), F.lit(0))
         elif kind in MOMENTS:
             value = at("m2") / F.nullif(at("n") - (1 if kind.endswith("samp") else 0), F.lit(0))
             value = F.sqrt(value) if kind.startswith("stddev") else value

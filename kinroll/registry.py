@@ -11,23 +11,35 @@ sides, so the two engines agree to the last bit.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinroll.functions import term_buckets
+from kinroll.functions import declared, filter_buckets, range_filters, term_buckets
 from kinroll.operators import (
+    bucket_levels,
+    bucket_tree,
+    chain_levels,
     chain_rollup,
     family_filter,
+    family_having,
     family_values,
     filter_rows,
+    finish_states,
     lift_to_parents,
+    merge_bitmaps,
     merge_rollups,
+    merge_states,
+    parent_bitmaps,
     parent_rollup,
+    partial_rollup,
+    running,
 )
 from kinroll.plans import Relation
-from kinroll.sources import family_route, family_shards, join_field_rows, mixed_table, read_table
+from kinroll.session import ensure_checkpoint_dir
+from kinroll.sources import family_route, family_shards, join_field_rows, mixed_table, read_table, write_co_located
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -400,6 +412,110 @@ def family_values_parent(spark, d):
     return family_values(_t(spark, d, "lineitem"), _orders(spark, d), "l_linestatus", parent_value="o_orderstatus")
 
 
+def rollup_merge_states(spark, d):
+    """An average, a distinct count and a median of three shards, merged from
+    their states; the sketches' results are held against the exact ones."""
+    hits = _t(spark, d, "lineitem").filter(F.col("l_quantity") > 25)
+    rel = _orders(spark, d)
+    aggs = {"mean_price": ("avg", "CAST(o_totalprice AS DECIMAL(18,2))"), "lowest": ("min", "o_totalprice"),
+            "customers": ("approx_count_distinct", "o_custkey"), "median": ("percentile", "o_totalprice", 0.5)}
+    parts = [partial_rollup(part, rel, "l_returnflag", aggs) for part in family_shards(hits, "l_orderkey", 3)]
+    merged = finish_states(merge_states(parts, "l_returnflag"))
+    exact = parent_rollup(hits, rel, "l_returnflag", {
+        "n": "count(DISTINCT o_custkey)", "low": "percentile(o_totalprice, 0.48)", "high": "percentile(o_totalprice, 0.52)"})
+    return merged.join(exact.drop("doc_count"), "l_returnflag").select(
+        "l_returnflag", "doc_count", "mean_price", "lowest", (F.abs(F.col("customers") - F.col("n")) <= 0.03 * F.col("n")).alias("customers_near"),
+        F.col("median").between(F.col("low"), F.col("high")).alias("median_near"))
+
+
+def rollup_merge_overlap(spark, d):
+    """Two runs over lines that overlap, merged to the exact number of orders."""
+    lines, rel = _t(spark, d, "lineitem"), _orders(spark, d)
+    runs = [parent_bitmaps(lines.filter(c), rel, "l_returnflag") for c in (F.col("l_quantity") > 20, F.col("l_quantity") < 30)]
+    return merge_bitmaps(runs, "l_returnflag", repeated="n_repeated")
+
+
+def rollup_chain_levels(spark, d):
+    """lineitem → orders → customer → nation: counts and sub-results of every
+    level, per return flag, from one pass over the lines."""
+    customers = Relation.from_tables(_t(spark, d, "customer"), child_key="o_custkey", parent_key="c_custkey", unique_parents=True)
+    nations = Relation.from_tables(_t(spark, d, "nation"), child_key="c_nationkey", parent_key="n_nationkey", unique_parents=True)
+    r = chain_levels(_t(spark, d, "lineitem").filter(F.col("l_quantity") > 45), [
+        ("n_orders", _orders(spark, d, unique=True), {"total": _dsum("o_totalprice"), "open": ("count", "CASE WHEN o_orderstatus = 'O' THEN 1 END")}),
+        ("n_customers", customers, {"lowest": ("min", "c_acctbal"), "balance": _dsum("c_acctbal")}),
+        ("n_nations", nations, {"first_nation": ("min", "n_name")}),
+    ], "l_returnflag", child_count="n_lines")
+    return _as_double(r, "total", "balance")
+
+
+def rollup_bucket_levels(spark, d):
+    """Orders per return flag, per order status below it, and per priority below
+    that, with distinct customers at each depth, from one lift."""
+    hits = _t(spark, d, "lineitem").filter(F.col("l_quantity") > 25)
+    return bucket_levels(hits, _orders(spark, d), "l_returnflag", ["o_orderstatus", "o_orderpriority"],
+                         {"n_customers": "count(DISTINCT o_custkey)", "highest": "max(o_totalprice)"})
+
+
+def rollup_bucket_tree(spark, d):
+    """The nested result: parts with the statuses of their orders (as text)."""
+    tree = bucket_tree(_t(spark, d, "lineitem"), _orders(spark, d), "l_partkey", "o_orderstatus", {"highest": "max(o_custkey)"})
+    entry = lambda b: F.concat_ws(":", b["o_orderstatus"], b["doc_count"], b["highest"])
+    return tree.select("l_partkey", "doc_count", "highest", F.array_join(F.transform("buckets", entry), ",").alias("statuses"))
+
+
+def rollup_declared_ranges(spark, d):
+    """Orders per declared range of their lines' quantity: ranges that overlap,
+    and one that no line is in."""
+    ranges = {"small": (None, 10), "middle": (5, 30), "large": (25, None), "huge": (1000, None)}
+    hits = filter_buckets(_t(spark, d, "lineitem"), range_filters("l_quantity", ranges), "size")
+    r = parent_rollup(hits, _orders(spark, d), "size", {"total": _dsum("o_totalprice")}, child_count="n_lines")
+    return _as_double(declared(r, list(ranges), "size", zero=("doc_count", "n_lines")), "total")
+
+
+def rollup_expressions(spark, d):
+    """Sub-aggregations that are expressions over aggregates, or ordered-set ones."""
+    return parent_rollup(_t(spark, d, "lineitem").filter(F.col("l_quantity") > 25), _orders(spark, d), "l_returnflag", {
+        "spread": "max(o_custkey) - min(o_custkey)", "n_open": "count(CASE WHEN o_orderstatus = 'O' THEN 1 END)",
+        "middle": "percentile_cont(0.5) WITHIN GROUP (ORDER BY o_custkey)",
+        "open_share": "count(CASE WHEN o_orderstatus = 'O' THEN 1 END) / count(*)"})
+
+
+def rollup_running(spark, d):
+    """Orders per part, their running total by part and the step from the part before."""
+    r = parent_rollup(_t(spark, d, "lineitem"), _orders(spark, d), "l_partkey")
+    return running(r, "l_partkey", {"so_far": "doc_count"}, {"step": "doc_count"})
+
+
+def family_having_closed(spark, d):
+    """Orders whose lines are all closed, three of them at least."""
+    orders = _t(spark, d, "orders")
+    kept = family_having(orders, _orders(spark, d, orders), _t(spark, d, "lineitem"),
+                         {"closed": F.col("l_linestatus") == "F"}, "closed = size AND size >= 3")
+    return kept.select("o_orderkey", "o_orderstatus")
+
+
+def family_having_siblings(spark, d):
+    """Families of customers, orders and events with a purchase but no finished
+    order, over one mixed table: their documents, per role."""
+    docs = _customer_docs(spark, d)
+    rel = Relation.from_join_field(docs, child_role="order", relations=CUSTOMER_CHILDREN)
+    counts = {"bought": F.col("event_type") == "purchase", "finished": F.col("o_orderstatus") == "F"}
+    kept = family_having(docs, rel, docs, counts, "bought > 0 AND finished = 0", docs_key=rel.family_key)
+    return kept.groupBy(rel.family_key.alias("family"), F.col("join_field.name").alias("role")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def rollup_stored(spark, d):
+    """Lines and orders stored bucketed by the order key, then rolled up without
+    an exchange before the join."""
+    at, run = ensure_checkpoint_dir(spark), uuid.uuid4().hex
+    hits = _t(spark, d, "lineitem").filter(F.col("l_quantity") > 25).select("l_orderkey", "l_returnflag")
+    for df, name, key in ((hits, "lines", "l_orderkey"), (_t(spark, d, "orders").select("o_orderkey", "o_totalprice"), "orders", "o_orderkey")):
+        write_co_located(df, f"kr_{name}_{run}", key, 8, path=f"{at}/{name}-{run}")
+    rel = Relation.from_tables(spark.table(f"kr_orders_{run}"), child_key="l_orderkey", parent_key="o_orderkey")
+    r = parent_rollup(spark.table(f"kr_lines_{run}"), rel, "l_returnflag", {"sp": _dsum("o_totalprice")}, dedup="prepartitioned")
+    return _as_double(r, "sp")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_sum": rollup_sum,
     "rollup_missing_parent": rollup_missing_parent,
@@ -437,6 +553,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "family_values_siblings": family_values_siblings,
     "family_filter_siblings": family_filter_siblings,
     "family_values_parent": family_values_parent,
+    "rollup_merge_states": rollup_merge_states,
+    "rollup_merge_overlap": rollup_merge_overlap,
+    "rollup_chain_levels": rollup_chain_levels,
+    "rollup_bucket_levels": rollup_bucket_levels,
+    "rollup_bucket_tree": rollup_bucket_tree,
+    "rollup_declared_ranges": rollup_declared_ranges,
+    "rollup_expressions": rollup_expressions,
+    "rollup_running": rollup_running,
+    "family_having_closed": family_having_closed,
+    "family_having_siblings": family_having_siblings,
+    "rollup_stored": rollup_stored,
 }
 
 
@@ -693,4 +820,83 @@ FROM (SELECT o_orderkey, o_orderstatus AS l_linestatus FROM orders
 WHERE l_linestatus IS NOT NULL GROUP BY o_orderkey, l_linestatus
 """
 
+_BIG_PAIRS = "SELECT DISTINCT l_returnflag, l_orderkey FROM lineitem WHERE l_quantity > 25"
+
+ORACLE_SQL["rollup_merge_states"] = f"""
+SELECT l_returnflag, count(*) AS doc_count, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price,
+       min(o_totalprice) AS lowest, TRUE AS customers_near, TRUE AS median_near
+FROM ({_BIG_PAIRS}) h JOIN orders ON l_orderkey = o_orderkey GROUP BY l_returnflag
+"""
+
+ORACLE_SQL["rollup_merge_overlap"] = """
+WITH h AS (SELECT l_returnflag, o_orderkey, bool_or(l_quantity > 20) AS a, bool_or(l_quantity < 30) AS b
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)
+SELECT l_returnflag, count(*) FILTER (a OR b) AS doc_count, count(*) FILTER (a AND b) AS n_repeated FROM h GROUP BY l_returnflag
+"""
+
+ORACLE_SQL["rollup_chain_levels"] = """
+WITH h AS (SELECT * FROM lineitem WHERE l_quantity > 45),
+l1 AS (SELECT * FROM (SELECT DISTINCT l_returnflag, l_orderkey FROM h) JOIN orders ON l_orderkey = o_orderkey),
+l2 AS (SELECT * FROM (SELECT DISTINCT l_returnflag, o_custkey FROM l1) JOIN customer ON o_custkey = c_custkey),
+l3 AS (SELECT * FROM (SELECT DISTINCT l_returnflag, c_nationkey FROM l2) JOIN nation ON c_nationkey = n_nationkey)
+SELECT * FROM (SELECT l_returnflag, count(*) AS n_lines FROM h GROUP BY 1)
+JOIN (SELECT l_returnflag, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+             count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS open FROM l1 GROUP BY 1) USING (l_returnflag)
+JOIN (SELECT l_returnflag, count(*) AS n_customers, min(c_acctbal) AS lowest,
+             CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM l2 GROUP BY 1) USING (l_returnflag)
+JOIN (SELECT l_returnflag, count(*) AS n_nations, min(n_name) AS first_nation FROM l3 GROUP BY 1) USING (l_returnflag)
+"""
+
+ORACLE_SQL["rollup_bucket_levels"] = f"""
+SELECT CAST(2 - grouping(o_orderstatus) - grouping(o_orderpriority) AS INTEGER) AS level, l_returnflag, o_orderstatus, o_orderpriority,
+       count(*) AS doc_count, count(DISTINCT o_custkey) AS n_customers, max(o_totalprice) AS highest
+FROM ({_BIG_PAIRS}) h JOIN orders ON l_orderkey = o_orderkey
+GROUP BY GROUPING SETS ((l_returnflag), (l_returnflag, o_orderstatus), (l_returnflag, o_orderstatus, o_orderpriority))
+"""
+
+ORACLE_SQL["rollup_bucket_tree"] = """
+WITH h AS (SELECT * FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) JOIN orders ON l_orderkey = o_orderkey),
+b AS (SELECT l_partkey, o_orderstatus, count(*) AS n, max(o_custkey) AS highest FROM h GROUP BY 1, 2)
+SELECT l_partkey, CAST(sum(n) AS BIGINT) AS doc_count, max(highest) AS highest,
+       string_agg(o_orderstatus || ':' || n || ':' || highest, ',' ORDER BY o_orderstatus) AS statuses
+FROM b GROUP BY l_partkey
+"""
+
+ORACLE_SQL["rollup_declared_ranges"] = """
+WITH r(size, low, high) AS (VALUES ('small', -1e9, 10), ('middle', 5, 30), ('large', 25, 1e9), ('huge', 1000, 1e9)),
+h AS (SELECT size, l_orderkey, count(*) AS n FROM lineitem JOIN r ON l_quantity >= low AND l_quantity < high GROUP BY ALL)
+SELECT r.size, count(o_orderkey) AS doc_count, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_lines,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM r LEFT JOIN h ON r.size = h.size LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY r.size
+"""
+
+ORACLE_SQL["rollup_expressions"] = f"""
+SELECT l_returnflag, count(*) AS doc_count, max(o_custkey) - min(o_custkey) AS spread,
+       count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS n_open, quantile_cont(CAST(o_custkey AS DOUBLE), 0.5) AS middle,
+       CAST(count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS DOUBLE) / count(*) AS open_share
+FROM ({_BIG_PAIRS}) h JOIN orders ON l_orderkey = o_orderkey GROUP BY l_returnflag
+"""
+
+ORACLE_SQL["rollup_running"] = """
+WITH r AS (SELECT l_partkey, count(*) AS doc_count FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem)
+           JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey)
+SELECT *, CAST(sum(doc_count) OVER (ORDER BY l_partkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS so_far,
+       doc_count - lag(doc_count) OVER (ORDER BY l_partkey) AS step FROM r
+"""
+
+ORACLE_SQL["family_having_closed"] = """
+SELECT o_orderkey, o_orderstatus FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+GROUP BY ALL HAVING count(*) >= 3 AND bool_and(l_linestatus = 'F')
+"""
+
+ORACLE_SQL["family_having_siblings"] = f"""
+WITH {_CUSTOMER_DOCS}
+SELECT family, role, count(*) AS n FROM docs
+WHERE family IN (SELECT user_id FROM events WHERE event_type = 'purchase')
+  AND family NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL)
+GROUP BY family, role
+"""
+
+ORACLE_SQL["rollup_stored"] = _ROLLUP_SUM
+
 FLAGSHIP = "rollup_sum"
