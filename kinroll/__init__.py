@@ -13,10 +13,12 @@ from kinroll.operators import (
     family_values,
     filter_rows,
     finish_states,
+    heavy_keys,
     lift_to_parents,
     merge_bitmaps,
     merge_rollups,
     merge_states,
+    only_live,
     parent_bitmaps,
     parent_rollup,
     partial_rollup,
@@ -28,7 +30,7 @@ from kinroll.session import cut_lineage, ensure_checkpoint_dir, get_session
 __all__ = [
     "Relation", "bucket_counts", "bucket_levels", "bucket_pairs", "bucket_tree", "chain_levels", "chain_rollup",
     "cut_lineage", "declared", "ensure_checkpoint_dir", "family_counts", "family_filter", "family_having",
-    "family_values", "filter_buckets", "filter_rows", "finish_states", "get_session", "lift_to_parents",
-    "merge_bitmaps", "merge_rollups", "merge_states", "parent_bitmaps", "parent_rollup", "partial_rollup",
+    "family_values", "filter_buckets", "filter_rows", "finish_states", "get_session", "heavy_keys", "lift_to_parents",
+    "merge_bitmaps", "merge_rollups", "merge_states", "only_live", "parent_bitmaps", "parent_rollup", "partial_rollup",
     "range_filters", "running", "side_by_side", "term_buckets", "terms",
 ]

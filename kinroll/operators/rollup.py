@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -105,6 +106,8 @@ def bucket_pairs(
 
 
 def _dedup(pairs: DataFrame, priv: Sequence[str], dedup: str, with_child_count: bool = False) -> DataFrame:
+    if dedup == "split":
+        raise ValueError('dedup="split" is a plan of parent_rollup')
     if dedup == "co_locate":
         pairs = pairs.repartition(F.col(KEY))
     if with_child_count:
@@ -290,6 +293,59 @@ def _splittable(aggs: Mapping) -> bool:
 
 AggSpec = str | tuple[str, str]
 
+SAMPLE_SHARE = 0.02
+LIVE_KEYS = 1_000_000
+
+
+def heavy_keys(hits: DataFrame, relation: Relation, share: float | None = None, sample: float = SAMPLE_SHARE) -> list:
+    """Parent keys (None for hits without one) that hold more than ``share`` of
+    the hits, by a sample: a choice of plan, so an estimate will do. By default
+    the share of one shuffle partition. At most ``1 / share`` keys are collected,
+    from one pass over the key column."""
+    relation.check_hits(hits)
+    if share is None:
+        share = 1 / max(2, int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if not 0 < share < 1 or not 0 < sample <= 1:
+        raise ValueError("share must be between 0 and 1, sample above 0 and at most 1")
+    keys = hits.select(relation.child_key.alias(KEY))
+    counts = (keys.sample(sample, seed=17) if sample < 1 else keys).groupBy(KEY).count()
+    n = counts.agg(F.sum("count").alias("n")).first()["n"] or 0
+    return [r[KEY] for r in counts.filter(F.col("count") > max(1, share * n)).collect()]
+
+
+def only_live(hits: DataFrame, relation: Relation, max_keys: int = LIVE_KEYS) -> DataFrame:
+    """The hits whose parent is among the relation's parents, as far as these
+    can be told in the scan: where the (restricted) parents have ``max_keys`` keys
+    at most, which is counted first, they go to every task and the hits are
+    reduced before any shuffle; otherwise all hits stay, and the join decides as
+    it would have. For results without empty buckets (``lift_to_parents``,
+    ``parent_rollup(keep_empty=False)``), which it does not change."""
+    relation.check_hits(hits)
+    keys = relation.parents.select(F.col(relation.parent_key).alias(PKEY)).filter(F.col(PKEY).isNotNull()).distinct()
+    if keys.limit(max_keys + 1).count() > max_keys:
+        return hits
+    held = hits.withColumn(KEY, relation.child_key)
+    return held.join(F.broadcast(keys), held[KEY] == keys[PKEY], "left_semi").drop(KEY)
+
+
+def _split_rollup(hits, relation, by, aggs, heavy, count_name, child_count, keep_empty, metadata) -> DataFrame:
+    """Roll-ups of the light and the heavy keys' hits, disjoint by parent, merged."""
+    values = [k for k in heavy if k is not None]
+    key = relation.child_key
+    is_heavy = F.coalesce(key.isin(values), F.lit(False)) if values else F.lit(False)
+    if None in heavy:
+        is_heavy = is_heavy | key.isNull()
+    few = replace(relation, parents=relation.parents.filter(F.col(relation.parent_key).isin(values)))
+    parts = [parent_rollup(part, rel, by, aggs, dedup=dedup, count_name=count_name, child_count=child_count)
+             for part, rel, dedup in ((hits.filter(~is_heavy), relation, "co_locate"), (hits.filter(is_heavy), few, "map_side"))]
+    merge = {n: SPLITTABLE[fn] for n, (fn, _) in aggs.items()} | ({child_count: "sum"} if child_count else {})
+    types = dict((f.name, f.dataType) for f in parts[0].schema)
+    merged = merge_rollups(parts, by, merge, count_name=count_name)
+    merged = merged.withColumns({n: (F.coalesce(n, F.lit(0)) if aggs.get(n, ("",))[0] == "count" else F.col(f"`{n}`")).cast(types[n]) for n in merge})
+    out = merged.select(*_named(*by, count_name, *([child_count] if child_count else []), *aggs))
+    out = out if keep_empty else out.filter(F.col(count_name) > 0)
+    return out.withMetadata(count_name, metadata) if metadata else out
+
 
 def parent_rollup(
     hits: DataFrame,
@@ -299,6 +355,7 @@ def parent_rollup(
     *,
     keep_empty: bool = True,
     dedup: str = "map_side",
+    heavy: Sequence | None = None,
     count_name: str = "doc_count",
     child_count: str | None = None,
     metadata: dict | None = None,
@@ -326,6 +383,10 @@ def parent_rollup(
     buckets that have no parent, the only bucket of ``by=()`` included. ``child_count`` adds the number of hits per
     bucket (the enclosing bucket's own count, children or not) from the same
     pass over the hits. ``metadata`` is attached to the ``doc_count`` column.
+
+    ``dedup="split"`` takes the co-located plan for evenly spread keys and the
+    map-side plan for ``heavy`` ones (``heavy_keys`` by default, one pass over a
+    sample's keys; give them if they are known).
     """
     by = _check_by(hits, by)
     aggs = dict(aggs or {})
@@ -334,6 +395,13 @@ def parent_rollup(
         raise ValueError(f"output names repeat or clash with bucket columns: {names}")
     for n, spec in aggs.items():
         _filtered(relation, n, spec)
+    if dedup == "split":
+        if not _splittable(aggs):
+            raise ValueError('dedup="split" takes sub-aggregations as pairs (function, expression)')
+        heavy = heavy_keys(hits, relation) if heavy is None else list(heavy)
+        if heavy:
+            return _split_rollup(hits, relation, by, aggs, heavy, count_name, child_count, keep_empty, metadata)
+        dedup = "co_locate"
     priv = _private(by)
     pairs = bucket_pairs(
         hits, relation, by, keep_empty=keep_empty or bool(child_count), dedup=dedup,

@@ -21,7 +21,10 @@ from pyspark.sql import DataFrame
 #   (tables written with ``sources.write_co_located``, bucketed alike); no
 #   exchange is added before the join, Spark inserts one only if the input
 #   turns out not to be partitioned that way.
-DEDUP_STRATEGIES = ("map_side", "co_locate", "prepartitioned")
+# split: hits of heavy parent keys (few, found in a sample or given) take the
+#   map_side plan, all others the co_locate plan; the two results, disjoint by
+#   parent, are merged per bucket.
+DEDUP_STRATEGIES = ("map_side", "co_locate", "prepartitioned", "split")
 
 
 def check_dedup(dedup: str) -> str:

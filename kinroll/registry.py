@@ -32,6 +32,7 @@ from kinroll.operators import (
     merge_bitmaps,
     merge_rollups,
     merge_states,
+    only_live,
     parent_bitmaps,
     parent_rollup,
     partial_rollup,
@@ -516,6 +517,22 @@ def rollup_stored(spark, d):
     return _as_double(r, "sp")
 
 
+def rollup_split(spark, d):
+    """Customers per event type: hits of heavy customers deduplicated map-side,
+    all others co-located (the heaviest one given, so that both plans run)."""
+    events = _t(spark, d, "events")
+    r = parent_rollup(events, _customers(spark, d, "user_id"), "event_type", {"sa": _dsum("c_acctbal")},
+                      child_count="n_events", dedup="split", heavy=[1, 7, None])
+    return _as_double(r, "sa")
+
+
+def rollup_live_reduced(spark, d):
+    """Few live parents: the hits are reduced to theirs before any shuffle."""
+    live = _orders(spark, d, _t(spark, d, "orders").filter((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 200_000)))
+    hits = only_live(_t(spark, d, "lineitem"), live)
+    return _as_double(parent_rollup(hits, live, "l_partkey", {"sp": _dsum("o_totalprice")}, keep_empty=False), "sp")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_sum": rollup_sum,
     "rollup_missing_parent": rollup_missing_parent,
@@ -564,6 +581,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "family_having_closed": family_having_closed,
     "family_having_siblings": family_having_siblings,
     "rollup_stored": rollup_stored,
+    "rollup_split": rollup_split,
+    "rollup_live_reduced": rollup_live_reduced,
 }
 
 
@@ -899,4 +918,17 @@ GROUP BY family, role
 
 ORACLE_SQL["rollup_stored"] = _ROLLUP_SUM
 
+ORACLE_SQL["rollup_split"] = """
+WITH h AS (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL)
+SELECT event_type, count(c_custkey) AS doc_count, CAST(sum(n) AS BIGINT) AS n_events,
+       CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS sa
+FROM h LEFT JOIN customer ON user_id = c_custkey GROUP BY event_type
+"""
+
+ORACLE_SQL["rollup_live_reduced"] = """
+SELECT l_partkey, count(*) AS doc_count, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sp
+FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) h
+JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P' AND o_totalprice > 200000 GROUP BY l_partkey
+"""
+
 FLAGSHIP = "rollup_sum"

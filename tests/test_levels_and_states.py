@@ -18,8 +18,11 @@ from kinroll import (
     family_having,
     filter_buckets,
     finish_states,
+    heavy_keys,
+    lift_to_parents,
     merge_bitmaps,
     merge_states,
+    only_live,
     parent_bitmaps,
     parent_rollup,
     partial_rollup,
@@ -277,3 +280,49 @@ def test_stored_rollup_has_no_exchange_before_its_join(spark):
     plan = executed_plan(df)
     below = plan[plan.index("Join"):]
     assert "Exchange" not in below and "Exchange hashpartitioning" in plan
+
+
+# ---- plans for heavy keys and few parents ----
+
+@pytest.mark.parametrize("heavy", [[3], [None, 3, 77], [None], []])
+def test_split_plan_agrees(spark, heavy):
+    hits, parents, _ = tables(8)
+    rel = Relation.from_tables(spark.createDataFrame(parents, PARENTS), child_key="k", parent_key="pid")
+    h, aggs = spark.createDataFrame(hits, HITS), {"s": ("sum", "v"), "n": ("count", "v"), "hi": ("max", "g")}
+    for kw in ({}, {"keep_empty": False}, {"child_count": "kids", "metadata": {"k": 1}}):
+        plain = parent_rollup(h, rel, "b", aggs, **kw)
+        split = parent_rollup(h, rel, "b", aggs, dedup="split", heavy=heavy, **kw)
+        assert split.dtypes == plain.dtypes and split.schema["doc_count"].metadata == plain.schema["doc_count"].metadata
+        assert {tuple(r) for r in split.collect()} == {tuple(r) for r in plain.collect()}
+    assert [tuple(r) for r in parent_rollup(h.limit(0), rel, (), aggs, dedup="split", heavy=heavy).collect()] == [(0, None, 0, None)]
+    with pytest.raises(ValueError, match="pairs"):
+        parent_rollup(h, rel, "b", {"s": "sum(v)"}, dedup="split")
+    with pytest.raises(ValueError, match="parent_rollup"):
+        lift_to_parents(h, rel, "b", dedup="split")
+
+
+def test_heavy_keys_of_a_sample(spark):
+    kids = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), (F.col("id") % 5).alias("b"))
+    parents = spark.range(60_000).select(F.col("id").alias("pid"), F.lit(2).alias("v"))
+    rel = Relation.from_tables(parents, child_key="k", parent_key="pid")
+    assert sorted(heavy_keys(kids, rel), key=str) == [7, None]
+    assert heavy_keys(kids.filter("k <> 7"), rel) == []
+    split = parent_rollup(kids, rel, "b", {"s": ("sum", "v")}, dedup="split")
+    assert {tuple(r) for r in split.collect()} == {tuple(r) for r in parent_rollup(kids, rel, "b", {"s": ("sum", "v")}).collect()}
+    assert heavy_keys(kids.limit(0), rel) == []
+    with pytest.raises(ValueError):
+        heavy_keys(kids, rel, share=2)
+
+
+def test_only_live_reduces_before_the_shuffle(spark):
+    hits, parents, _ = tables(9)
+    rel = Relation.from_tables(spark.createDataFrame(parents[:4], PARENTS), child_key="k", parent_key="pid")
+    h = spark.createDataFrame(hits, HITS)
+    for most in (10, 2):  # beyond the bound all hits stay
+        kept = only_live(h, rel, max_keys=most)
+        assert kept.columns == h.columns and (kept.count() < len(hits)) == (most == 10)
+        got = parent_rollup(kept, rel, "b", {"s": ("sum", "v")}, keep_empty=False)
+        assert {tuple(r) for r in got.collect()} == {tuple(r) for r in parent_rollup(h, rel, "b", {"s": ("sum", "v")}, keep_empty=False).collect()}
+    plan = executed_plan(QUERIES["rollup_live_reduced"](spark, SF001))
+    at = next(i for i, x in enumerate(plan.splitlines()) if "LeftSemi" in x)
+    assert "BroadcastHashJoin" in plan.splitlines()[at] and "Exchange hash" not in "".join(plan.splitlines()[at + 1:at + 5])
