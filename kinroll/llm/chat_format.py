@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinroll.llm.common import narrow
 
@@ -91,18 +92,45 @@ def records(segments: DataFrame) -> DataFrame:
                           spans("chosen").alias("chosen_spans"), spans("rejected").alias("rejected_spans"))
 
 
-def stale_reply_pairs(conversations: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """Aligned preference pairs from single conversations: chosen is the
-    conversation up to its last assistant turn; rejected is the same with that
-    reply replaced by a stale one, the first assistant reply, or the opening turn
-    where the last reply is also the first. Conversations without an assistant
-    turn are both, whole, and so all prompt."""
+def derived_pairs(conversations: DataFrame, id_col: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """Chosen and rejected tables ``pair, turn, role, text`` from a table of
+    single conversations. Chosen is the whole conversation, turns after the last
+    reply included. What its rejected side is follows from the first hex digit of
+    the MD5 of its id:
+
+    * 0-5: the last reply is a stale one, the first reply's text (the opening
+      turn's, where the last reply is also the first);
+    * 6-8: the first reply repeats the opening turn, so the pair parts early;
+    * 9-b: it breaks off before the last reply;
+    * c-e: it goes on with a turn that repeats the last reply;
+    * f: there is no rejected side.
+
+    A conversation without replies is the same on both sides (but for f)."""
     turns = _turns(narrow(conversations, pair=id_col, turn="turn", role="role", text="text"))
     is_reply = F.col("said.role") == ASSISTANT
     said = F.struct("turn", F.col("said.text").alias("text"))
     ends = turns.groupBy("pair").agg(
-        F.max(F.when(is_reply, F.col("turn"))).alias("last"), F.min(F.when(is_reply, said)).alias("reply"), F.min(said).alias("opening"))
-    stale = F.when(F.col("reply.turn") < F.col("last"), F.col("reply.text")).otherwise(F.col("opening.text"))
-    replaced = F.when(F.col("turn") == F.col("last"), F.col("said").withField("text", stale)).otherwise(F.col("said"))
-    return turns.join(ends, "pair").filter("last is null or turn <= last").select(
-        "pair", "turn", F.col("said").alias("chosen"), replaced.alias("rejected"))
+        F.max(F.when(is_reply, said)).alias("last"), F.min(F.when(is_reply, said)).alias("reply"),
+        F.min(said).alias("opening"), F.max("turn").alias("end"))
+    digit = F.conv(F.substring(F.md5(F.col("pair").cast("string").cast("binary")), 1, 1), 16, 10).cast("int")
+    stale = F.when(F.col("reply.turn") < F.col("last.turn"), F.col("reply.text")).otherwise(F.col("opening.text"))
+    text = (
+        F.when((F.col("digit") < 6) & (F.col("turn") == F.col("last.turn")), stale)
+        .when(F.col("digit").between(6, 8) & (F.col("turn") == F.col("reply.turn")), F.col("opening.text"))
+        .otherwise(F.col("said.text"))
+    )
+    own = F.struct(F.col("turn"), F.col("said.role").alias("role"), text.alias("text"))
+    more = F.struct((F.col("end") + 1).cast(turns.schema["turn"].dataType).alias("turn"), F.lit(ASSISTANT).alias("role"),
+                    F.col("last.text").alias("text"))
+    none = F.lit(None).cast(T.StructType([turns.schema["turn"], T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
+    broken = F.col("digit").between(9, 11) & (F.col("turn") >= F.col("last.turn"))
+    goes_on = F.col("digit").between(12, 14) & (F.col("turn") == F.col("end")) & F.col("last").isNotNull()
+    rows = F.array(F.when(~F.coalesce(broken, F.lit(False)), own).otherwise(none), F.when(goes_on, more).otherwise(none))
+    rejected = turns.join(ends.withColumn("digit", digit).filter("digit < 15"), "pair").select(
+        "pair", F.explode(F.array_compact(rows)).alias("r")).select("pair", "r.turn", "r.role", "r.text")
+    return turns.select("pair", "turn", "said.role", "said.text"), rejected
+
+
+def derived_segments(conversations: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """The pairs of ``derived_pairs``, aligned and cut into segments."""
+    return preference_segments(aligned(*derived_pairs(conversations, id_col)))

@@ -40,5 +40,6 @@ def components(links: DataFrame) -> DataFrame:
         later = labels.select(F.col("a").alias("label"), F.col("label").alias("next"))
         found = found.join(later, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
     found = cut(found)
-    least = found.groupBy("label").agg(F.min("node").alias("component"))
+    # cut, so that the join's sides both come by a plain exchange: AQE may split a large component
+    least = cut(found.groupBy("label").agg(F.min("node").alias("component")))
     return found.join(least, "label").select("node", "component")

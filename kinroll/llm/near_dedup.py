@@ -261,5 +261,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each class (its smallest id). Documents
     without an id stay."""
-    dropped = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(quoted(id_col)).cast("long") == F.col("_dropped"), "left_anti")
+    columns = [f"_{i}" for i in range(len(docs.columns))]  # the table's own names clash with nothing then
+    plain = docs.toDF(*columns)
+    key, text = columns[docs.columns.index(id_col)], columns[docs.columns.index(text_col)]
+    dropped = near_duplicates(plain, key, text).filter("not kept").select(F.col("doc_id").alias("dropped")).distinct()
+    return plain.join(dropped, F.col(key).cast("long") == F.col("dropped"), "left_anti").toDF(*docs.columns)

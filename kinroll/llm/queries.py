@@ -71,8 +71,7 @@ def nearest_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def preference_pairs(spark: SparkSession, d: str) -> DataFrame:
-    pairs = chat_format.stale_reply_pairs(read_table(spark, d, "conversations"))
-    return chat_format.preference_segments(pairs).withColumnRenamed("pair", "conv_id")
+    return chat_format.derived_segments(read_table(spark, d, "conversations")).withColumnRenamed("pair", "conv_id")
 
 
 def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
@@ -128,18 +127,26 @@ WITH turns AS (
 ), t AS (SELECT conv_id, turn, s.role AS role, s.text AS text FROM turns),
 ends AS (
     SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last, min(turn) FILTER (role = 'assistant') AS first_reply,
-           arg_min(text, turn) FILTER (role = 'assistant') AS reply, arg_min(text, turn) AS opening
+           arg_min(text, turn) FILTER (role = 'assistant') AS reply, arg_max(text, turn) FILTER (role = 'assistant') AS last_reply,
+           arg_min(text, turn) AS opening, max(turn) AS final, strpos('0123456789abcdef', md5(CAST(conv_id AS VARCHAR))[1]) - 1 AS digit
     FROM t GROUP BY conv_id
-), pairs AS (
-    SELECT t.conv_id, turn, role, text,
-           CASE WHEN turn = last THEN CASE WHEN first_reply < last THEN reply ELSE opening END ELSE text END AS stale
-    FROM t JOIN ends USING (conv_id) WHERE last IS NULL OR turn <= last
+), rejected AS (
+    SELECT t.conv_id, turn, role, CASE
+        WHEN digit < 6 AND turn = last THEN CASE WHEN first_reply < last THEN reply ELSE opening END
+        WHEN digit BETWEEN 6 AND 8 AND turn = first_reply THEN opening ELSE text END AS text
+    FROM t JOIN ends USING (conv_id)
+    WHERE digit < 15 AND NOT (digit BETWEEN 9 AND 11 AND last IS NOT NULL AND turn >= last)
+    UNION ALL SELECT conv_id, final + 1, 'assistant', last_reply FROM ends WHERE digit BETWEEN 12 AND 14 AND last IS NOT NULL
+), both_sides AS (
+    SELECT conv_id, turn, t.role AS role, t.text AS text, r.role AS other_role, r.text AS other,
+           coalesce(t.role = r.role AND t.text = r.text, FALSE) AS same
+    FROM t FULL JOIN rejected r USING (conv_id, turn)
 ), split AS (
-    SELECT *, min(CASE WHEN text <> stale THEN turn END) OVER (PARTITION BY conv_id) AS first FROM pairs
+    SELECT *, min(CASE WHEN NOT same THEN turn END) OVER (PARTITION BY conv_id) AS first FROM both_sides
 ), sides AS (
     SELECT conv_id, 'prompt' AS side, turn, role, text FROM split WHERE first IS NULL OR turn < first
-    UNION ALL SELECT conv_id, 'chosen', turn, role, text FROM split WHERE turn >= first
-    UNION ALL SELECT conv_id, 'rejected', turn, role, stale FROM split WHERE turn >= first
+    UNION ALL SELECT conv_id, 'chosen', turn, role, text FROM split WHERE turn >= first AND role IS NOT NULL
+    UNION ALL SELECT conv_id, 'rejected', turn, other_role, other FROM split WHERE turn >= first AND other_role IS NOT NULL
 ), shown AS (
     SELECT *, side <> 'prompt' AND role = 'assistant' AS loss,
            '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS content

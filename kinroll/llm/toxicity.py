@@ -11,13 +11,17 @@ text gathers no weight.
 
 Grades: ``labels.toxic`` is 0 or 1, so clean documents are grade 0 and toxic ones
 are graded 1 to ``GRADES`` by terciles of their hits per square root of words.
+The grades above 0 thus rest on the features that are fitted, not on a judgement
+of their own: severity orders toxic documents by density of toxic features, and
+only "above 0" has labels to be held against.
 
 Fit on the driver with numpy, on at most ``SAMPLE`` labelled documents outside
 the held-out fold; every whole text is scored.
 
-Defined cases: null and empty texts have no features (the base rate); a null id
-is scored like any other; without labels of both kinds nothing is rejected
-(severity 0); rows that repeat are scored each; an empty table gives an empty
+Defined cases: null and empty texts have no features (the base rate) and are
+never rejected, whatever the labels; a null id is scored like any other; without
+labels of both kinds, or without a kept feature, nothing is rejected (severity 0,
+or the base rate); where all hits are equally dense there is one grade above 0; rows that repeat are scored each; an empty table gives an empty
 result; input columns named like a result column are replaced by it.
 """
 
@@ -42,7 +46,8 @@ GRADES = 3
 MIN_TOXIC = 4         # toxic sample documents that a kept feature occurs in,
 MIN_SHARE = 0.005     # and their share of the toxic ones
 MIN_RATIO = 20.0      # times commoner in toxic documents
-REJECT = 0.1          # a document is rejected from this probability of a grade above 0
+REJECT = 0.1          # a document is rejected from this probability of a grade above 0,
+LIFT = 3.0            # if its features make the odds that many times the base rate's
 RESULT = "severity double, grade int, p_toxic double"
 _WORD = re.compile(r"\w+")
 _MEMO = 150_000
@@ -185,22 +190,26 @@ def severity(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> Da
     return map_arrow(docs, _scorer(model, docs.columns.index(text_col)), extended(docs, RESULT))
 
 
-def rejected() -> Column:
+def rejected(model: OrdinalModel) -> Column:
     """Clean documents have no weighted feature and sit at the base rate, about
     the share of toxic documents without one; a single strong feature lifts the
-    probability over ``REJECT``."""
-    return F.col("p_toxic") >= REJECT
+    probability over ``REJECT``. Only features reject a document: where toxic
+    labels are common the base rate itself may be over ``REJECT``, and the odds
+    must then be ``LIFT`` times those of a text without features."""
+    base = float(model.above(np.zeros(1))[0, 0])
+    lifted = LIFT * base / (1 - base + LIFT * base)
+    return F.col("p_toxic") >= max(REJECT, lifted)
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     model = fit(docs, labels, id_col, text_col)
     return severity(docs.select(quoted(id_col), quoted(text_col)), model, text_col).select(
-        F.col(quoted(id_col)), held_out(id_col).alias("held_out"), "severity", "grade", "p_toxic", rejected().alias("toxic"))
+        F.col(quoted(id_col)), held_out(id_col).alias("held_out"), "severity", "grade", "p_toxic", rejected(model).alias("toxic"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are not rejected, with the columns of ``docs``."""
     columns = [f"_{i}" for i in range(len(docs.columns))]
-    kept = severity(docs.toDF(*columns), fit(docs, labels, id_col, text_col),
-                    f"_{docs.columns.index(text_col)}").filter(~rejected())
+    model = fit(docs, labels, id_col, text_col)
+    kept = severity(docs.toDF(*columns), model, f"_{docs.columns.index(text_col)}").filter(~rejected(model))
     return kept.select(*[F.col(c).alias(name) for c, name in zip(columns, docs.columns, strict=True)])

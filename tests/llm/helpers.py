@@ -25,7 +25,8 @@ TEXTS = [
 
 # Columns that results or their intermediate steps also use.
 CLASH = ("score", "shard", "slot", "bucket", "place", "ids", "decoded", "keep_id", "group_size", "text_sha256", "_key", "_n",
-         "component_id", "kept", "severity", "grade", "label", "n", "piece", "length", "_label", "odd.name")
+         "component_id", "kept", "severity", "grade", "label", "n", "piece", "length", "_label", "odd.name",
+         "_dropped", "dropped", "_0", "_1", "words_key", "rep", "hub", "node", "p_toxic", "_kept", "_row", "_labelled", "hash", "place_")
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),

@@ -1,5 +1,8 @@
 """Toxicity, quality and language-model scores: held-out accuracy, identities."""
 
+import math
+import re
+import zlib
 from types import SimpleNamespace
 
 import numpy as np
@@ -52,6 +55,34 @@ def test_ordinal_thresholds_share_weights():
     assert means == sorted(means) and abs(means[3] - 3) < 0.5 and means[0] < 0.5
 
 
+@pytest.mark.parametrize("share", [0.02, 0.2, 0.5])
+def test_clean_documents_stay_at_any_share_of_toxic_labels(spark, share):
+    """And severity is what weights and thresholds say, written out."""
+    n = 600
+    toxic = [i < share * n for i in range(n)]
+    texts = [f"alpha beta w{i % 40} w{i % 7}" + (" slurrish grumble" if t else "") for i, t in enumerate(toxic)]
+    more = [(9000, None), (9001, ""), (9002, "alpha beta"), (9003, "Grumble, slurrish!"), (9004, "alpha " * 30_000)]
+    docs = spark.createDataFrame([*enumerate(texts), *more], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    kept = {r["doc_id"] for r in toxicity.without_toxic(docs, labels).collect()}
+    assert kept == {i for i in range(n) if not toxic[i]} | {9000, 9001, 9002, 9004}
+    model = toxicity.fit(docs, labels)
+    found = {r["doc_id"]: r for r in toxicity.scored(docs, labels).collect()}
+    for i, text in [*list(enumerate(texts))[::50], *more]:
+        words = set(re.findall(r"\w+", (text or "").lower()))
+        forms = {f for w in words for f in [w, *([f"4 {w[:4]}", f"5 {w[:5]}"] if len(w) > 4 else [])]}
+        score = sum(model.weights.get(h, 0.0) for h in {zlib.crc32(f.encode()) % toxicity.SPACE for f in forms})
+        above = [1 / (1 + math.exp(c - score)) for c in model.thresholds]
+        assert found[i]["severity"] == pytest.approx(sum(above)) and found[i]["p_toxic"] == pytest.approx(above[0])
+        assert found[i]["grade"] == sum(a >= 0.5 for a in above)
+
+
+def test_nothing_goes_without_a_feature(spark):
+    labels = spark.createDataFrame([(i, i % 3 > 0) for i in range(1, 18)], "doc_id long, t boolean").selectExpr("doc_id", "int(t) as toxic")
+    df = messy(spark)  # no feature is common among so few
+    assert toxicity.without_toxic(df, labels).count() == df.count()
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 18)] + [(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     df = messy(spark)

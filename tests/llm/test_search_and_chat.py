@@ -1,5 +1,6 @@
 """Top-k search, preference formatting, oracles and the pipeline."""
 
+import hashlib
 import math
 import os
 
@@ -7,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import corpus_pipeline
 from kinroll.llm import chat_format, topk_search
@@ -103,22 +105,65 @@ def test_longest_common_prefix(spark):
     assert chat_format.preference_segments(chat_format.aligned(make([]), make([]))).count() == 0
 
 
+def other_side(i, turns):
+    """The rejected side of a conversation, written out."""
+    digit, replies = int(hashlib.md5(str(i).encode()).hexdigest()[0], 16), [t for t in turns if t[1] == "assistant"]
+    if digit == 15:
+        return []
+    if not replies:
+        return turns
+    first, last = replies[0], replies[-1]
+    if digit < 6:
+        stale = first[2] if first[0] < last[0] else turns[0][2]
+        return [(*t[:2], stale) if t == last else t for t in turns]
+    if digit < 9:
+        return [(*t[:2], turns[0][2]) if t == first else t for t in turns]
+    if digit < 12:
+        return [t for t in turns if t[0] < last[0]]
+    return [*turns, (turns[-1][0] + 1, "assistant", last[2])]
+
+
+def check_records(talks, by_conv):
+    records = {r["pair"]: r for r in chat_format.records(chat_format.derived_segments(talks)).collect()}
+    assert set(records) == set(by_conv)
+    show = lambda turns: "".join(f"<|{role}|>\n{text}<|end|>\n" for _, role, text in turns)
+    shapes = set()
+    for i, turns in by_conv.items():
+        turns.sort()
+        other, r = other_side(i, turns), records[i]
+        common = 0
+        while common < min(len(turns), len(other)) and turns[common] == other[common]:
+            common += 1
+        if common < max(len(turns), len(other)):
+            assert (r["prompt"], r["chosen"], r["rejected"]) == (show(turns[:common]), show(turns[common:]), show(other[common:]))
+            shapes.add((common > 0, len(turns) - len(other), bool(other)))
+        else:
+            assert (r["prompt"], r["chosen"], r["rejected"]) == (show(turns), "", "")
+    return shapes
+
+
 def test_every_conversation_once(spark):
     talks = read_table(spark, SF01, "conversations")
     by_conv = {}
     for r in talks.collect():
         by_conv.setdefault(r["conv_id"], []).append((r["turn"], r["role"], r["text"]))
-    records = {r["pair"]: r for r in chat_format.records(chat_format.preference_segments(chat_format.stale_reply_pairs(talks))).collect()}
-    assert set(records) == set(by_conv)
-    show = lambda turns: "".join(f"<|{role}|>\n{text}<|end|>\n" for _, role, text in turns)
-    for i, turns in by_conv.items():
-        turns.sort()
-        replies = [t for t in turns if t[1] == "assistant"]
-        kept = [t for t in turns if not replies or t[0] <= replies[-1][0]]
-        assert records[i]["prompt"] + records[i]["chosen"] == show(kept)
-        if replies:
-            stale = replies[0][2] if len(replies) > 1 else turns[0][2]
-            assert records[i]["prompt"] + records[i]["rejected"] == show([*kept[:-1], (0, "assistant", stale)])
+    shapes = check_records(talks, by_conv)
+    assert {(True, 0, True), (True, -1, True)} <= shapes and any(n > 0 and other for _, n, other in shapes) and any(not o for *_, o in shapes)
+
+
+def test_odd_conversations(spark):
+    """Very long ones, gaps, no replies, a reply that opens, clashing columns."""
+    by_conv = {i: [(0, "user", f"q{i}"), (3, "assistant", "a"), (4, "user", "x " * (20_000 if i < 3 else 2)), (9, "assistant", "b"), (10, "user", "bye")]
+               for i in range(48)}
+    by_conv |= {i: [(1, "assistant", "only")] for i in range(48, 80)} | {i: [(0, "user", "u"), (1, "system", "s")] for i in range(80, 110)}
+    by_conv |= {200: [(k, ("user", "assistant")[k % 2], f"turn {k}") for k in range(3000)]}
+    names = ("side", "pair", "said", "chosen", "rejected", "first", "common", "digit", "last", "reply", "end", "loss", "content", "odd.name")
+    rows = [(i, k, role, text, *["z"] * len(names)) for i, turns in by_conv.items() for k, role, text in turns]
+    fields = [T.StructField("conv_id", T.LongType()), T.StructField("turn", T.IntegerType())]
+    schema = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in ("role", "text", *names)]])
+    repeated = spark.createDataFrame([*rows, *rows[:40], (None, 1, "user", "x", *["z"] * len(names)), (5, None, "user", "x", *["z"] * len(names))], schema)
+    check_records(repeated, by_conv)
+    assert chat_format.derived_segments(repeated.limit(0)).count() == 0
 
 
 # ---- pipeline ----
