@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -16,7 +17,7 @@ from kinroll.llm.queries import ORACLE_SQL, QUERIES
 from kinroll.sources import read_table
 from tests.conftest import SF01
 
-from .helpers import near_classes, normal
+from .helpers import TEXTS, messy, near_classes, normal
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -195,3 +196,23 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in pieces} == distinct.keys()
     assert {tuple(r)[:5] for r in corpus_pipeline.run(spark, SF01).collect()} == {tuple(r)[:5] for r in pieces}
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_odd_rows(spark, empty):
+    """Null texts, ids and labels, repeated and very long rows, clashing columns,
+    and no rows at all, through the five stages."""
+    docs = messy(spark, [] if empty else TEXTS)
+    columns, held = docs.columns, Counter(r["doc_id"] for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF01)
+        if name != "packing":
+            assert docs.columns == columns
+            docs = docs.checkpoint()
+            kept = Counter(r["doc_id"] for r in docs.collect())
+            assert kept <= held
+            if name == "toxicity":
+                assert kept == held  # none of them holds a toxic word
+            held = kept
+    pieces = docs.collect()
+    assert {r["doc_id"] for r in pieces} == set(held) and (bool(pieces) or empty)
