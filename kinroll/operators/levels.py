@@ -25,6 +25,7 @@ from kinroll.operators.rollup import (
     PKEY,
     SPLITTABLE,
     _as_sql,
+    _bucket,
     _check_by,
     _named,
     _private,
@@ -85,7 +86,7 @@ def chain_levels(hits: DataFrame, levels: Sequence[Level], by: Sequence[str] | s
     levels = _check_levels(levels, by, child_count)
     priv = _private(by)
     levels[0][1].check_hits(hits)
-    pairs = hits.select(*[F.col(b).alias(p) for b, p in zip(by, priv, strict=True)], levels[0][1].child_key.alias(KEY))
+    pairs = hits.select(*[_bucket(hits, b).alias(p) for b, p in zip(by, priv, strict=True)], levels[0][1].child_key.alias(KEY))
     pairs = pairs.groupBy(*priv, KEY).agg(F.count(F.lit(1)).alias(CHILDREN))
     sums = {CHILDREN: "sum"}
     for depth, (_, relation, aggs) in enumerate(levels):

@@ -43,7 +43,7 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinroll.plans.relation import Relation, _has_column
@@ -69,13 +69,26 @@ def _check_by(hits: DataFrame, by, allow_stream: bool = False) -> list[str]:
     for b in by:
         if not isinstance(b, str):
             raise TypeError("bucket columns must be given by name")
-        if not _has_column(hits, b):
+        if b not in hits.columns and not _has_column(hits, b):
             raise ValueError(f"bucket column {b!r} is not in the hits")
     if len(set(by)) != len(by):
         raise ValueError("bucket columns repeat")
     return by
 
 
+def _bucket(hits: DataFrame, name: str) -> Column:
+    """A bucket column: by its literal name (``a.b`` may be one), else by path."""
+    return F.col(f"`{name}`") if name in hits.columns else F.col(name)
+
+
+def _check_outputs(names: Sequence[str], by: Sequence[str]) -> None:
+    """Output names must differ from each other and from the buckets, in any
+    letter case: a result with ``b`` and ``B`` could not be read by name."""
+    taken = [n.lower() for n in (*by, *names)]
+    if len(set(taken)) != len(taken):
+        raise ValueError(f"output names repeat or clash with bucket columns: {list(names)}")
+
+
 def _private(by: Sequence[str]) -> list[str]:
     return [f"{_BY}{i}" for i in range(len(by))]
 
@@ -98,7 +111,7 @@ def bucket_pairs(
     check_dedup(dedup)
     relation.check_hits(hits)
     by = _check_by(hits, by)
-    cols = [F.col(b).alias(p) for b, p in zip(by, _private(by))]
+    cols = [_bucket(hits, b).alias(p) for b, p in zip(by, _private(by))]
     pairs = hits.select(*cols, relation.child_key.alias(KEY))
     if not keep_empty:
         pairs = pairs.filter(F.col(KEY).isNotNull())
@@ -391,8 +404,7 @@ def parent_rollup(
     by = _check_by(hits, by)
     aggs = dict(aggs or {})
     names = [count_name, *aggs, *([child_count] if child_count else [])]
-    if len(set(names)) != len(names) or set(names) & set(by):
-        raise ValueError(f"output names repeat or clash with bucket columns: {names}")
+    _check_outputs(names, by)
     for n, spec in aggs.items():
         _filtered(relation, n, spec)
     if dedup == "split":
@@ -542,8 +554,7 @@ def chain_rollup(
     by = _check_by(hits, by)
     aggs = dict(aggs or {})
     names = [count_name, *aggs, *([child_count] if child_count else [])]
-    if len(set(names)) != len(names) or set(names) & set(by):
-        raise ValueError(f"output names repeat or clash with bucket columns: {names}")
+    _check_outputs(names, by)
     if dedup != "map_side":
         return _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, child_count, metadata, checkpoint_every)
     priv = _private(by)
@@ -584,7 +595,7 @@ def _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, c
     keep bucket markers), then roll up over the last relation. The buckets
     travel under names no parent column has."""
     carried = [f"__kr_level_{i}" for i in range(len(by))]
-    level = hits.select("*", *[F.col(b).alias(c) for b, c in zip(by, carried)])
+    level = hits.select("*", *[_bucket(hits, b).alias(c) for b, c in zip(by, carried)])
     for i, rel in enumerate(relations[:-1], start=1):
         level = lift_to_parents(level, rel, carried, keep_empty=keep_empty, dedup=dedup)
         if checkpoint_every and i % checkpoint_every == 0:
@@ -592,7 +603,7 @@ def _chain_by_levels(hits, relations, by, aggs, keep_empty, dedup, count_name, c
     out = parent_rollup(level, relations[-1], carried, aggs, keep_empty=keep_empty, dedup=dedup,
                         count_name=count_name, metadata=metadata)
     if child_count:
-        own = hits.groupBy(*[F.col(b).alias(f"__kr_own_{i}") for i, b in enumerate(by)]).agg(F.count(F.lit(1)).alias(child_count))
+        own = hits.groupBy(*[_bucket(hits, b).alias(f"__kr_own_{i}") for i, b in enumerate(by)]).agg(F.count(F.lit(1)).alias(child_count))
         same = [F.col(c).eqNullSafe(F.col(f"__kr_own_{i}")) for i, c in enumerate(carried)]
         out = out.join(own, same) if same else out.crossJoin(own)  # one row each without buckets
     return out.select(*[F.col(c).alias(b) for b, c in zip(by, carried)],

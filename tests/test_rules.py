@@ -178,3 +178,20 @@ def test_distinct_pair_is_refused(spark):
     rel = Relation.from_tables(parents, child_key="k", parent_key="id")
     with pytest.raises(ValueError, match="DISTINCT"):
         parent_rollup(spark.createDataFrame([(1,)], "k int"), rel, (), {"n": ("count", "DISTINCT v")})
+
+
+@pytest.mark.parametrize("dedup", ["map_side", "co_locate"])
+def test_bucket_names_with_dots_and_cases(spark, dedup):
+    parents = spark.createDataFrame([(1, 5), (2, 6)], "pid long, v long")
+    hits = spark.createDataFrame([("a", 1, ("n",)), ("a", 2, ("m",)), ("b", 9, ("n",))], "`x.y` string, k long, s struct<y:string>")
+    rel = Relation.from_tables(parents, child_key="k", parent_key="pid")
+    for aggs in ({"t": ("sum", "v")}, {"t": "sum(v)"}, {"t": "sum(v) + 0"}):
+        got = parent_rollup(hits, rel, "x.y", aggs, child_count="kids", dedup=dedup)
+        assert got.columns == ["x.y", "doc_count", "kids", "t"]
+        assert {tuple(r) for r in got.collect()} == {("a", 2, 2, 11), ("b", 0, 1, None)}
+        assert {tuple(r) for r in chain_rollup(hits, [rel], "x.y", aggs, child_count="kids", dedup=dedup).collect()} == {
+            ("a", 2, 2, 11), ("b", 0, 1, None)}
+    assert {tuple(r) for r in parent_rollup(hits, rel, "s.y", dedup=dedup).collect()} == {("n", 1), ("m", 1)}
+    for aggs in ({"K": ("sum", "v"), "k": ("sum", "v")}, {"DOC_COUNT": ("sum", "v")}, {"X.y": ("sum", "v")}):
+        with pytest.raises(ValueError, match="clash"):
+            parent_rollup(hits, rel, "x.y", aggs, dedup=dedup)
