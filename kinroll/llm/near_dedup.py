@@ -17,9 +17,13 @@ single shingle of all its words). Documents are linked when
    group. Each member is compared with the hub: the union's sketch estimates the
    similarity, the full sets confirm it.
 4. Members that did not match their hub may still match each other. Their groups
-   are cut into blocks of bounded size and **all pairs of blocks** are compared
-   on full sets, as products of block matrices inside tasks; only the links of a
-   spanning forest come out. No pair is left out and none is emitted for itself.
+   are cut into blocks of bounded size, and **all pairs of blocks** pass a sieve
+   first, on sketches: a link implies ``need`` shared retained values (as above)
+   and sizes within the similarity. Only members that have such a partner go on,
+   with their full sets, into the pair of blocks where the partner is; there the
+   sets are compared exactly, as products of block matrices inside tasks, and the
+   links of a spanning forest come out. No pair is left out and none is emitted
+   for itself: a member that resembles nobody ships its sketch, never its set.
 
 Sets are compared by 64-bit shingle hashes (numpy, mixed from 64-bit word
 hashes).
@@ -152,14 +156,12 @@ def _linked(a: str, b: str) -> Column:
     return estimate & (both * 100 >= (F.size(a) + F.size(b) - both) * PERCENT)
 
 
-def block_links(reps: np.ndarray, sets: list[np.ndarray], side: np.ndarray, skip: np.ndarray) -> list[tuple[int, int]]:
-    """Links among one block (``side`` all 0) or across two blocks (0 and 1),
-    as a spanning forest. ``skip``: members known to be linked to each other.
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at ``left`` with those at ``right``.
 
-    Intersections are counted exactly: the shared hashes are the columns of a
-    0/1 matrix, multiplied a chunk of columns at a time."""
-    sizes = np.array([len(s) for s in sets])
-    rows = np.repeat(np.arange(len(sets)), sizes)
+    Counted exactly: the shared hashes are the columns of a 0/1 matrix,
+    multiplied a chunk of columns at a time."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     common = np.flatnonzero(counts > 1)
     place = np.full(len(values), -1)
@@ -168,15 +170,26 @@ def block_links(reps: np.ndarray, sets: list[np.ndarray], side: np.ndarray, skip
     rows, at = rows[at >= 0], at[at >= 0]
     order = np.argsort(at, kind="stable")
     rows, at = rows[order], at[order]
-    left = np.flatnonzero(side == 0)
-    right = np.flatnonzero(side == 1) if (side == 1).any() else left
     both = np.zeros((len(left), len(right)), dtype=np.float32)
     for first in range(0, len(common), COLUMNS):
         lo, hi = np.searchsorted(at, [first, first + COLUMNS])
         member = np.zeros((len(sets), min(COLUMNS, len(common) - first)), dtype=np.float32)
         member[rows[lo:hi], at[lo:hi] - first] = 1
         both += member[left] @ member[right].T
-    shared = both.astype(np.int64)
+    return both.astype(np.int64)
+
+
+def _sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    left = np.flatnonzero(side == 0)
+    return left, np.flatnonzero(side == 1) if (side == 1).any() else left
+
+
+def block_links(reps: np.ndarray, sets: list[np.ndarray], side: np.ndarray, skip: np.ndarray) -> list[tuple[int, int]]:
+    """Links among one block (``side`` all 0) or across two blocks (0 and 1),
+    as a spanning forest. ``skip``: members known to be linked to each other."""
+    sizes = np.array([len(s) for s in sets])
+    left, right = _sides(side)
+    shared = overlaps(sets, left, right)
     ok = shared * 100 >= (sizes[left][:, None] + sizes[right][None, :] - shared) * PERCENT
     ok &= ~(skip[left][:, None] & skip[right][None, :])
     parent = list(range(len(sets)))
@@ -202,24 +215,65 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _block_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among the members of groups that are not all linked to their hub.
-    A member goes once to every pair of blocks that its block is in; sets are
-    added after that, so a large group's rows never meet in one task."""
+def possible_pairs(sketches: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, skip: np.ndarray) -> np.ndarray:
+    """Places ``(i, j)`` of the members that may be linked: those that share the
+    retained values and have the sizes which a link implies."""
+    left, right = _sides(side)
+    need = np.where(sizes <= K * PERCENT // 100, -(-sizes * PERCENT // 100), NEED)  # as in _needed
+    one, other = sizes[left][:, None], sizes[right][None, :]
+    ok = overlaps(sketches, left, right) >= np.maximum(need[left][:, None], need[right][None, :])
+    ok &= np.minimum(one, other) * 100 >= np.maximum(one, other) * PERCENT
+    ok &= ~(skip[left][:, None] & skip[right][None, :])
+    i, j = np.nonzero(ok)
+    pairs = np.stack([left[i], right[j]], axis=1)
+    return pairs[pairs[:, 0] != pairs[:, 1]]
+
+
+def _sieve(group: pd.DataFrame) -> pd.DataFrame:
+    """The members with possible partners, once per pair of parts they share."""
+    pairs = possible_pairs(list(group["sketch"]), group["n"].to_numpy(), group["side"].to_numpy(),
+                           group["linked"].to_numpy(dtype=bool))
+    member, partner = np.concatenate([pairs, pairs[:, ::-1]]).T
+    part = group["part"].to_numpy()
+    rows = np.unique(np.stack([member, np.minimum(part[member], part[partner]), np.maximum(part[member], part[partner])], axis=1), axis=0)
+    member, lo, hi = rows.T
+    return pd.DataFrame({
+        "hub": group["hub"].to_numpy()[member], "rep": group["rep"].to_numpy()[member],
+        "linked": group["linked"].to_numpy(dtype=bool)[member], "lo": lo, "hi": hi, "side": (part[member] > lo).astype(np.int32)})
+
+
+def possible_members(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(hub, rep, linked, lo, hi, side)``: the members of groups that are not
+    all linked to their hub, for every pair of parts of the group in which they
+    have a possible partner. A block holds ``BLOCK_SHINGLES`` retained values, and
+    each of its parts about as many shingles. A member goes once to every pair of
+    blocks that its block is in; sketches are added after that, so a large
+    group's rows never meet in one task."""
+    known = sets.select("rep", F.size("hashes").cast("long").alias("n"))
     groups = (
-        members.join(sets.select("rep", F.size("hashes").alias("n")), "rep").groupBy("hub")
-        .agg(F.sum("n").alias("total"), F.count("*").alias("members"), F.bool_and("linked").alias("done"))
+        members.join(known, "rep").groupBy("hub")
+        .agg(F.sum("n").alias("total"), F.sum(F.least("n", F.lit(K))).alias("kept"), F.count("*").alias("members"),
+             F.bool_and("linked").alias("done"))
         .filter("members > 1 and not done")
-        .select("hub", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+        .select("hub", F.ceil(F.col("kept") / BLOCK_SHINGLES).alias("blocks"), F.ceil(F.col("total") / BLOCK_SHINGLES).alias("total"))
+        .select("hub", "blocks", F.ceil(F.col("total") / F.col("blocks")).alias("parts"))
     )
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     pairs = (
         members.join(groups, "hub").withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("hub", "rep", "linked", F.least("block", "other").alias("lo"),
+        .withColumn("part", F.col("block") * F.col("parts") + F.pmod(F.xxhash64(F.lit(1), "rep"), F.col("parts")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("hub", "rep", "linked", "part", F.least("block", "other").alias("lo"),
                 F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"))
-        .join(sets, "rep")
+        .join(sets.select("rep", F.size("hashes").cast("long").alias("n"), F.slice("hashes", 1, K).alias("sketch")), "rep")
     )
+    return pairs.groupBy("hub", "lo", "hi").applyInPandas(_sieve, "hub long, rep long, linked boolean, lo long, hi long, side int")
+
+
+def _block_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among the members of groups that are not all linked to their hub,
+    on the full sets of those with possible partners."""
+    pairs = possible_members(members, sets).join(sets, "rep")
     return pairs.groupBy("hub", "lo", "hi").applyInPandas(_compare, "a long, b long")
 
 

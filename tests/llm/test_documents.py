@@ -114,6 +114,29 @@ def test_near_family_without_a_common_hub(spark, monkeypatch, edits):
     assert found == near_classes(texts)
 
 
+@pytest.mark.parametrize("block", [500, 4000, 100_000])
+def test_near_sieve_lets_only_possible_partners_pass(spark, monkeypatch, block):
+    """Members that share a passage but resemble nobody ship no set; those that
+    may be linked do, with the right parts, and every link comes out."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", block)
+    rng = np.random.default_rng(3)
+    draw = lambda n: rng.integers(-2 ** 62, 2 ** 62, n)
+    passage = draw(60)
+    sets = {i: np.unique(np.concatenate([passage, draw(200)])) for i in range(1, 120)}
+    sets[200], sets[201] = np.append(sets[5], 2 ** 62), sets[7][:-3]  # near copies of 5 and 7
+    sets[300], sets[301] = np.arange(20), np.arange(16)  # smaller than a sketch
+    held = spark.createDataFrame([(i, s.tolist()) for i, s in sets.items()], "rep long, hashes array<long>")
+    members = spark.createDataFrame([(0, i, False) for i in sets], "hub long, rep long, linked boolean")
+    passed = near_dedup.possible_members(members, held).collect()
+    assert {r["rep"] for r in passed} == {5, 200, 7, 201, 300, 301}
+    pairs = defaultdict(set)
+    for r in passed:
+        pairs[r["lo"], r["hi"]].add((r["rep"], r["side"]))
+    assert len(passed) == len({(r["rep"], r["lo"], r["hi"]) for r in passed}) and all(len(p) > 1 for p in pairs.values())
+    links = {(min(r), max(r)) for r in near_dedup._block_pairs(members, held).collect()}
+    assert links == {(5, 200), (7, 201), (300, 301)}
+
+
 def test_near_whole_table(spark, documents):
     found = {r[0]: (r[1], r[2]) for r in QUERIES["op3_near_dedup"](spark, SF01).collect()}
     assert found == near_classes(documents)
