@@ -10,14 +10,21 @@ The law is ``key``: with one shard more, a record either stays or moves to the
 new shard. The order is the same for the same rows and seed, however they were
 partitioned: a bucket is put in hash order before it is shuffled.
 
-Memory: one bucket per task (``bucket_bytes`` of text). The driver sees one row
-per shard; bucket offsets are broadcast only up to ``BROADCAST_BUCKETS`` rows, and
-beyond that the rows are put into slot order again after the join.
+A record's hash covers all its columns (maps apart). Records repeated in every
+column are one record with a count; where their bytes exceed a bucket's share
+(``HOT`` of it), each copy is hashed with its number, so that they spread like
+others, and still by the rows alone (not in tables with map columns, which Spark
+cannot group by).
+
+Memory: one bucket at a time (``bucket_bytes`` of text); a task takes several
+where there are more than ``TASKS``. The driver sees one row per shard; bucket
+offsets are broadcast only up to ``BROADCAST_BUCKETS`` rows, and beyond that the
+rows are put into slot order again after the join.
 
 Defined cases: a null text has no bytes (size 1) and crc 0; a null id is a key
-like any other; rows repeated in every column share a bucket; an empty table
-gives an empty result; input columns named ``shard``, ``slot``, ``bucket`` are
-replaced by the result's.
+like any other; rows with equal values in all columns are interchangeable; an
+empty table gives an empty result; input columns named ``shard``, ``slot``,
+``bucket`` are replaced by the result's.
 """
 
 from __future__ import annotations
@@ -29,11 +36,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kinroll.llm.common import extended, map_arrow, quoted, to_arrow
+from kinroll.llm.common import cut, extended, map_arrow, quoted, to_arrow
 
 BUCKET_BYTES = 16 * 1024 * 1024
 BROADCAST_BUCKETS = 500_000
+TASKS = 20_000
+HOT = 0.25
 
 
 def shard_of(key: Column, shards: int, seed: int = 0) -> Column:
@@ -91,6 +101,36 @@ def _shuffler(seed: int, schema: pa.Schema):
     return shuffle
 
 
+def _spread(placed: DataFrame, columns: list[str], text: str, bucket_bytes: int, seed: int) -> DataFrame:
+    """``placed`` with ``hash``: a seeded hash of each row's values, and of the
+    copy's number where one row's copies would fill a good part of a bucket."""
+    plain = [f.name for f in placed.schema.fields if f.name in columns and _hashable(f.dataType)]
+    hashed = placed.withColumn("hash", F.xxhash64(F.lit(seed + 1), *plain))
+    share = int(HOT * bucket_bytes)
+    # at most (input bytes / share) hashes, and as few rows: no text is shuffled for them
+    hot = hashed.groupBy("hash").agg(F.count("*").alias("copies"), F.sum(record_size(text)).alias("held")).filter(
+        (F.col("copies") > 1) & (F.col("held") > share)).select("hash")
+    if len(plain) < len(columns) or hot.isEmpty():
+        return hashed
+    hot = cut(hot)
+    # counted, then dealt out in as many runs as a run has copies: no task writes all copies of a row
+    runs = (
+        hashed.join(hot, "hash", "left_semi").groupBy(*hashed.columns).agg(F.count("*").alias("copies"))
+        .withColumn("span", F.ceil(F.sqrt("copies")))
+        .withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), "copies", "span")))
+        .repartition("hash", "first")
+    )
+    copies = (
+        runs.withColumn("copy", F.explode(F.sequence("first", F.least("copies", F.col("first") + F.col("span") - 1))))
+        .withColumn("hash", F.xxhash64(F.lit(seed + 1), "hash", "copy")).select(*hashed.columns)
+    )
+    return hashed.join(hot, "hash", "left_anti").select(*hashed.columns).unionByName(copies)
+
+
+def _hashable(kind: T.DataType) -> bool:
+    return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
+
+
 def shuffled_shards(docs: DataFrame, shards: int = 8, seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The records with ``shard``, ``bucket`` (numbered through all shards) and
@@ -104,10 +144,11 @@ def shuffled_shards(docs: DataFrame, shards: int = 8, seed: int = 0, id_col: str
     total = first[-1]
 
     by_shard = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("shard") + 1)
-    record = F.xxhash64(F.lit(seed + 1), F.col(key), F.crc32(F.col(text).cast("binary")))
-    scattered = placed.withColumn("hash", record).withColumn(
+    scattered = _spread(placed, docs.columns, text, bucket_bytes, seed).withColumn(
         "bucket", (by_shard(first[:-1]) + F.pmod("hash", by_shard(buckets))).cast("int"))
-    ordered = scattered.repartitionById(total, F.col("bucket")).sortWithinPartitions("bucket", "hash", key, text).drop("hash")
+    tasks = min(total, TASKS)
+    ordered = scattered.repartitionById(tasks, (F.col("bucket") % tasks).cast("int")).sortWithinPartitions(
+        "bucket", "hash", key, text).drop("hash")
     schema = extended(docs, "shard int, bucket int, place long")
     shuffled = map_arrow(ordered, _shuffler(seed, to_arrow(schema)), schema)
 

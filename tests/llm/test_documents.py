@@ -176,6 +176,32 @@ def test_shards_odd_rows_many_buckets(spark):
     assert sharding.shuffled_shards(messy(spark, []), 3).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [3, 20_000])
+def test_shards_spread_a_repeated_row(spark, monkeypatch, tasks):
+    """A row repeated until it fills many buckets is split, by the rows alone;
+    a task may hold several buckets."""
+    monkeypatch.setattr(sharding, "TASKS", tasks)
+    texts = [(7, "again and again")] * 3000 + [(i, f"text {i}") for i in range(400)]
+    rows = [(i, t, n % 2 if i == 9 else 0) for n, (i, t) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other int")
+    found = sharding.shuffled_shards(df.repartition(5), 3, 1, bucket_bytes=2000)
+    assert found.rdd.getNumPartitions() <= tasks
+    out = found.collect()
+    assert Counter((r["doc_id"], r["text"], r["other"]) for r in out) == Counter(rows)
+    held = Counter(r["bucket"] for r in out)
+    assert max(held.values()) * 16 < 2 * 2000  # no bucket of more than twice the size planned
+    for s in range(3):
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
+    again = sharding.shuffled_shards(df.repartition(2), 3, 1, bucket_bytes=2000).collect()
+    assert Counter(map(tuple, out)) == Counter(map(tuple, again))
+
+
+def test_shards_with_a_map_column(spark):
+    df = spark.range(40).selectExpr("id AS doc_id", "'t' AS text", "map('k', id) AS extra")
+    rows = sharding.shuffled_shards(df, 2, bucket_bytes=50).collect()
+    assert sorted((r["doc_id"], r["extra"]["k"]) for r in rows) == [(i, i) for i in range(40)]
+
+
 def test_shard_growth(spark):
     keys = spark.range(4000)
     for n in (1, 2, 7):
