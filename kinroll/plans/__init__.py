@@ -4,6 +4,7 @@ from kinroll.plans.strategy import (
     plan_shape,
     pushed_filters,
     scan_columns,
+    spread,
 )
 
-__all__ = ["DEDUP_STRATEGIES", "Relation", "plan_shape", "pushed_filters", "scan_columns"]
+__all__ = ["DEDUP_STRATEGIES", "Relation", "plan_shape", "pushed_filters", "scan_columns", "spread"]

@@ -33,6 +33,16 @@ def check_dedup(dedup: str) -> str:
     return dedup
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` for a CPU-heavy narrow step such as text analysis: as it is where
+    its scan has a split per core, so wide rows are not shuffled for the step's
+    sake (what it yields is); a table of fewer splits, small therefore, is dealt
+    out by ``keys``. The rows are the same either way."""
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(*keys)
+
+
 def _explain(df: DataFrame, mode: str = "simple") -> str:
     """The text ``df.explain(mode)`` prints, captured."""
     buf = io.StringIO()

@@ -38,7 +38,7 @@ from kinroll.operators import (
     partial_rollup,
     running,
 )
-from kinroll.plans import Relation
+from kinroll.plans import Relation, spread
 from kinroll.session import ensure_checkpoint_dir
 from kinroll.sources import family_route, family_shards, join_field_rows, mixed_table, read_table, write_co_located
 
@@ -112,7 +112,7 @@ def rollup_chain_region(spark, d):
         _orders(spark, d),
         Relation.from_tables(_t(spark, d, "customer"), child_key="o_custkey", parent_key="c_custkey"),
         Relation.from_tables(_t(spark, d, "nation"), child_key="c_nationkey", parent_key="n_nationkey"),
-        Relation.from_tables(_t(spark, d, "region"), child_key="n_regionkey", parent_key="r_regionkey"),
+        Relation.from_tables(_t(spark, d, "region"), child_key="n_regionkey", parent_key="r_regionkey", unique_parents=True),
     ]
     return chain_rollup(_t(spark, d, "lineitem"), rels, "l_linestatus",
                         {"first_region": ("min", "r_name"), "last_region": ("max", "r_name")})
@@ -132,7 +132,7 @@ def rollup_doc_terms(spark, d):
     is their parent; ``n_lines`` is the term bucket's own count of lines.
     """
     docs = _t(spark, d, "documents")
-    text = docs.select("doc_id", "text").repartition("doc_id")  # also the pairs' and the join's partitioning
+    text = spread(docs.select("doc_id", "text"), "doc_id")
     lines = text.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     hits = term_buckets(lines, "line", "term")
     rel = Relation.from_tables(docs, child_key="doc_id", parent_key="doc_id")
@@ -327,7 +327,7 @@ def rollup_conversation_terms(spark, d):
     openings = conv.filter(F.col("turn") == 0)
     rel = Relation.from_tables(openings, child_key="conv_id", parent_key="conv_id")
     later = conv.filter(F.col("turn") > 0).select("conv_id", "turn", "text")
-    turns = later.repartition("conv_id", "turn")  # spreads the text work, a long conversation's too
+    turns = spread(later, "conv_id", "turn")
     hits = term_buckets(turns, "text", "term")
     return parent_rollup(hits, rel, "term",
                          {"opening_chars": ("sum", "length(text)"),
@@ -367,10 +367,14 @@ def rollup_lookup(spark, d):
     hits, then the hit total."""
     hits = term_buckets(_t(spark, d, "orders"), "o_orderpriority", "term")
     r = parent_rollup(hits, _customers(spark, d, "o_custkey"), "term", child_count="n_orders")
-    found = r.filter(F.col("term").isin("high", "urgent", "absent")).select("term", "doc_count", "n_orders")
-    buckets = r.agg(F.lit("(buckets)").alias("term"), F.count(F.lit(1)).alias("doc_count"), F.sum("n_orders").alias("n_orders"))
+    bucket = F.struct("term", "doc_count", "n_orders")
+    among_all = F.struct(F.lit("(buckets)").alias("term"), F.lit(1).cast("long").alias("doc_count"), "n_orders")
+    looked_up = F.when(F.col("term").isin("high", "urgent", "absent"), bucket)
+    rows = r.select(F.explode(F.array(among_all, looked_up)).alias("row")).filter("row IS NOT NULL").select("row.*")
+    none = spark.range(1).select(F.lit("(buckets)").alias("term"), F.lit(0).cast("long").alias("doc_count"), F.lit(None).cast("long").alias("n_orders"))
+    looked = rows.unionByName(none).groupBy("term").agg(F.sum("doc_count").alias("doc_count"), F.sum("n_orders").alias("n_orders"))
     total = _t(spark, d, "orders").agg(F.lit("(hits)").alias("term"), F.count("o_custkey").alias("doc_count"), F.count(F.lit(1)).alias("n_orders"))
-    return found.unionByName(buckets).unionByName(total)
+    return looked.unionByName(total)
 
 
 def filter_rows_predicate(spark, d):

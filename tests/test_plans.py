@@ -81,7 +81,7 @@ def test_no_cartesian_no_python(spark, name):
     assert shape["python_udfs"] == 0
     # Only a roll-up without buckets gathers into one partition, and only the
     # one partial row per task of its final aggregate.
-    assert shape["single_partition_exchanges"] == {"rollup_global": 1, "rollup_lookup": 2}.get(name, 0)  # global counts
+    assert shape["single_partition_exchanges"] == {"rollup_global": 1, "rollup_lookup": 1}.get(name, 0)  # global counts
 
 
 def test_chain_reads_hits_once(spark, no_broadcast):
@@ -124,3 +124,22 @@ def test_wide_tables_are_pruned(spark, name):
         total = len(read_table(spark, SF01, table).columns)
         if total >= 5:
             assert read < total, (table, read, total)
+
+
+def test_texts_are_not_shuffled(spark):
+    """Text analysis runs in the scan's tasks where there are enough of them."""
+    from kinroll.plans import spread
+
+    docs = read_table(spark, SF01, "documents").select("doc_id", "text")
+    few = spread(docs, "doc_id")
+    assert plan_shape(few)["hash_exchanges"] == 1
+    wide = docs.unionByName(docs)
+    while wide.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        wide = wide.unionByName(docs)
+    assert plan_shape(spread(wide, "doc_id"))["hash_exchanges"] == 0
+
+
+def test_lookup_has_one_rollup(spark, no_broadcast):
+    shape = executed_shape(QUERIES["rollup_lookup"](spark, SF01))
+    assert shape["sort_merge_joins"] == 1
+    assert shape["file_scans"] == 3  # orders and customer of the roll-up, orders of the hit total
