@@ -62,17 +62,22 @@ class Block:
         np.put_along_axis(self.from_low, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
         self.from_top = n - 1 - self.from_low
 
-    def bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    def read(self, up: np.ndarray, down: np.ndarray, seen: np.ndarray, done: int, depth: int) -> None:
+        """Add to ``seen`` what the entries ``done`` to ``depth`` of every list
+        contribute; ``up`` and ``down`` are the queries' positive and negative
+        components, whose lists are read from either end. Every entry is read once."""
+        for part, place in ((up, self.from_top), (down, self.from_low)):
+            seen += part @ np.where((place >= done) & (place < depth), self.x, 0).T
+
+    def bounds(self, up: np.ndarray, down: np.ndarray, seen: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper scores of all rows for all queries once ``depth``
-        entries of every list are read; ``up`` and ``down`` are the queries'
-        positive and negative components, whose lists are read from either end.
-        A read entry adds its contribution, an unread one between the list's far
-        end and its frontier; summed over dimensions that is a matrix product."""
-        top, low = self.from_top < depth, self.from_low < depth
-        seen = up @ np.where(top, self.x, 0).T + down @ np.where(low, self.x, 0).T
+        entries of every list are read and their sums are ``seen``. An unread
+        entry adds between the list's far end and its frontier; summed over
+        dimensions that is a matrix product."""
         if depth >= len(self.x):
             return seen, seen
-        unread_top, unread_low = (~top).T.astype(np.float64), (~low).T.astype(np.float64)
+        unread_top = (self.from_top >= depth).T.astype(np.float64)
+        unread_low = (self.from_low >= depth).T.astype(np.float64)
         lowest, highest = self.sorted[0], self.sorted[-1]
         frontier_top, frontier_low = self.sorted[len(self.x) - depth], self.sorted[depth - 1]
         upper = seen + (up * frontier_top) @ unread_top + (down * frontier_low) @ unread_low
@@ -83,10 +88,13 @@ class Block:
         """Per query (row numbers, scores) of the ``k`` best rows other than its own."""
         n = len(self.ids)
         found: list = [None] * len(queries)
-        waiting, depth = np.arange(len(queries)), max(1, n // 8)
+        waiting, done, depth = np.arange(len(queries)), 0, max(1, n // 8)
+        seen = np.zeros((len(queries), n))
         while len(waiting):
             q = queries[waiting]
-            lower, upper = self.bounds(np.maximum(q, 0), np.minimum(q, 0), depth)
+            up, down = np.maximum(q, 0), np.minimum(q, 0)
+            self.read(up, down, seen, done, depth)
+            lower, upper = self.bounds(up, down, seen, depth)
             own = self.ids[None, :] == query_ids[waiting][:, None]
             lower = np.where(own, -np.inf, lower)
             bar = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(q), -np.inf)
@@ -97,7 +105,8 @@ class Block:
                 scores = self.x[rows] @ q[at]
                 order = np.lexsort((self.ids[rows], -scores))[:k]
                 found[waiting[at]] = (rows[order], scores[order])
-            waiting, depth = waiting[~ready], min(n, depth * 2)
+            waiting, seen = waiting[~ready], seen[~ready]
+            done, depth = depth, min(n, depth * 2)
         return found
 
 
