@@ -124,6 +124,9 @@ def test_wide_tables_are_pruned(spark, name):
     for m in scans:
         table = m.group(1).rsplit("/", 1)[-1].removesuffix(".parquet")
         read = len(re.split(r",(?![^<]*>)", m.group(2)))
+        if name == "rollup_stored":  # reads the two-column tables it wrote, not the given ones
+            assert read == 2
+            continue
         total = len(read_table(spark, SF01, table).columns)
         if total >= 5:
             assert read < total, (table, read, total)
