@@ -2,23 +2,24 @@
 
 Tokens are lower-cased words: the corpus' frequent ones have an id each, the
 others share hashed ids. The network predicts a masked token from the ``SIDE``
-tokens on both of its sides: position-wise embeddings are summed, passed through
-tanh, and give the probability of the token's class and of the token within its
-class; a hashed id's probability is divided among its words by their counts, and
-a word never counted scores like one counted once. A document's score is the sum
-of its tokens' conditional log-probabilities.
+tokens on both of its sides: position-wise embeddings are summed and passed through
+tanh; a Huffman tree over the ids' counts has a logistic unit at every inner node,
+and an id's probability is the product of the turns on its path, so that all ids
+sum to one and a token costs as many units as it has bits. A hashed id's probability
+is divided among its words by their counts, and a word never counted scores like one
+counted once. A document's score is the sum of its tokens' conditional log-probabilities.
 
 The vocabulary grows with the corpus: a word has its own id from ``sqrt(tokens) /
 SPREAD`` occurrences on, and the ``VOCABULARY - OTHER`` most frequent always have
-one. There are as many classes as ids in a class. Counts of the other words stay
-in their table: scoring writes each chunk's distinct ones once, with the rows
-they stand in, and joins them to it.
+one. Counts of the other words stay in their table: scoring writes each chunk's
+distinct ones once, with the rows they stand in, and joins them to it.
 
 Training is numpy inside tasks and covers the whole corpus: word counts come
 from all words; in each of ``ROUNDS`` rounds every task starts from the shared
 weights, runs Adagrad over its documents' windows (one position in ``ROUNDS``,
 the next one each round, so that every position is a target exactly once), and
-the weights are averaged over tasks by windows seen.
+the weights are averaged over tasks by windows seen. The scores therefore follow the
+input's partitioning a little, as those of any averaged model do.
 The model has about 330 bytes a word of the vocabulary and is broadcast; the
 driver holds it and the vocabulary.
 
@@ -33,6 +34,8 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +45,14 @@ from pyspark.sql import functions as F
 
 from kinroll.llm.common import cut, map_arrow, narrow
 
-CLASSES = 32          # of CLASSES tokens each, at least
-VOCABULARY = CLASSES * CLASSES
+VOCABULARY = 1024     # ids, at least
 OTHER = 128           # hashed ids for words outside the vocabulary, at least
 SPREAD = 20
 SIDE = 2
 WIDTH = 16
 ROUNDS = 2
-BATCH = 2048
-RATE = 0.15
+BATCH = 4096
+RATE = 0.5
 FLUSH = 150_000
 CHUNK = 4096          # documents scored together, at most
 BLOCK = 4096          # parameters averaged together
@@ -76,64 +78,94 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(counts)
 
 
-class _Ids(dict):
-    """Ids of words: frequent ones by rank, the rest hashed (memo, bounded)."""
+class _Ids:
+    """Ids of words: frequent ones by rank, the rest hashed."""
 
-    def __init__(self, words: list[str], classes: int = CLASSES):
-        super().__init__()
+    def __init__(self, words: list[str]):
         self.known = {w: i for i, w in enumerate(words)}
         self.first = first_hashed(len(words))
-        self.other = classes * classes - self.first
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= FLUSH:
-            self.clear()
-        found = self.known.get(word)
-        value = self[word] = self.first + zlib.crc32(word.encode()) % self.other if found is None else found
-        return value
+    def of(self, tokens: list[str]) -> np.ndarray:
+        ids = np.fromiter(map(self.known.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+        rare = np.flatnonzero(ids < 0)
+        hashes = [zlib.crc32(tokens[i].encode()) for i in rare.tolist()]
+        ids[rare] = self.first + np.array(hashes, dtype=np.int64) % OTHER
+        return ids
 
 
 def first_hashed(words: int) -> int:
     return max(words, VOCABULARY - OTHER)
 
 
-def shapes(classes: int) -> dict[str, tuple]:
-    return {
-        "embed": (len(OFFSETS), classes * classes + 1, WIDTH), "hidden": (WIDTH,), "to_class": (WIDTH, classes), "class_bias": (classes,),
-        "to_word": (classes, WIDTH, classes), "word_bias": (classes, classes),
-    }
+class Tree(NamedTuple):
+    """The Huffman tree of the ids: leaves are ids, inner nodes follow, the root is last."""
 
+    parent: np.ndarray    # of every node but the root
+    right: np.ndarray     # whether a node is its parent's right child
+    depth: np.ndarray     # of the leaves
+    odds: np.ndarray      # log odds of the right child, per inner node, in the counts
 
-def size(classes: int) -> int:
-    return sum(math.prod(s) for s in shapes(classes).values())
 
+def tree_of(counts: np.ndarray) -> Tree:
+    """The tree of ids counted ``counts`` times, each once more. Leaves by count and
+    inner nodes in the order of their making are two queues, each sorted."""
+    n = len(counts)
+    weight = [*(np.asarray(counts) + 1.0).tolist(), *[0.0] * (n - 1)]
+    leaves = iter([*np.argsort(counts, kind="stable").tolist(), None])
+    parent, right, odds = [0] * (2 * n - 2), [False] * (2 * n - 2), [0.0] * (n - 1)
+    leaf, inner = next(leaves), n
 
-SIZE = size(CLASSES)
+    for made in range(n, 2 * n - 1):
+        pair = []
+        for _ in range(2):
+            if leaf is not None and (inner == made or weight[leaf] <= weight[inner]):
+                pair.append(leaf)
+                leaf = next(leaves)
+            else:
+                pair.append(inner)
+                inner += 1
+        low, high = pair
+        parent[low] = parent[high] = made
+        right[high] = True
+        weight[made] = weight[low] + weight[high]
+        odds[made - n] = math.log(weight[high] / weight[low])
+    depth = [0] * (2 * n - 1)
+    for node in range(2 * n - 3, -1, -1):
+        depth[node] = depth[parent[node]] + 1
+    return Tree(np.array(parent), np.array(right), np.array(depth[:n]), np.array(odds))
 
 
-def classes_of(flat: np.ndarray) -> int:
-    """The class count of a flat vector, whose length is near its square."""
-    return math.isqrt(len(flat) // ((len(OFFSETS) + 1) * WIDTH + 1))
+def shapes(ids: int) -> dict[str, tuple]:
+    return {"embed": (len(OFFSETS) * (ids + 1), WIDTH), "hidden": (WIDTH,), "turn": (ids - 1, WIDTH), "turn_bias": (ids - 1,)}
+
+
+def size(ids: int) -> int:
+    return sum(math.prod(s) for s in shapes(ids).values())
+
+
+SIZE = size(VOCABULARY)
+
+
+def ids_in(flat: np.ndarray) -> int:
+    """The vocabulary of a flat vector, whose length is linear in it."""
+    return (len(flat) - size(0)) // (size(1) - size(0))
 
 
 def views(flat: np.ndarray) -> dict[str, np.ndarray]:
     """The parameters as named arrays that share the flat vector's memory."""
     out, at = {}, 0
-    for name, shape in shapes(classes_of(flat)).items():
+    for name, shape in shapes(ids_in(flat)).items():
         n = math.prod(shape)
         out[name] = flat[at:at + n].reshape(shape)
         at += n
     return out
 
 
-def initial(counts: np.ndarray, seed: int = 11) -> np.ndarray:
+def initial(tree: Tree, seed: int = 11) -> np.ndarray:
     """Small random weights; the biases start at the corpus' token counts."""
-    classes = math.isqrt(len(counts))
-    flat = np.random.default_rng(seed).normal(0, 0.1, size(classes)).astype(np.float32)
+    flat = np.random.default_rng(seed).normal(0, 0.1, size(len(tree.depth))).astype(np.float32)
     p = views(flat)
-    grid = (counts + 1.0).reshape(classes, classes)
-    p["class_bias"][:] = np.log(grid.sum(axis=1) / grid.sum())
-    p["word_bias"][:] = np.log(grid / grid.sum(axis=1, keepdims=True))
+    p["turn_bias"][:] = tree.odds
     p["hidden"][:] = 0
     return flat
 
@@ -145,88 +177,97 @@ def contexts(ids: np.ndarray, at: np.ndarray | slice = slice(None), beyond: int
     return np.stack([padded[SIDE + o:SIDE + o + len(ids)][at] for o in OFFSETS], axis=1)
 
 
-def _forward(p: dict, around: np.ndarray) -> np.ndarray:
-    total = p["embed"][0][around[:, 0]]
-    for i in range(1, len(OFFSETS)):
-        total = total + p["embed"][i][around[:, i]]
-    return np.tanh(total + p["hidden"])
-
+def _rows(around: np.ndarray, ids: int) -> np.ndarray:
+    """Rows of ``embed`` for contexts: each side's place has its own."""
+    return around + np.arange(len(OFFSETS)) * (ids + 1)
 
-def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """In place ``exp(z - max)`` of every row, and the rows' sums."""
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    return z, z.sum(axis=1, keepdims=True)
 
-
-def _by_class(group: np.ndarray, classes: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """An order by class, and (class, start, end) of the classes that occur."""
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(classes + 1)).tolist()
-    return order, [(c, edges[c], edges[c + 1]) for c in range(classes) if edges[c] < edges[c + 1]]
+def _forward(p: dict, rows: np.ndarray) -> np.ndarray:
+    total = p["embed"].take(rows[:, 0], axis=0)
+    for i in range(1, len(OFFSETS)):
+        total += p["embed"].take(rows[:, i], axis=0)
+    total += p["hidden"]
+    return np.tanh(total, out=total)
 
 
-def _word_scores(p: dict, h: np.ndarray, group: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
-    """Scores within the target's class, for rows in the order of classes."""
-    out = p["word_bias"][group]
-    for c, start, end in runs:
-        out[start:end] += h[start:end] @ p["to_word"][c]
-    return out
+def _turns(tree: Tree, targets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The inner nodes above the targets (deepest first), with whether the way down
+    turns right: one step up a round, for the targets that are not yet at the root."""
+    n, node = len(tree.depth), targets
+    for left in len(targets) - np.searchsorted(tree.depth[targets][::-1], np.arange(1, tree.depth.max(initial=0) + 1)):
+        if not left:
+            return
+        node = node[:left]
+        right, node = tree.right.take(node), tree.parent.take(node)
+        yield node - n, right
 
 
-def log_probabilities(p: dict, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
+def log_probabilities(p: dict, tree: Tree, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Conditional log-probability of every target, a batch at a time."""
-    classes, out = len(p["class_bias"]), np.empty(len(targets))
-    for start in range(0, len(targets), 8192):
-        part = slice(start, start + 8192)
-        h, t = _forward(p, around[part]), targets[part]
-        order, runs = _by_class(t // classes, classes)
-        h, group, member, rows = h[order], t[order] // classes, t[order] % classes, np.arange(len(t))
-        score = np.zeros(len(t))
-        for z, at in ((h @ p["to_class"] + p["class_bias"], group), (_word_scores(p, h, group, runs), member)):
-            score += z[rows, at] - z.max(axis=1)
-            score -= np.log(_exp(z)[1][:, 0])
+    out = np.empty(len(targets))
+    for start in range(0, len(targets), BATCH):
+        part = slice(start, start + BATCH)
+        order = np.argsort(-tree.depth[targets[part]], kind="stable")
+        h = _forward(p, _rows(around[part][order], len(tree.depth)))
+        score = np.zeros(len(order))
+        for node, right in _turns(tree, targets[part][order]):
+            z = np.einsum("ij,ij->i", h[:len(node)], p["turn"].take(node, axis=0)) + p["turn_bias"].take(node)
+            z[right] *= -1
+            score[:len(node)] -= np.maximum(z, 0) + np.log(1 + np.exp(-np.abs(z)))
         out[start + order] = score
     return out
 
 
-def _adagrad(weights: np.ndarray, squares: np.ndarray, at, grad: np.ndarray) -> None:
-    """The update of the entries ``at``; those with no gradient do not move."""
-    total = squares[at] + grad * grad
+def _distinct(keys: np.ndarray, scratch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and the place of every key among them. ``scratch`` has an
+    entry a possible key, of any content, so that nothing needs sorting."""
+    places = np.arange(len(keys))
+    scratch[keys] = places
+    found = keys[scratch[keys] == places]
+    scratch[found] = places[:len(found)]
+    return found, scratch[keys]
+
+
+def _adagrad(weights: np.ndarray, squares: np.ndarray, at: np.ndarray, grad: np.ndarray) -> None:
+    """The update of the rows ``at``; those with no gradient do not move."""
+    total = squares.take(at, axis=0)
+    total += grad * grad
     squares[at] = total
-    weights[at] -= RATE * grad / np.sqrt(total + 1e-8)
+    total += 1e-8
+    np.sqrt(total, out=total)
+    weights[at] = weights.take(at, axis=0) - RATE * grad / total
+
+
+def _sums(place: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    """Per place the sum of its entries in every column."""
+    return np.stack([np.bincount(place, c, n) for c in columns], axis=1).astype(np.float32)
 
 
-def step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, targets: np.ndarray) -> None:
-    """One Adagrad step on a batch, in place."""
+def step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, targets: np.ndarray, tree: Tree, scratch: np.ndarray) -> None:
+    """One Adagrad step on a batch, in place; ``scratch`` has an entry a row of ``embed``."""
     p, q, n = views(flat), views(squares), len(targets)
-    classes, every, rows = len(p["class_bias"]), slice(None), np.arange(n)
-    order, runs = _by_class(targets // classes, classes)
-    around, targets = around[order], targets[order]
-    group, member = targets // classes, targets % classes
-    h = _forward(p, around)
-    z, total = _exp(h @ p["to_class"] + p["class_bias"])
-    d_class = z / (total * n)
-    d_class[rows, group] -= np.float32(1 / n)
-    d_h = d_class @ p["to_class"].T
-    z, total = _exp(_word_scores(p, h, group, runs))
-    d_word = z / (total * n)
-    d_word[rows, member] -= np.float32(1 / n)
-    to_word = np.empty((len(runs), WIDTH, classes), dtype=np.float32)
-    for i, (c, start, end) in enumerate(runs):
-        np.matmul(h[start:end].T, d_word[start:end], out=to_word[i])
-        d_h[start:end] += d_word[start:end] @ p["to_word"][c].T
+    order = np.argsort(-tree.depth[targets], kind="stable")
+    rows = _rows(around[order], len(tree.depth))
+    h = _forward(p, rows)
+    d_h, nodes, errors = np.zeros_like(h), [], []
+    for node, right in _turns(tree, targets[order]):
+        unit = p["turn"].take(node, axis=0)
+        z = np.einsum("ij,ij->i", h[:len(node)], unit) + p["turn_bias"].take(node)
+        error = (1 / (1 + np.exp(-z)) - right).astype(np.float32) / np.float32(n)
+        unit *= error[:, None]
+        d_h[:len(node)] += unit
+        nodes.append(node)
+        errors.append(error)
     d_sum = d_h * (1 - h * h)
-    present = np.array([c for c, _, _ in runs])
-    _adagrad(p["to_class"], q["to_class"], every, h.T @ d_class)
-    _adagrad(p["class_bias"], q["class_bias"], every, d_class.sum(axis=0))
-    _adagrad(p["to_word"], q["to_word"], present, to_word)
-    _adagrad(p["word_bias"], q["word_bias"], present, np.add.reduceat(d_word, [start for _, start, _ in runs]))
-    _adagrad(p["hidden"], q["hidden"], every, d_sum.sum(axis=0))
-    for i in range(len(OFFSETS)):
-        order = np.argsort(around[:, i], kind="stable")
-        keys, first = np.unique(around[order, i], return_index=True)
-        _adagrad(p["embed"][i], q["embed"][i], keys, np.add.reduceat(d_sum[order], first))
+    across = np.ascontiguousarray(h.T)
+    found, place = _distinct(np.concatenate(nodes), scratch)
+    error = np.concatenate(errors)
+    pulls = (np.concatenate([e * column[:len(e)] for e in errors]) for column in across)
+    _adagrad(p["turn"], q["turn"], found, _sums(place, pulls, len(found)))
+    _adagrad(p["turn_bias"], q["turn_bias"], found, np.bincount(place, error, len(found)).astype(np.float32))
+    _adagrad(p["hidden"], q["hidden"], np.arange(WIDTH), d_sum.sum(axis=0))
+    found, place = _distinct(rows.T.ravel(), scratch)
+    _adagrad(p["embed"], q["embed"], found, _sums(place, (np.tile(c, len(OFFSETS)) for c in d_sum.T), len(found)))
 
 
 def positions(n: int, round_no: int) -> np.ndarray:
@@ -234,25 +275,26 @@ def positions(n: int, round_no: int) -> np.ndarray:
     return np.arange(round_no, n, ROUNDS)
 
 
-def _trainer(model, words, round_no: int):
+def _trainer(model, words, tree, round_no: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, seen = model.value.copy(), 0
-        classes, squares = classes_of(flat), np.full(len(flat), 1e-4, dtype=np.float32)
-        ids_of = _Ids(words.value, classes)
+        squares = np.full(len(flat), 1e-4, dtype=np.float32)
+        ids_of, beyond = _Ids(words.value), ids_in(flat)
+        scratch = np.empty(len(OFFSETS) * (beyond + 1), dtype=np.int64)
         around, targets, held = [], [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                ids = np.fromiter(map(ids_of.__getitem__, tokens_of(text)), dtype=np.int64)
+                ids = ids_of.of(tokens_of(text))
                 at = positions(len(ids), round_no)
                 for part in (at[i:i + BATCH] for i in range(0, len(at), BATCH)):
-                    around.append(contexts(ids, part, classes * classes))
+                    around.append(contexts(ids, part, beyond))
                     targets.append(ids[part])
                     held += len(part)
                     if held >= BATCH:
-                        step(flat, squares, np.concatenate(around), np.concatenate(targets))
+                        step(flat, squares, np.concatenate(around), np.concatenate(targets), tree.value, scratch)
                         seen, around, targets, held = seen + held, [], [], 0
         if held:
-            step(flat, squares, np.concatenate(around), np.concatenate(targets))
+            step(flat, squares, np.concatenate(around), np.concatenate(targets), tree.value, scratch)
             seen += held
         if seen:
             blocks = [flat[i:i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
@@ -270,11 +312,11 @@ def _mean_block(rows: pa.Table) -> pa.Table:
 
 
 class WindowModel:
-    """Vocabulary and weights, shared with the executors; the table of word
+    """Vocabulary, tree and weights, shared with the executors; the table of word
     counts and their sums per hashed id."""
 
-    def __init__(self, words, weights, counts: DataFrame, held):
-        self.words, self.weights, self.counts, self.held = words, weights, counts, held
+    def __init__(self, words, tree, weights, counts: DataFrame, held):
+        self.words, self.tree, self.weights, self.counts, self.held = words, tree, weights, counts, held
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> WindowModel:
@@ -290,25 +332,24 @@ def fit(docs: DataFrame, text_col: str = "text") -> WindowModel:
     if len(frequent) < VOCABULARY - OTHER:
         frequent = counts.orderBy(*ranked).limit(VOCABULARY - OTHER).collect()
     first = first_hashed(len(frequent))
-    classes = max(CLASSES, math.isqrt(first + OTHER - 1) + 1)
-    other = classes * classes - first
-    held = np.zeros(classes * classes)
-    for r in counts.groupBy((F.crc32(F.col("word").cast("binary")) % other).cast("int").alias("id")).agg(F.sum("n").alias("n")).collect():
+    held = np.zeros(first + OTHER)
+    for r in counts.groupBy((F.crc32(F.col("word").cast("binary")) % OTHER).cast("int").alias("id")).agg(F.sum("n").alias("n")).collect():
         held[first + r["id"]] = r["n"]
     for rank, r in enumerate(frequent):
         held[rank] = r["n"]
-        held[first + zlib.crc32(r["word"].encode()) % other] -= r["n"]
-    words, weights = sc.broadcast([r["word"] for r in frequent]), initial(held)
+        held[first + zlib.crc32(r["word"].encode()) % OTHER] -= r["n"]
+    built = tree_of(held)
+    words, tree, weights = sc.broadcast([r["word"] for r in frequent]), sc.broadcast(built), initial(built)
     for round_no in range(ROUNDS):
-        trained = map_arrow(texts, _trainer(sc.broadcast(weights), words, round_no), "block int, windows long, part binary")
+        trained = map_arrow(texts, _trainer(sc.broadcast(weights), words, tree, round_no), "block int, windows long, part binary")
         weights = weights.copy()
         for r in trained.groupBy("block").applyInArrow(_mean_block, "block int, part binary").collect():
             part = np.frombuffer(r["part"], dtype=np.float32)
             weights[r["block"] * BLOCK:r["block"] * BLOCK + len(part)] = part
-    return WindowModel(words, sc.broadcast(weights), counts, sc.broadcast(held))
+    return WindowModel(words, tree, sc.broadcast(weights), counts, sc.broadcast(held))
 
 
-def _scorer(words, weights):
+def _scorer(words, tree, weights):
     """Chunks of documents: one row with their scores, under a name that no word
     has, and one row a distinct hashed word with the documents it stands in."""
     def chunk_rows(chunk: int, ids: list, sizes: list, sums: list, rare: dict, places: list):
@@ -335,18 +376,17 @@ def _scorer(words, weights):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = views(weights.value)
-        classes = len(p["class_bias"])
-        ids_of = _Ids(words.value, classes)
+        ids_of, beyond = _Ids(words.value), ids_in(weights.value)
         chunk = TaskContext.get().partitionId() << 32
         ids, sizes, sums, rare, places, held = [], [], [], {}, [], 0
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 texts = [tokens_of(t) for t in part.column(1).to_pylist()]
-                found = [np.fromiter(map(ids_of.__getitem__, t), dtype=np.int64) for t in texts]
+                found = [ids_of.of(t) for t in texts]
                 size, total = np.array([len(x) for x in found]), np.zeros(len(found))
                 targets = np.concatenate(found)
                 if len(targets):
-                    logs = log_probabilities(p, np.concatenate([contexts(x, beyond=classes * classes) for x in found]), targets)
+                    logs = log_probabilities(p, tree.value, np.concatenate([contexts(x, beyond=beyond) for x in found]), targets)
                     full = np.flatnonzero(size)
                     total[full] = np.add.reduceat(logs, np.concatenate([[0], np.cumsum(size[full])[:-1]]))
                 at = np.flatnonzero(targets >= ids_of.first)
@@ -401,8 +441,8 @@ def pseudo_likelihood(docs: DataFrame, model: WindowModel, id_col: str = "doc_id
     """``doc_id, n_tokens, log_likelihood, mean_log_prob`` of every whole text."""
     rows = narrow(docs, doc_id=id_col, text=text_col)
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, log_likelihood double"
-    chunks = map_arrow(rows, _scorer(model.words, model.weights), "chunk long, word string, id int, payload binary")
-    counted = chunks.join(model.counts, "word", "left").select("chunk", "id", "payload", "n")
+    chunks = map_arrow(rows, _scorer(model.words, model.tree, model.weights), "chunk long, word string, id int, payload binary")
+    counted = chunks.join(model.counts.filter("n > 1"), "word", "left").select("chunk", "id", "payload", "n")
     ordered = counted.repartition("chunk").sortWithinPartitions("chunk", "id")
     return map_arrow(ordered, _summer(model.held), schema).withColumn(
         "mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

@@ -1,5 +1,6 @@
 """Toxicity, quality and language-model scores: held-out accuracy, identities."""
 
+import heapq
 import math
 import re
 import zlib
@@ -143,47 +144,93 @@ def test_training_sample_has_a_document_once(spark):
 
 # ---- language model ----
 
-def probabilities(p, around):
-    """All conditional probabilities of one position, written out."""
-    h = np.tanh(sum(p["embed"][i][t] for i, t in enumerate(around)) + p["hidden"])
-    e = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
-    of_class = e(h @ p["to_class"] + p["class_bias"])
-    return np.concatenate([of_class[c] * e(h @ p["to_word"][c] + p["word_bias"][c]) for c in range(lm_scoring.CLASSES)])
+def probabilities(p, tree, around):
+    """All conditional probabilities of one position, written out: down the tree from its root."""
+    n = len(tree.depth)
+    h = np.tanh(sum(p["embed"][i * (n + 1) + t] for i, t in enumerate(around)) + p["hidden"])
+    found = np.ones(2 * n - 1)
+    for node in range(2 * n - 3, -1, -1):
+        up = tree.parent[node]
+        turn = 1 / (1 + np.exp(-(h @ p["turn"][up - n] + p["turn_bias"][up - n])))
+        found[node] = found[up] * (turn if tree.right[node] else 1 - turn)
+    return found[:n]
+
+
+def test_lm_tree_follows_the_counts():
+    counts = np.array([0, 0, 1, 3, 3, 40, 7])
+    tree = lm_scoring.tree_of(counts)
+    heap, cost = [c + 1 for c in counts.tolist()], 0
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        both = heapq.heappop(heap) + heapq.heappop(heap)
+        cost += both
+        heapq.heappush(heap, both)
+    assert ((counts + 1) * tree.depth).sum() == cost
+    p = lm_scoring.views(lm_scoring.initial(tree))
+    p["turn"][:] = 0
+    every = probabilities(p, tree, [7, 7, 7, 7])
+    assert every == pytest.approx((counts + 1) / (counts + 1).sum(), abs=1e-6)
 
 
 def test_lm_is_a_distribution_and_sums():
-    p = lm_scoring.views(lm_scoring.initial(np.arange(lm_scoring.VOCABULARY)))
+    tree = lm_scoring.tree_of(np.arange(lm_scoring.VOCABULARY))
+    p = lm_scoring.views(lm_scoring.initial(tree))
     ids = np.array([5, 900, 33, 33, 1023])
     around = lm_scoring.contexts(ids)
     assert around[0].tolist() == [1024, 1024, 900, 33] and around[4].tolist() == [33, 33, 1024, 1024]
-    logs = lm_scoring.log_probabilities(p, around, ids)
+    logs = lm_scoring.log_probabilities(p, tree, around, ids)
     for i, t in enumerate(ids):
-        every = probabilities(p, around[i])
+        every = probabilities(p, tree, around[i])
         assert every.sum() == pytest.approx(1, abs=1e-4) and logs[i] == pytest.approx(np.log(every[t]), abs=1e-4)
 
 
 def test_lm_gradient_step_lowers_the_loss():
     rng = np.random.default_rng(1)
-    flat, squares = lm_scoring.initial(np.ones(lm_scoring.VOCABULARY)), np.full(lm_scoring.SIZE, 1e-4, dtype=np.float32)
+    tree = lm_scoring.tree_of(np.ones(lm_scoring.VOCABULARY))
+    flat, squares = lm_scoring.initial(tree), np.full(lm_scoring.SIZE, 1e-4, dtype=np.float32)
     ids = rng.integers(0, 50, 3000)
     ids[1::2] = (ids[::2] + 1) % 50  # the right neighbour follows from the left one
     around = lm_scoring.contexts(ids)
-    loss = lambda: -lm_scoring.log_probabilities(lm_scoring.views(flat), around, ids).mean()
-    before = loss()
+    loss = lambda: -lm_scoring.log_probabilities(lm_scoring.views(flat), tree, around, ids).mean()
+    before, scratch = loss(), np.empty(4 * (lm_scoring.VOCABULARY + 1), dtype=np.int64)
     for _ in range(60):
-        lm_scoring.step(flat, squares, around, ids)
+        lm_scoring.step(flat, squares, around, ids, tree, scratch)
     assert loss() < before - 2
 
 
+def test_lm_step_follows_the_gradient():
+    """The first Adagrad step from large sums of squares is the gradient itself, up to
+    a factor; differences of the written-out loss give it independently."""
+    rng = np.random.default_rng(2)
+    tree = lm_scoring.tree_of(rng.integers(0, 30, 40))
+    ids = rng.integers(0, 40, 25)
+    around = lm_scoring.contexts(ids, beyond=40)
+    start = lm_scoring.initial(tree)
+    assert lm_scoring.ids_in(start) == 40
+    moved = start.copy()
+    lm_scoring.step(moved, np.full(len(start), 1e4, dtype=np.float32), around, ids, tree, np.empty(4 * 41, dtype=np.int64))
+    found = (start - moved).astype(float) * 100 / lm_scoring.RATE
+
+    def loss(flat):
+        p = lm_scoring.views(flat)
+        return -np.mean([np.log(probabilities(p, tree, a)[t]) for a, t in zip(around, ids, strict=True)])
+
+    for at in rng.choice(len(start), 60, replace=False).tolist() + list(range(len(start) - 10, len(start))):
+        up, down = start.astype(float), start.astype(float)
+        up[at], down[at] = up[at] + 1e-4, down[at] - 1e-4
+        assert found[at] == pytest.approx((loss(up) - loss(down)) / 2e-4, abs=2e-3)
+
+
 def test_lm_trains_every_position_once(monkeypatch):
     seen = []
     monkeypatch.setattr(lm_scoring, "step", lambda flat, squares, around, targets, *_: seen.extend(targets.tolist()))
     words = [f"w{i}" for i in range(40)]
     texts = [" ".join(words[:n]) for n in (0, 1, 2, 5, 8, 9, 16, 17, 40)]
     held = SimpleNamespace(value=words)
-    model = SimpleNamespace(value=lm_scoring.initial(np.ones(lm_scoring.VOCABULARY)))
+    tree = SimpleNamespace(value=lm_scoring.tree_of(np.ones(lm_scoring.VOCABULARY)))
+    model = SimpleNamespace(value=lm_scoring.initial(tree.value))
     for round_no in range(lm_scoring.ROUNDS):
-        list(lm_scoring._trainer(model, held, round_no)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+        list(lm_scoring._trainer(model, held, tree, round_no)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
     expected = [i for t in texts for i in range(len(t.split()))]
     assert sorted(seen) == sorted(expected)
 
@@ -207,9 +254,10 @@ def test_lm_vocabulary_grows_and_counts_weigh_hashed_words(spark):
     texts = [" ".join(common)] * 12 + [" ".join(w for w, n in rare.items() if n > k) for k in range(4)]
     model = lm_scoring.fit(plain(spark, list(enumerate(texts))))  # own ids from sqrt(19,500) / 20, about 7 occurrences
     assert set(model.words.value) == set(common)
-    classes = lm_scoring.classes_of(model.weights.value)
-    assert classes ** 2 >= 1500 + lm_scoring.OTHER
-    ids = lm_scoring._Ids(model.words.value, classes)
+    size = lm_scoring.ids_in(model.weights.value)
+    assert size == 1500 + lm_scoring.OTHER
+    words = sorted({*common, *rare, "never"})
+    ids = dict(zip(words, lm_scoring._Ids(model.words.value).of(words).tolist(), strict=True))
     asked = [*rare, "never"]
     rows = [(i, f"{w} {w}" if i % 2 else w) for i, w in enumerate(asked)] + [(len(asked), " ".join([*rare, *common[:50]])), (None, None)]
     found = {r["doc_id"]: r for r in lm_scoring.pseudo_likelihood(plain(spark, rows).repartition(3), model).collect()}
@@ -220,7 +268,7 @@ def test_lm_vocabulary_grows_and_counts_weigh_hashed_words(spark):
 
     def expected(text):
         t = np.array([ids[w] for w in text.split()])
-        logs = lm_scoring.log_probabilities(lm_scoring.views(model.weights.value), lm_scoring.contexts(t, beyond=classes ** 2), t)
+        logs = lm_scoring.log_probabilities(lm_scoring.views(model.weights.value), model.tree.value, lm_scoring.contexts(t, beyond=size), t)
         return logs.sum() + sum(np.log(rare.get(w, 1) / max(held.get(ids[w], 1), 1)) for w in text.split() if w not in common)
 
     assert len(found) == len(rows) and found[None]["log_likelihood"] == 0
@@ -229,5 +277,12 @@ def test_lm_vocabulary_grows_and_counts_weigh_hashed_words(spark):
 
 
 def test_lm_odd_rows(spark):
-    assert lm_scoring.scored(messy(spark)).count() == len(TEXTS)
+    rows = lm_scoring.scored(messy(spark)).collect()
+    assert len(rows) == len(TEXTS)
+    sizes = {}
+    for r in rows:
+        assert (r["mean_log_prob"] is None) == (r["n_tokens"] == 0)
+        assert r["log_likelihood"] < 0 if r["n_tokens"] else r["log_likelihood"] == 0
+        sizes.setdefault(r["doc_id"], []).append(r["n_tokens"])
+    assert sorted(n for of_id in sizes.values() for n in of_id) == sorted(len((t or "").lower().split()) for _, t in TEXTS)
     assert lm_scoring.scored(messy(spark, [])).count() == 0
