@@ -12,11 +12,12 @@ theirs, at all depths from one lift.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinroll.operators.rollup import (
@@ -24,6 +25,7 @@ from kinroll.operators.rollup import (
     KEY,
     PKEY,
     SPLITTABLE,
+    _arguments,
     _as_sql,
     _bucket,
     _check_by,
@@ -123,6 +125,9 @@ def bucket_levels(hits: DataFrame, relation: Relation, by: Sequence[str] | str,
     One lift, then grouping sets over the lifted parents, so that any aggregate
     may be asked for (a distinct count of a bucket is not the sum of those of the
     buckets below). Buckets without parents keep their row at level 0, with 0.
+
+    Distinct counts of one expression beside counts, sums, minima and maxima are not
+    expanded per level: see ``_distinct_levels``.
     """
     by, below = _check_by(hits, by), [below] if isinstance(below, str) else list(below)
     for c in below:
@@ -133,23 +138,73 @@ def bucket_levels(hits: DataFrame, relation: Relation, by: Sequence[str] | str,
     if not below or len(set(names)) != len(names):
         raise ValueError(f"output names repeat or clash, or nothing is below: {names}")
     marked = replace(relation, parents=relation.parents.withColumn("__kr_one", F.lit(1)))
-    lifted = lift_to_parents(hits, marked, by, keep_empty=True, dedup=dedup, parent_prefix="__kr_p_")
+    lifted = lift_to_parents(hits, marked, by, dedup=dedup, parent_prefix="__kr_p_")
     renamed = [F.col(f"`__kr_p_{c}`").alias(c) for c in relation.parents.columns]
     rows = lifted.select(*[F.col(f"`{b}`").alias(p) for b, p in zip(by, _private(by), strict=True)],
                          *renamed, F.col("__kr_p___kr_one").alias("__kr_one"))
+    # the buckets, combined in the scan's tasks: not from the pairs, which a few tasks would hold
+    buckets = hits.select(*[_bucket(hits, b).alias(p) for b, p in zip(by, _private(by), strict=True)])
+    rows = rows.unionByName(buckets.distinct(), allowMissingColumns=True)
     inner = [f"__kr_b{i}" for i in range(len(below))]
     rows = rows.withColumns({i: F.col(f"`{c}`") for i, c in zip(inner, below, strict=True)})
     outer = _private(by)
     sets = [[F.col(c) for c in (*outer, *inner[:k])] for k in range(len(below) + 1)]
-    cols = [F.count("__kr_one").alias("__kr_count"), (F.lit(len(below)) - _absent(inner)).cast("int").alias("__kr_level")]
-    cols += [F.expr(f"{_as_sql(n, s)} FILTER (WHERE __kr_one = 1)").alias(f"__kr_a{i}") for i, (n, s) in enumerate(aggs.items())]
-    grouped = rows.groupingSets(sets, *outer, *inner).agg(*cols)
+    depth = (F.lit(len(below)) - _absent(inner)).cast("int").alias("__kr_level")
+    calls = _distinct_calls(aggs)
+    if calls:
+        grouped = _distinct_levels(rows, outer, inner, sets, depth, calls)
+    else:
+        cols = [F.expr(f"{_as_sql(n, s)} FILTER (WHERE __kr_one = 1)").alias(f"__kr_a{i}") for i, (n, s) in enumerate(aggs.items())]
+        grouped = rows.groupingSets(sets, *outer, *inner).agg(F.count("__kr_one").alias("__kr_count"), depth, *cols)
     found = grouped.filter((F.col("__kr_level") == 0) | (F.col("__kr_count") > 0))
     return found.select(F.col("__kr_level").alias(level), *[F.col(p).alias(b) for b, p in zip(by, outer, strict=True)],
                         *[F.col(i).alias(c) for i, c in zip(inner, below, strict=True)], F.col("__kr_count").alias(count_name),
                         *[F.col(f"__kr_a{i}").alias(n) for i, n in enumerate(aggs)])
 
 
+def _distinct_calls(aggs: Mapping) -> list[tuple[str, str, bool]] | None:
+    """The aggregates as ``(function, expression, distinct)`` where they are distinct
+    counts of one expression and calls that split; else None."""
+    calls = []
+    for name, spec in aggs.items():
+        text = _as_sql(name, spec)
+        m = re.fullmatch(rf"\s*({'|'.join(SPLITTABLE)})\s*\(\s*(distinct\b)?(.*)\)\s*", text, re.DOTALL | re.IGNORECASE)
+        if not m or len(_arguments(m[3])) != 1 or (m[2] and m[1].lower() != "count"):
+            return None
+        calls.append((m[1].lower(), "1" if m[3].strip() == "*" else m[3].strip(), bool(m[2])))
+    return calls if len({expr for _, expr, distinct in calls if distinct}) == 1 else None
+
+
+def _distinct_levels(rows: DataFrame, outer: list, inner: list, sets: list, depth: Column, calls: list) -> DataFrame:
+    """Grouping sets with distinct counts, without a set of values per level: the
+    rows are grouped by all columns and the counted value once; the first row of a
+    value in each bucket of each level is marked, and the levels add up the marks.
+    Rows without a value have none to mark and keep their own place in the shuffle.
+    """
+    value = next(expr for _, expr, distinct in calls if distinct)
+    split = [(i, fn, expr) for i, (fn, expr, distinct) in enumerate(calls) if not distinct]
+    types = {f.name: f.dataType for f in rows.agg(
+        F.lit(0), *[F.expr(f"{fn}({expr})").alias(f"__kr_a{i}") for i, fn, expr in split]).schema}
+    valued = rows.withColumn("__kr_value", F.when(F.col("__kr_one") == 1, F.expr(value)))
+    firsts = valued.groupBy(*outer, *inner, "__kr_value").agg(
+        F.count("__kr_one").alias("__kr_n"),
+        *[F.expr(f"{fn}({expr}) FILTER (WHERE __kr_one = 1)").alias(f"__kr_a{i}") for i, fn, expr in split])
+    none = F.col("__kr_value").isNull()
+    firsts = firsts.withColumn("__kr_place", F.when(none, F.xxhash64(*inner)))
+    for k in range(len(inner)):
+        within = Window.partitionBy(*outer, "__kr_value", "__kr_place", *inner[:k]).orderBy(*inner[k:])
+        firsts = firsts.withColumn(f"__kr_first{k}", F.row_number().over(within))
+    marks = [F.sum(F.when(~none & (F.col(f"__kr_first{k}") == 1), 1)).alias(f"__kr_marks{k}") for k in range(len(inner))]
+    marks.append(F.count("__kr_value").alias(f"__kr_marks{len(inner)}"))
+    sums = [F.expr(f"{SPLITTABLE[fn]}(__kr_a{i})").alias(f"__kr_a{i}") for i, fn, _ in split]
+    grouped = firsts.groupingSets(sets, *outer, *inner).agg(F.sum("__kr_n").alias("__kr_count"), depth, *marks, *sums)
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    held = zero(F.element_at(F.array(*[F.col(f"__kr_marks{k}") for k in range(len(inner) + 1)]), F.col("__kr_level") + 1))
+    out = [(held if distinct else zero(F.col(f"__kr_a{i}")) if fn == "count" else F.col(f"__kr_a{i}").cast(types[f"__kr_a{i}"])).alias(f"__kr_a{i}")
+           for i, (fn, _, distinct) in enumerate(calls)]
+    return grouped.select(*outer, *inner, zero(F.col("__kr_count")).alias("__kr_count"), "__kr_level", *out)
+
+
 def _absent(columns: Sequence[str]):
     return reduce(lambda a, b: a + b, [F.grouping(c).cast("int") for c in columns])
 

@@ -3,7 +3,7 @@ conditions and running totals, against plain Python over random rows."""
 
 import random
 import statistics
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,6 +199,39 @@ def test_bucket_levels_and_tree(spark, dedup):
         bucket_levels(h, rel, "b", [])
 
 
+@pytest.mark.parametrize("dedup", ["map_side", "co_locate"])
+def test_bucket_levels_hold_a_distinct_value_once(spark, dedup):
+    hits, parents, _ = tables(5)
+    rel = Relation.from_tables(spark.createDataFrame([(*p, "lr"[(p[1] or 0) > 4]) for p in parents], PARENTS + ", h string"),
+                               child_key="k", parent_key="pid")
+    aggs = {"d": "count(DISTINCT coalesce(v, -1))", "n": "count(*)", "m": "Count(v)", "s": ("sum", "v"), "low": "min(v)", "high": "max(pid)"}
+    h = spark.createDataFrame(hits, HITS)
+    df = bucket_levels(h, rel, "b", ["g", "h"], aggs, dedup=dedup)
+    plan = executed_plan(df)  # the join's rows are grouped once, not once a level and again for the distinct values
+    assert plan.count("Expand") == 1 and plan.index("Expand") < plan.index("Window") < plan.index("Join")
+    # an aggregate that does not split takes the expanding plan: both give the same
+    other = bucket_levels(h, rel, "b", ["g", "h"], aggs | {"mean": "avg(v)"}, dedup=dedup).drop("mean")
+    assert executed_plan(other).count("Expand") > 1 and df.schema.simpleString() == other.schema.simpleString()
+    found = Counter(map(tuple, df.collect()))
+    assert found == Counter(map(tuple, other.collect())) and max(found.values()) == 1
+    groups = defaultdict(list)
+    for b, ps in lifted(hits, parents).items():
+        groups[b] += ps
+    tops = {r["b"]: r for r in df.filter("level = 0").collect()}
+    assert set(tops) == set(groups)
+    for b, ps in groups.items():
+        assert (tops[b]["d"], tops[b]["n"], tops[b]["m"]) == (len({-1 if p[1] is None else p[1] for p in ps}), len(ps), len(nulls_left([p[1] for p in ps])))
+
+
+def test_bucket_levels_without_hits_or_buckets(spark):
+    hits, parents, _ = tables(6)
+    rel = Relation.from_tables(spark.createDataFrame(parents, PARENTS), child_key="k", parent_key="pid")
+    aggs = {"d": "count(DISTINCT v)"}
+    assert bucket_levels(spark.createDataFrame([], HITS), rel, "b", "g", aggs).count() == 0
+    absent = bucket_levels(spark.createDataFrame([("x", 99), ("y", None)], HITS), rel, "b", "g", aggs).collect()
+    assert {tuple(r) for r in absent} == {(0, "x", None, 0, 0), (0, "y", None, 0, 0)}
+
+
 # ---- declared buckets ----
 
 def test_declared_ranges(spark):
