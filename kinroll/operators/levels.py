@@ -124,7 +124,9 @@ def bucket_levels(hits: DataFrame, relation: Relation, by: Sequence[str] | str,
 
     One lift, then grouping sets over the lifted parents, so that any aggregate
     may be asked for (a distinct count of a bucket is not the sum of those of the
-    buckets below). Buckets without parents keep their row at level 0, with 0.
+    buckets below). Buckets without parents keep their row at level 0, with 0: they
+    come from a second read of the hits' bucket columns, so hits drawn at random or by
+    a limit should be written first.
 
     Distinct counts of one expression beside counts, sums, minima and maxima are not
     expanded per level: see ``_distinct_levels``.
