@@ -11,8 +11,12 @@ counted once. A document's score is the sum of its tokens' conditional log-proba
 
 The vocabulary grows with the corpus: a word has its own id from ``sqrt(tokens) /
 SPREAD`` occurrences on, and the ``VOCABULARY - OTHER`` most frequent always have
-one. Counts of the other words stay in their table: scoring writes each chunk's
-distinct ones once, with the rows they stand in, and joins them to it.
+one. Counts of the other words stay in their table.
+
+A text is split into words once. Its task writes chunks of documents: the distinct
+words, their counts, and the documents as places in that list. Word counts, both
+rounds of training and scoring read these chunks, so that a word is looked up once a
+chunk; the counts of a chunk's hashed words are joined to it word by word.
 
 Training is numpy inside tasks and covers the whole corpus: word counts come
 from all words; in each of ``ROUNDS`` rounds every task starts from the shared
@@ -32,7 +36,8 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 from typing import NamedTuple
@@ -40,7 +45,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinroll.llm.common import cut, map_arrow, narrow
@@ -53,8 +58,8 @@ WIDTH = 16
 ROUNDS = 2
 BATCH = 4096
 RATE = 0.5
-FLUSH = 150_000
-CHUNK = 4096          # documents scored together, at most
+FLUSH = 150_000       # distinct words a chunk, and the text that reaches them
+TOKENS = 1 << 21      # tokens a chunk, and the text that reaches them
 BLOCK = 4096          # parameters averaged together
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
@@ -63,19 +68,84 @@ def tokens_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                                          names=["word", "n"])
+def _shrunk(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _whole(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed byte by byte: the high bytes are mostly zero."""
+    return _shrunk(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(_whole(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+
+
+def _words(data: bytes) -> list[str]:
+    return _whole(data).decode().split()
 
-    counts: Counter = Counter()
+
+def _sent(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+CHUNKS = "chunk long, ids binary, sizes binary, places binary, words binary, counts binary"
+
+
+def _encoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of documents, one row each: their ids, their numbers of words, every
+    word as a place among the chunk's distinct ones, and those with their counts."""
+    def out() -> pa.RecordBatch:
+        held = np.frombuffer(places, dtype=np.int32)
+        counts = np.bincount(held, minlength=len(words))
+        columns = [
+            pa.array([chunk], pa.int64()),
+            pa.array([_sent(pa.RecordBatch.from_arrays([pa.concat_arrays(ids)], names=["doc_id"]))], pa.binary()),
+            pa.array([_packed(np.array(sizes))], pa.binary()), pa.array([_packed(held)], pa.binary()),
+            pa.array([_shrunk(" ".join(words).encode())], pa.binary()), pa.array([_packed(counts)], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "sizes", "places", "words", "counts"])
+
+    def empty():
+        words = defaultdict()
+        words.default_factory = words.__len__
+        return words, [], [], array("i")
+
+    chunk = TaskContext.get().partitionId() << 32
+    words, ids, sizes, places = empty()
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(tokens_of(text))
-            if len(counts) >= FLUSH:
-                yield out(counts)
-                counts = Counter()
-    yield out(counts)
+        start = 0
+        for row, text in enumerate(batch.column(1).to_pylist(), 1):
+            tokens = tokens_of(text)
+            places.extend(map(words.__getitem__, tokens))
+            sizes.append(len(tokens))
+            if len(words) >= FLUSH or len(places) >= TOKENS:
+                ids.append(batch.column(0).slice(start, row - start))
+                yield out()
+                chunk, start, (words, ids, sizes, places) = chunk + 1, row, empty()
+        if start < batch.num_rows:
+            ids.append(batch.column(0).slice(start))
+    if sizes:
+        yield out()
+
+
+def encoded(docs: DataFrame, id_col: str | Column = "doc_id", text_col: str = "text") -> DataFrame:
+    """The chunks of ``docs``, written once."""
+    return cut(map_arrow(narrow(docs, doc_id=id_col, text=text_col), _encoder, CHUNKS))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per distinct word of every chunk, with its count there."""
+    for batch in batches:
+        for words, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(_words(words), pa.string()), pa.array(_unpacked(counts))], names=["word", "n"])
 
 
 class _Ids:
@@ -270,9 +340,45 @@ def step(flat: np.ndarray, squares: np.ndarray, around: np.ndarray, targets: np.
     _adagrad(p["embed"], q["embed"], found, _sums(place, (np.tile(c, len(OFFSETS)) for c in d_sum.T), len(found)))
 
 
-def positions(n: int, round_no: int) -> np.ndarray:
-    """The targets of one round among ``n`` positions: the rounds share them out."""
-    return np.arange(round_no, n, ROUNDS)
+class Documents(NamedTuple):
+    """Documents' words as ids, one after the other."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+
+    def of_words(self) -> np.ndarray:
+        """The document of every word."""
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def apart(self, doc: np.ndarray, beyond: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids with ``SIDE`` times ``beyond`` between two documents, and where
+        each now stands."""
+        place = np.arange(len(self.ids)) + SIDE * doc
+        out = np.full(len(self.ids) + SIDE * len(self.sizes), beyond)
+        out[place] = self.ids
+        return out, place
+
+
+def _documents(batches: Iterator[pa.RecordBatch], ids_of: _Ids) -> Iterator[Documents]:
+    """Documents of chunks, or of a column of texts."""
+    for batch in batches:
+        if batch.num_columns == 1:
+            found = [ids_of.of(tokens_of(text)) for text in batch.column(0).to_pylist()]
+            if found:
+                yield Documents(np.concatenate(found), np.array([len(x) for x in found]))
+            continue
+        for sizes, places, words in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            yield Documents(ids_of.of(_words(words)).take(_unpacked(places)), _unpacked(sizes))
+
+
+def _parts(targets: np.ndarray) -> Iterator[int]:
+    """Each document's number of targets, in parts of ``BATCH``."""
+    for n in targets.tolist():
+        while n > BATCH:
+            yield BATCH
+            n -= BATCH
+        if n:
+            yield n
 
 
 def _trainer(model, words, tree, round_no: int):
@@ -282,17 +388,22 @@ def _trainer(model, words, tree, round_no: int):
         ids_of, beyond = _Ids(words.value), ids_in(flat)
         scratch = np.empty(len(OFFSETS) * (beyond + 1), dtype=np.int64)
         around, targets, held = [], [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = ids_of.of(tokens_of(text))
-                at = positions(len(ids), round_no)
-                for part in (at[i:i + BATCH] for i in range(0, len(at), BATCH)):
-                    around.append(contexts(ids, part, beyond))
-                    targets.append(ids[part])
-                    held += len(part)
-                    if held >= BATCH:
-                        step(flat, squares, np.concatenate(around), np.concatenate(targets), tree.value, scratch)
-                        seen, around, targets, held = seen + held, [], [], 0
+        for docs in _documents(batches, ids_of):
+            doc = docs.of_words()
+            position = np.arange(len(doc)) - np.repeat(np.cumsum(docs.sizes) - docs.sizes, docs.sizes)
+            at = np.flatnonzero(position % ROUNDS == round_no)
+            apart, place = docs.apart(doc, beyond)
+            near, wanted = contexts(apart, place[at], beyond), docs.ids[at]
+            start = end = 0
+            for n in _parts(np.bincount(doc[at], minlength=len(docs.sizes))):
+                end, held = end + n, held + n
+                if held >= BATCH:
+                    around.append(near[start:end])
+                    targets.append(wanted[start:end])
+                    step(flat, squares, np.concatenate(around), np.concatenate(targets), tree.value, scratch)
+                    seen, start, around, targets, held = seen + held, end, [], [], 0
+            around.append(near[start:end])
+            targets.append(wanted[start:end])
         if held:
             step(flat, squares, np.concatenate(around), np.concatenate(targets), tree.value, scratch)
             seen += held
@@ -320,12 +431,15 @@ class WindowModel:
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> WindowModel:
+    return _fitted(encoded(docs, F.lit(None).cast("int"), text_col))
+
+
+def _fitted(chunks: DataFrame) -> WindowModel:
     """Count all words, then train over the whole corpus by weight averaging.
     The driver receives the vocabulary's words, counts per hashed id and one
     averaged model a round."""
-    sc = docs.sparkSession.sparkContext
-    texts = narrow(docs, text=text_col)
-    counts = cut(map_arrow(texts, _counter, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    sc = chunks.sparkSession.sparkContext
+    counts = cut(map_arrow(chunks.select("words", "counts"), _counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     tokens = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     ranked = [F.desc("n"), "word"]
     frequent = counts.filter(F.col("n") >= math.sqrt(tokens) / SPREAD).orderBy(*ranked).collect()
@@ -341,7 +455,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> WindowModel:
     built = tree_of(held)
     words, tree, weights = sc.broadcast([r["word"] for r in frequent]), sc.broadcast(built), initial(built)
     for round_no in range(ROUNDS):
-        trained = map_arrow(texts, _trainer(sc.broadcast(weights), words, tree, round_no), "block int, windows long, part binary")
+        trained = map_arrow(chunks.select("sizes", "places", "words"), _trainer(sc.broadcast(weights), words, tree, round_no), "block int, windows long, part binary")
         weights = weights.copy()
         for r in trained.groupBy("block").applyInArrow(_mean_block, "block int, part binary").collect():
             part = np.frombuffer(r["part"], dtype=np.float32)
@@ -349,104 +463,91 @@ def fit(docs: DataFrame, text_col: str = "text") -> WindowModel:
     return WindowModel(words, tree, sc.broadcast(weights), counts, sc.broadcast(held))
 
 
-def _scorer(words, tree, weights):
-    """Chunks of documents: one row with their scores, under a name that no word
-    has, and one row a distinct hashed word with the documents it stands in."""
-    def chunk_rows(chunk: int, ids: list, sizes: list, sums: list, rare: dict, places: list):
-        scores = pa.RecordBatch.from_arrays(
-            [pa.concat_arrays(ids), pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(sums))],
-            names=["doc_id", "n_tokens", "log_likelihood"])
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, scores.schema) as out:
-            out.write_batch(scores)
-        token, hashed, doc = (np.concatenate(x) for x in zip(*places, strict=True))
-        order = np.argsort(token, kind="stable")
-        starts = np.unique(token[order], return_index=True)[1]
-        docs = doc[order].astype(np.uint16)
-        offsets = np.append(starts, len(docs)).astype(np.int32) * 2
-        n = len(rare)
-        payload = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(docs.tobytes())])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), pa.array([f" {chunk}"]), pa.array([-1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-            names=["chunk", "word", "id", "payload"])
-        if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, chunk, np.int64)), pa.array(list(rare), pa.string()), pa.array(hashed[order][starts].astype(np.int32)), payload],
-                names=["chunk", "word", "id", "payload"])
+def _hashed(words):
+    """A row per distinct word of every chunk that is not in the vocabulary."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = set(words.value)
+        for batch in batches:
+            for chunk, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rare = [(place, word) for place, word in enumerate(_words(found)) if word not in known]
+                columns = [pa.array(np.full(len(rare), chunk)), pa.array([x for x, _ in rare], pa.int32()), pa.array([x for _, x in rare], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "place", "word"])
+
+    return rows
 
+
+def _scorer(words, tree, weights, held):
+    """Per chunk the scores of its documents, without the hashed words' own counts,
+    and its hashed words as places among the chunk's words."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = views(weights.value)
         ids_of, beyond = _Ids(words.value), ids_in(weights.value)
-        chunk = TaskContext.get().partitionId() << 32
-        ids, sizes, sums, rare, places, held = [], [], [], {}, [], 0
+        shares = np.log(np.maximum(held.value, 1))
+        shares[:ids_of.first] = 0
         for batch in batches:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                texts = [tokens_of(t) for t in part.column(1).to_pylist()]
-                found = [ids_of.of(t) for t in texts]
-                size, total = np.array([len(x) for x in found]), np.zeros(len(found))
-                targets = np.concatenate(found)
-                if len(targets):
-                    logs = log_probabilities(p, tree.value, np.concatenate([contexts(x, beyond=beyond) for x in found]), targets)
-                    full = np.flatnonzero(size)
-                    total[full] = np.add.reduceat(logs, np.concatenate([[0], np.cumsum(size[full])[:-1]]))
-                at = np.flatnonzero(targets >= ids_of.first)
-                flat = [w for t in texts for w in t]
-                token = np.fromiter((rare.setdefault(flat[i], len(rare)) for i in at.tolist()), dtype=np.int64, count=len(at))
-                places.append((token, targets[at], np.repeat(np.arange(held, held + len(found)), size)[at]))
-                ids.append(part.column(0))
-                sizes.append(size)
-                sums.append(total)
-                held += len(found)
-                if held > CHUNK - 500 or len(rare) >= FLUSH:
-                    yield from chunk_rows(chunk, ids, sizes, sums, rare, places)
-                    chunk, ids, sizes, sums, rare, places, held = chunk + 1, [], [], [], {}, [], 0
-        if held:
-            yield from chunk_rows(chunk, ids, sizes, sums, rare, places)
+            for row, docs in enumerate(_documents(iter([batch.select(["c2", "c3", "c4"])]), ids_of)):
+                doc, logs = docs.of_words(), np.empty(len(docs.ids))
+                apart, place = docs.apart(doc, beyond)
+                for part in (slice(i, i + 128 * BATCH) for i in range(0, len(doc), 128 * BATCH)):
+                    logs[part] = log_probabilities(p, tree.value, contexts(apart, place[part], beyond), docs.ids[part])
+                logs -= shares.take(docs.ids)
+                sums = np.bincount(doc, logs, len(docs.sizes)).astype(float)  # without words: whole numbers
+                at = docs.ids >= ids_of.first
+                ids = pa.ipc.open_stream(batch.column(1)[row].as_py()).read_next_batch().column(0)
+                scores = pa.RecordBatch.from_arrays([ids, pa.array(docs.sizes), pa.array(sums)], names=["doc_id", "n_tokens", "log_likelihood"])
+                places, sizes = _unpacked(batch.column(3)[row].as_py())[at], np.bincount(doc[at], minlength=len(docs.sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(row, 1), *(pa.array([x], pa.binary()) for x in (_sent(scores), _packed(sizes), _packed(places)))],
+                    names=["chunk", "scores", "sizes", "places"])
 
     return score
 
 
-def _summer(held):
-    """Adds the hashed words' shares of their ids to the scores of their chunk;
-    rows come in the order of chunks, the chunk's scores first."""
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done():
-            sums = pa.array(scores.column(2).to_numpy() + extra)
-            return pa.RecordBatch.from_arrays([*scores.columns[:2], sums], names=scores.schema.names)
+def _summer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the counts of the hashed words to the scores of their chunk; rows come in
+    the order of chunks, the chunk's scores first, then the words counted twice or more."""
+    def done():
+        shares = np.zeros(int(places.max(initial=-1)) + 1)
+        for place, n in counted:
+            inside = place < len(shares)
+            shares[place[inside]] = np.log(n[inside])
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        sums = scores.column(2).to_numpy() + np.bincount(doc, shares.take(places), len(sizes))
+        return pa.RecordBatch.from_arrays([*scores.columns[:2], pa.array(sums)], names=scores.schema.names)
 
-        open_chunk, scores, extra = None, None, None
-        for batch in batches:
-            chunks = batch.column(0).to_numpy()
-            ids, n = batch.column(1).to_numpy(), batch.column(3).fill_null(1).to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(chunks)) + 1, [len(chunks)]]) if len(chunks) else [0]
-            for start, end in zip(edges[:-1], edges[1:], strict=True):
-                if chunks[start] != open_chunk:
-                    if scores is not None:
-                        yield done()
-                    open_chunk = chunks[start]
-                    scores = pa.ipc.open_stream(batch.column(2)[start].as_py()).read_next_batch()
-                    extra, start = np.zeros(scores.num_rows), start + 1
-                if start < end:
-                    parts = batch.column(2).slice(start, end - start).to_pylist()
-                    share = np.log(n[start:end]) - np.log(np.maximum(held.value[ids[start:end]], 1))
-                    docs = np.frombuffer(b"".join(parts), dtype=np.uint16)
-                    extra += np.bincount(docs, np.repeat(share, [len(x) // 2 for x in parts]), len(extra))
-        if scores is not None:
-            yield done()
-
-    return add
+    open_chunk, scores, counted = None, None, []
+    for batch in batches:
+        chunks, place, n = (batch.column(i).fill_null(-1).to_numpy() for i in range(3))
+        edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)] if len(chunks) else [0]
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            if chunks[start] != open_chunk:
+                if scores is not None:
+                    yield done()
+                scores = pa.ipc.open_stream(batch.column(3)[start].as_py()).read_next_batch()
+                sizes, places = (_unpacked(batch.column(i)[start].as_py()) for i in (4, 5))
+                open_chunk, counted, start = chunks[start], [], start + 1
+            counted.append((place[start:end], n[start:end]))
+    if scores is not None:
+        yield done()
 
 
 def pseudo_likelihood(docs: DataFrame, model: WindowModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_prob`` of every whole text."""
-    rows = narrow(docs, doc_id=id_col, text=text_col)
-    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, log_likelihood double"
-    chunks = map_arrow(rows, _scorer(model.words, model.tree, model.weights), "chunk long, word string, id int, payload binary")
-    counted = chunks.join(model.counts.filter("n > 1"), "word", "left").select("chunk", "id", "payload", "n")
-    ordered = counted.repartition("chunk").sortWithinPartitions("chunk", "id")
-    return map_arrow(ordered, _summer(model.held), schema).withColumn(
+    return _chunk_scores(encoded(docs, id_col, text_col), model, docs.schema[id_col].dataType.simpleString())
+
+
+def _chunk_scores(chunks: DataFrame, model: WindowModel, id_type: str) -> DataFrame:
+    scored_chunks = map_arrow(
+        chunks.drop("counts"), _scorer(model.words, model.tree, model.weights, model.held),
+        "chunk long, scores binary, sizes binary, places binary")
+    hashed = map_arrow(chunks.select("chunk", "words"), _hashed(model.words), "chunk long, place int, word string")
+    counted = hashed.join(model.counts.filter("n > 1"), "word").select("chunk", "place", "n")
+    rows = scored_chunks.withColumn("place", F.lit(-1)).unionByName(counted, allowMissingColumns=True)
+    ordered = rows.select("chunk", "place", "n", "scores", "sizes", "places").repartition("chunk").sortWithinPartitions("chunk", "place")
+    return map_arrow(ordered, _summer, f"doc_id {id_type}, n_tokens long, log_likelihood double").withColumn(
         "mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return pseudo_likelihood(docs, fit(docs, text_col), id_col, text_col)
+    chunks = encoded(docs, id_col, text_col)
+    return _chunk_scores(chunks, _fitted(chunks), docs.schema[id_col].dataType.simpleString())

@@ -286,3 +286,20 @@ def test_lm_odd_rows(spark):
         sizes.setdefault(r["doc_id"], []).append(r["n_tokens"])
     assert sorted(n for of_id in sizes.values() for n in of_id) == sorted(len((t or "").lower().split()) for _, t in TEXTS)
     assert lm_scoring.scored(messy(spark, [])).count() == 0
+
+
+def test_lm_reads_every_text_once(spark):
+    """Counting, both rounds of training and scoring share one pass over the texts."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    texts = [*[f"one two w{i} three" for i in range(60)], None, "", " one  two "]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = plain(spark, rows)
+    found = {r["doc_id"]: r["n_tokens"] for r in lm_scoring.scored(docs.mapInArrow(counted, docs.schema)).collect()}
+    assert found == {i: len((t or "").split()) for i, t in rows}
+    assert read.value == len(rows)
